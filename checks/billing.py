@@ -2,167 +2,139 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from checks import shapes
+from idlewatch.functions.sql import aliased, text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(table_of_texts: list, *indexes: Column) -> Column:
-    def literal(node):
-        if isinstance(node, list):
-            return F.array(*[literal(n) for n in node])
-        return F.lit(node).cast("string")
+def literal(node) -> str:
+    if isinstance(node, list):
+        return "array(" + ", ".join(literal(n) for n in node) + ")"
+    return "CAST(NULL AS STRING)" if node is None else text(node)
 
-    picked = literal(table_of_texts)
-    for index in indexes:
-        picked = F.get(picked, index.cast("int"))
-    return picked
 
+def pick(values: list, *indexes: str) -> str:
+    return literal(values) + "".join(f"[CAST({i} AS INT)]" for i in indexes)
 
-def _exact(value: Column) -> Column:
-    """A multiple of 1/1024 out of a price with two decimals."""
-    return F.round(value * 100).cast("bigint") / F.lit(1024.0)
 
-
-def _text_id(base: int, number: Column) -> Column:
-    return (F.lit(base).cast("bigint") + number).cast("string")
+def text_id(base: int, key: str) -> str:
+    return f"CAST({base}L + {key} AS STRING)"
 
 
 def payers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        _text_id(shapes.PAYER_BASE, F.col("n_nationkey")).alias("payer_account_id"),
-        F.col("n_name").alias("payer_name"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        f"{text_id(shapes.PAYER_BASE, 'n_nationkey')} AS payer_account_id", "n_name AS payer_name"
     )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers of one segment have no registered account: their reservations drop out."""
-    registered = F.col("c_mktsegment") != shapes.UNREGISTERED_SEGMENT
-    return table(spark, sf_dir, "customer").where(registered).select(
-        _text_id(shapes.ACCOUNT_BASE, F.col("c_custkey")).alias("account_id"),
-        F.col("c_mktsegment").alias("family_type"),
-        F.col("c_name").alias("customer_name"),
-    )
-
-
-def _keyed(rows: DataFrame, variant: Column) -> DataFrame:
-    """Columns every line of user k has, whether fee or usage."""
-    k = F.col("k")
-    kind = k % 5
-    step = F.expr("k div 5")
-    account = _text_id(shapes.ACCOUNT_BASE, k)
-    return rows.withColumns(
-        {
-            "bill_payer_account_id": _text_id(shapes.PAYER_BASE, F.col("c_nationkey")),
-            "line_item_usage_account_id": account,
-            "line_item_usage_type": _pick(shapes.USAGE_TYPES, kind, (step + variant) % 8),
-            "line_item_operation": _pick(shapes.OPERATIONS, kind, step % 7),
-            "pricing_offering_class": F.when(k % 6 == 0, "convertible").otherwise("standard"),
-            "product_name": _pick(shapes.PRODUCTS, kind, k % 2),
-            "region": F.when(k % 13 != 0, _pick(shapes.REGION_CODES, step % 6)),
-            "arn": F.concat(
-                F.lit("arn:aws:"), _pick(shapes.ARN_SERVICE, kind), F.lit(":x:"), account,
-                _pick(shapes.ARN_TAIL, kind), k.cast("string"),
-            ),
-        }
+    registered = f"c_mktsegment <> {text(shapes.UNREGISTERED_SEGMENT)}"
+    return table(spark, sf_dir, "customer").where(registered).selectExpr(
+        f"{text_id(shapes.ACCOUNT_BASE, 'c_custkey')} AS account_id",
+        "c_mktsegment AS family_type",
+        "c_name AS customer_name",
     )
 
 
-COLUMNS = (
-    "bill_payer_account_id", "line_item_usage_account_id", "line_item_line_item_type",
-    "line_item_usage_type", "line_item_operation", "line_item_usage_start_date",
-    "line_item_usage_end_date", "line_item_normalization_factor",
-    "line_item_normalized_usage_amount", "line_item_usage_amount", "line_item_unblended_cost",
-    "line_item_unblended_rate", "reservation_reservation_a_r_n",
-    "reservation_number_of_reservations", "reservation_effective_cost",
-    "reservation_amortized_upfront_fee_for_billing_period", "pricing_public_on_demand_cost",
-    "pricing_offering_class", "product",
+def _keyed(variant: str) -> dict[str, str]:
+    """What every line of user k has, whether fee or usage."""
+    return {
+        "bill_payer_account_id": text_id(shapes.PAYER_BASE, "c_nationkey"),
+        "line_item_usage_account_id": text_id(shapes.ACCOUNT_BASE, "k"),
+        "line_item_usage_type": pick(shapes.USAGE_TYPES, "k % 5", f"((k div 5) + {variant}) % 8"),
+        "line_item_operation": pick(shapes.OPERATIONS, "k % 5", "(k div 5) % 7"),
+        "class": "CASE WHEN k % 6 = 0 THEN 'convertible' ELSE 'standard' END",
+        "product_name": pick(shapes.PRODUCTS, "k % 5", "k % 2"),
+        "region": f"CASE WHEN k % 13 <> 0 THEN {pick(shapes.REGION_CODES, '(k div 5) % 6')} END",
+        "arn": "concat('arn:aws:', {}, ':x:', {}, {}, k)".format(
+            pick(shapes.ARN_SERVICE, "k % 5"),
+            text_id(shapes.ACCOUNT_BASE, "k"),
+            pick(shapes.ARN_TAIL, "k % 5"),
+        ),
+    }
+
+
+SHARED = (
+    "bill_payer_account_id", "line_item_usage_account_id", "line_item_usage_type",
+    "line_item_operation",
 )
+PRODUCT = "map('region', region, 'product_name', product_name)"
 
 
 def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fee per active user; some with a second usage type, some billed twice."""
-    k, variant = F.col("k"), F.col("variant")
-    active = table(spark, sf_dir, "events").select(F.col("user_id").alias("k")).distinct()
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_nationkey")
-    start = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval((k % 3).cast("int"))
+    active = table(spark, sf_dir, "events").selectExpr("user_id AS k").distinct()
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_nationkey")
     rows = (
         active.join(customer, "k")
-        .withColumn("variant", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-        .where(
-            (variant == 0) | ((variant == 1) & (k % 11 == 0)) | ((variant == 2) & (k % 17 == 0))
-        )
+        .selectExpr("*", "explode(array(0, 1, 2)) AS variant")
+        .where("variant = 0 OR (variant = 1 AND k % 11 = 0) OR (variant = 2 AND k % 17 = 0)")
     )
-    null = F.lit(None).cast("double")
-    return _keyed(rows, F.when(variant == 1, 1).otherwise(0)).withColumns(
-        {
-            "line_item_line_item_type": F.lit("RIFee"),
-            "line_item_usage_start_date": start,
-            "line_item_usage_end_date": F.when(
-                k % 7 == 0, F.expr("TIMESTAMP_NTZ '2024-01-20 23:59:59'")
-            ).otherwise(F.expr("TIMESTAMP_NTZ '2024-01-31 23:59:59'")),
-            "line_item_normalization_factor": F.when(k % 4 == 1, 0.0).when(k % 4 > 1, 4.0),
-            "line_item_normalized_usage_amount": null,
-            "line_item_usage_amount": (k % 16) / F.lit(8.0),
-            "line_item_unblended_cost": (k % 32) / F.lit(16.0),
-            "line_item_unblended_rate": F.when(k % 8 == 0, "").when(k % 8 > 1, "0.0625"),
-            "reservation_reservation_a_r_n": F.col("arn"),
-            "reservation_number_of_reservations": (k % 3 + 1).cast("double"),
-            "reservation_effective_cost": (k % 64) / F.lit(32.0),
-            "reservation_amortized_upfront_fee_for_billing_period": F.when(
-                k % 9 != 4, (k % 4 + 1) * F.lit(10.0)
-            ),
-            "pricing_public_on_demand_cost": F.when(k % 10 != 3, F.lit(0.0)),
-            "product": F.create_map(
-                F.lit("region"), F.col("region"), F.lit("product_name"), F.col("product_name")
-            ),
-        }
-    ).select(*COLUMNS)
+    line = {
+        "line_item_line_item_type": "'RIFee'",
+        "line_item_usage_start_date":
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(k % 3 AS INT))",
+        "line_item_usage_end_date":
+            "CASE WHEN k % 7 = 0 THEN TIMESTAMP_NTZ '2024-01-20 23:59:59'"
+            " ELSE TIMESTAMP_NTZ '2024-01-31 23:59:59' END",
+        "line_item_normalization_factor": "CASE WHEN k % 4 = 1 THEN 0D WHEN k % 4 > 1 THEN 4D END",
+        "line_item_normalized_usage_amount": "CAST(NULL AS DOUBLE)",
+        "line_item_usage_amount": "(k % 16) / 8D",
+        "line_item_unblended_cost": "(k % 32) / 16D",
+        "line_item_unblended_rate": "CASE WHEN k % 8 = 0 THEN '' WHEN k % 8 > 1 THEN '0.0625' END",
+        "reservation_reservation_a_r_n": "arn",
+        "reservation_number_of_reservations": "CAST(k % 3 + 1 AS DOUBLE)",
+        "reservation_effective_cost": "(k % 64) / 32D",
+        "reservation_amortized_upfront_fee_for_billing_period":
+            "CASE WHEN k % 9 <> 4 THEN (k % 4 + 1) * 10D END",
+        "pricing_public_on_demand_cost": "CASE WHEN k % 10 <> 3 THEN 0D END",
+        "pricing_offering_class": "class",
+        "product": PRODUCT,
+    }
+    keyed = rows.selectExpr("k", *aliased(_keyed("CASE WHEN variant = 1 THEN 1 ELSE 0 END")))
+    return keyed.selectExpr(*SHARED, *aliased(line))
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per event."""
-    k, e = F.col("k"), F.col("event_id")
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_nationkey")
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "ts", F.col("user_id").alias("k"), "event_type", "value"
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_nationkey")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS e", "user_id AS k", "event_type",
+        "ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts)) AS hour",
+        "CAST(round(value * 100) AS BIGINT) / 1024D AS amount",
     )
-    hour = F.col("ts") - F.make_dt_interval(
-        F.lit(0), F.lit(0), F.minute("ts"), F.extract(F.lit("SECOND"), F.col("ts"))
+    line = {
+        "line_item_line_item_type":
+            "CASE event_type WHEN 'signup' THEN 'VDiscountedUsage' WHEN 'error' THEN 'Credit'"
+            " ELSE 'DiscountedUsage' END",
+        "line_item_usage_start_date": "hour",
+        "line_item_usage_end_date": "hour + INTERVAL '1' HOUR",
+        "line_item_normalization_factor": "CAST(NULL AS DOUBLE)",
+        "line_item_normalized_usage_amount":
+            "CASE WHEN e % 4 = 1 THEN 0D WHEN e % 4 > 1 THEN amount * 4 END",
+        "line_item_usage_amount": "amount",
+        "line_item_unblended_cost": "0D",
+        "line_item_unblended_rate": "CAST(NULL AS STRING)",
+        "reservation_reservation_a_r_n":
+            "CASE WHEN e % 50 = 7 THEN '' WHEN e % 50 <> 8 THEN arn END",
+        "reservation_number_of_reservations": "CASE WHEN e % 3 = 0 THEN CAST(k % 3 + 1 AS DOUBLE) END",
+        "reservation_effective_cost": "amount / 2",
+        "reservation_amortized_upfront_fee_for_billing_period": "CAST(NULL AS DOUBLE)",
+        "pricing_public_on_demand_cost":
+            "CASE WHEN e % 9 = 0 THEN 0D WHEN e % 10 <> 1 THEN amount * 3 END",
+        "pricing_offering_class": "CASE WHEN e % 20 <> 3 THEN class END",
+        "product": f"CASE WHEN e % 97 <> 0 THEN {PRODUCT} END",
+    }
+    keyed = events.join(customer, "k").selectExpr(
+        "k", "e", "event_type", "hour", "amount", *aliased(_keyed("0"))
     )
-    amount = _exact(F.col("value"))
-    null = F.lit(None).cast("double")
-    return _keyed(events.join(customer, "k"), F.lit(0)).withColumns(
-        {
-            "line_item_line_item_type": F.when(F.col("event_type") == "signup", "VDiscountedUsage")
-            .when(F.col("event_type") == "error", "Credit")
-            .otherwise("DiscountedUsage"),
-            "line_item_usage_start_date": hour,
-            "line_item_usage_end_date": hour + F.expr("INTERVAL '1' HOUR"),
-            "line_item_normalization_factor": null,
-            "line_item_normalized_usage_amount": F.when(e % 4 == 1, 0.0).when(e % 4 > 1, amount * 4),
-            "line_item_usage_amount": amount,
-            "line_item_unblended_cost": F.lit(0.0),
-            "line_item_unblended_rate": F.lit(None).cast("string"),
-            "reservation_reservation_a_r_n": F.when(e % 50 == 7, "").when(e % 50 != 8, F.col("arn")),
-            "reservation_number_of_reservations": F.when(e % 3 == 0, (k % 3 + 1).cast("double")),
-            "reservation_effective_cost": amount / 2,
-            "reservation_amortized_upfront_fee_for_billing_period": null,
-            "pricing_public_on_demand_cost": F.when(e % 9 == 0, 0.0).when(e % 10 != 1, amount * 3),
-            "pricing_offering_class": F.when(e % 20 != 3, F.col("pricing_offering_class")),
-            "product": F.when(
-                e % 97 != 0,
-                F.create_map(
-                    F.lit("region"), F.col("region"), F.lit("product_name"), F.col("product_name")
-                ),
-            ),
-        }
-    ).select(*COLUMNS)
+    return keyed.selectExpr(*SHARED, *aliased(line))
 
 
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,20 +5,21 @@ from __future__ import annotations
 import uuid
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import oracle, shapes
-from checks.billing import accounts, billing, payers, table, usage
+from checks.billing import accounts, billing, payers, pick, table, text_id, usage
 from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions import rules, timeops
+from idlewatch.functions.sql import aggregates, aliased
 from idlewatch.operators.dimensions import payer_max_date, reservation_dimension
 from idlewatch.operators.lines import billing_lines, product_value
 from idlewatch.operators.payers import resolve_configs
 from idlewatch.operators.report import line_item_report
-from idlewatch.operators.services import SERVICES, report_name
-from idlewatch.operators.wastage import update_units, with_units
+from idlewatch.operators.services import SERVICES, report_name, service_of
+from idlewatch.operators.wastage import update_units
 from idlewatch.plans.job import run_month
 from idlewatch.plans.monthly import utilization_plan, wastage_plan
 from idlewatch.session import shared_folder
@@ -37,15 +38,14 @@ DIGITS = 6
 
 
 def presented(df: DataFrame) -> DataFrame:
-    def shown(field: T.StructField) -> Column:
-        column = F.col(field.name)
+    def shown(field: T.StructField) -> str:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            column = F.round(column.cast("double"), DIGITS)
-        elif isinstance(field.dataType, (T.IntegerType, T.ShortType)):
-            column = column.cast("bigint")
-        return column.alias(field.name)
+            return f"round(CAST({field.name} AS DOUBLE), {DIGITS}) AS {field.name}"
+        if isinstance(field.dataType, (T.IntegerType, T.ShortType)):
+            return f"CAST({field.name} AS BIGINT) AS {field.name}"
+        return field.name
 
-    return df.select(*[shown(f) for f in df.schema])
+    return df.selectExpr(*[shown(f) for f in df.schema])
 
 
 def number(expression: str) -> str:
@@ -79,7 +79,7 @@ def new_folder(spark: SparkSession) -> str:
 def q_payer_max_date(spark, sf_dir):
     dates = payer_max_date(lines(spark, sf_dir))
     return presented(
-        dates.select("payer_id", report_name(F.col("service")).alias("product"), "max_date")
+        dates.selectExpr("payer_id", f"{report_name('service')} AS product", "max_date")
     )
 
 
@@ -95,13 +95,14 @@ def o_payer_max_date() -> str:
 def q_map_pivot_product(spark, sf_dir):
     """Key/value pivot: maximum per group of a looked-up map key."""
     lines_ = billing(spark, sf_dir)
-    return (
-        lines_.groupBy("bill_payer_account_id", "line_item_line_item_type")
-        .agg(
-            F.max(product_value(lines_, "region")).alias("region_code"),
-            F.max(product_value(lines_, "product_name")).alias("product_name"),
-            F.count(product_value(lines_, "product_name")).alias("named"),
-        )
+    name = product_value(lines_, "product_name")
+    pivoted = {
+        "region_code": f"max({product_value(lines_, 'region')})",
+        "product_name": f"max({name})",
+        "named": f"count({name})",
+    }
+    return lines_.groupBy("bill_payer_account_id", "line_item_line_item_type").agg(
+        *aggregates(pivoted)
     )
 
 
@@ -124,7 +125,7 @@ DIMENSION = {
 def q_reservation_dim(spark, sf_dir):
     dimension = reservation_dimension(lines(spark, sf_dir), YEAR, MONTH)
     return presented(
-        dimension.withColumn("service", report_name(F.col("service"))).select(*DIMENSION)
+        dimension.withColumn("service", F.expr(report_name("service"))).select(*DIMENSION)
     )
 
 
@@ -233,15 +234,10 @@ REGION_PREFIXES = [f"{prefix}-" for _, prefix, _ in fixed.REGIONS] + ["", "ZZZ9-
 
 def coded(spark, sf_dir, **columns) -> DataFrame:
     """lineitem with one text per column, picked by a key column's remainder."""
-    rows = table(spark, sf_dir, "lineitem")
-
-    def picked(key: str, values: list) -> Column:
-        texts = F.array(*[F.lit(v).cast("string") for v in values])
-        return F.get(texts, (F.col(key) % len(values)).cast("int"))
-
-    return rows.select(
-        "l_quantity", *[picked(key, values).alias(name) for name, (key, values) in columns.items()]
-    )
+    picked = {
+        name: pick(values, f"{key} % {len(values)}") for name, (key, values) in columns.items()
+    }
+    return table(spark, sf_dir, "lineitem").selectExpr("l_quantity", *aliased(picked))
 
 
 def coded_sql(**columns) -> str:
@@ -254,7 +250,7 @@ def coded_sql(**columns) -> str:
 
 def counted(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")
+        *aggregates({"n_lines": "count(1)", "quantity": "sum(l_quantity)"})
     )
 
 
@@ -274,7 +270,7 @@ USAGE_PARTS = {
 
 def usage_types(spark, sf_dir) -> DataFrame:
     rows = coded(spark, sf_dir, **USAGE_PARTS)
-    return rows.withColumn("usage_type", F.concat("prefix", F.lit(":"), "family", F.lit("."), "size"))
+    return rows.selectExpr("*", "concat(prefix, ':', family, '.', size) AS usage_type")
 
 
 USAGE_TYPES_SQL = (
@@ -284,14 +280,14 @@ USAGE_TYPES_SQL = (
 
 def q_size_factor(spark, sf_dir):
     rows = usage_types(spark, sf_dir)
-    factor = rules.size_factor(F.col("usage_type"), F.lit(7.5))
-    return counted(rows.withColumn("factor", factor), "usage_type", "factor")
+    factor = rules.size_factor("usage_type", "7.5D")
+    return counted(rows.selectExpr("*", f"{factor} AS factor"), "usage_type", "factor")
 
 
 def q_size_factor_multi_az(spark, sf_dir):
     rows = usage_types(spark, sf_dir)
-    factor = rules.size_factor_zoned(F.col("usage_type"), F.lit(7.5))
-    return counted(rows.withColumn("factor", factor), "usage_type", "factor")
+    factor = rules.size_factor_zoned("usage_type", "7.5D")
+    return counted(rows.selectExpr("*", f"{factor} AS factor"), "usage_type", "factor")
 
 
 def o_factor(sql) -> str:
@@ -302,7 +298,8 @@ def o_factor(sql) -> str:
 def q_label(codes, rule):
     def query(spark, sf_dir):
         rows = coded(spark, sf_dir, operation=("l_partkey", codes))
-        return counted(rows.withColumn("label", rule(F.col("operation"))), "operation", "label")
+        labelled = rows.selectExpr("*", f"{rule('operation')} AS label")
+        return counted(labelled, "operation", "label")
 
     return query
 
@@ -320,14 +317,12 @@ FAMILY_CODES = {
 
 
 def q_family_label(spark, sf_dir):
-    rows = coded(spark, sf_dir, **FAMILY_CODES).withColumns(
-        {
-            "instance_type": F.concat("family", F.lit("."), "size"),
-            "engine": rules.engine_label(F.col("operation")),
-        }
+    rows = coded(spark, sf_dir, **FAMILY_CODES).selectExpr(
+        "*", "concat(family, '.', size) AS instance_type",
+        f"{rules.engine_label('operation')} AS engine",
     )
-    label = rules.family_label(F.col("instance_type"), F.col("engine"), fixed.OPEN_ENGINES, 2)
-    return counted(rows.withColumn("label", label), "instance_type", "engine", "label")
+    label = rules.family_label("instance_type", "engine", fixed.OPEN_ENGINES, 2)
+    return counted(rows.selectExpr("*", f"{label} AS label"), "instance_type", "engine", "label")
 
 
 def o_family_label() -> str:
@@ -342,8 +337,8 @@ REGION_PARTS = {"region_code": ("l_partkey", REGION_CODES), "prefix": ("l_suppke
 
 def q_region_label(spark, sf_dir):
     rows = coded(spark, sf_dir, **REGION_PARTS)
-    label = rules.region_label(F.col("region_code"), F.concat("prefix", F.lit("BoxUsage")))
-    return counted(rows.withColumn("label", label), "region_code", "prefix", "label")
+    label = rules.region_label("region_code", "concat(prefix, 'BoxUsage')")
+    return counted(rows.selectExpr("*", f"{label} AS label"), "region_code", "prefix", "label")
 
 
 def o_region_label() -> str:
@@ -359,22 +354,20 @@ def o_region_label() -> str:
 def q_hour_grid(spark, sf_dir):
     """Hour grid of every month that has orders, with the orders per hour."""
     orders = table(spark, sf_dir, "orders").select("o_orderdate")
-    first = timeops.first_of_month(F.col("o_orderdate"))
-    months = orders.select(first.alias("first")).distinct()
-    placed = orders.groupBy(timeops.hour_floor(F.col("o_orderdate")).alias("startdate")).agg(
-        F.count(F.lit(1)).alias("n_orders")
-    )
-    after = timeops.first_of_next_month(F.col("first"))
-    grid = months.select(
-        F.explode(timeops.hours_between(F.col("first"), after)).alias("startdate"),
-        timeops.days_crossed(F.col("first"), after).alias("days"),
-    )
+    months = orders.selectExpr(
+        f"{timeops.first_of_month('o_orderdate')} AS first",
+        f"{timeops.first_of_next_month('o_orderdate')} AS after",
+    ).distinct()
+    placed = orders.selectExpr(f"{timeops.hour_floor('o_orderdate')} AS startdate")
+    grid = months.selectExpr(
+        f"explode({timeops.hours_between('first', 'after')}) AS startdate",
+        f"{timeops.days_crossed('first', 'after')} AS days",
+    )
+    counted_ = placed.groupBy("startdate").agg(*aggregates({"n": "count(1)"}))
     return presented(
-        grid.join(placed, "startdate", "left").select(
-            "startdate",
-            timeops.hour_end(F.col("startdate")).alias("enddate"),
-            "days",
-            F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+        grid.join(counted_, "startdate", "left").selectExpr(
+            "startdate", f"{timeops.hour_end('startdate')} AS enddate", "days",
+            "coalesce(n, 0L) AS n_orders",
         )
     )
 
@@ -394,11 +387,9 @@ O_HOUR_GRID = """
 
 def intervals(spark, sf_dir) -> DataFrame:
     """One interval per event: sub-second starts, 0 to 55 hours long, some reversed."""
-    seconds = (F.col("event_id") % 200) * 1000 - 5000
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("ts").alias("s"),
-        (F.col("ts") + F.make_dt_interval(secs=seconds)).alias("e"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts AS s",
+        "ts + make_dt_interval(0, 0, 0, (event_id % 200) * 1000 - 5000) AS e",
     )
 
 
@@ -408,10 +399,11 @@ INTERVALS_SQL = f"""
     {oracle.GRID.strip()}"""
 
 
+COVERED = f"explode({timeops.covered_hours('s', 'e', YEAR, MONTH)}) AS hour"
+
+
 def q_interval_to_hours(spark, sf_dir):
-    s, e = F.col("s"), F.col("e")
-    hours = timeops.covered_hours(s, e, YEAR, MONTH)
-    return intervals(spark, sf_dir).select("event_id", F.explode(hours).alias("hour"))
+    return intervals(spark, sf_dir).selectExpr("event_id", COVERED)
 
 
 O_INTERVAL_TO_HOURS = f"""WITH {INTERVALS_SQL}
@@ -419,15 +411,13 @@ O_INTERVAL_TO_HOURS = f"""WITH {INTERVALS_SQL}
 
 
 def q_clipped_overlap_hours(spark, sf_dir):
-    s, e, hour = F.col("s"), F.col("e"), F.col("hour")
-    exploded = intervals(spark, sf_dir).withColumn(
-        "hour", F.explode(timeops.covered_hours(s, e, YEAR, MONTH))
-    )
-    return exploded.groupBy("event_id").agg(
-        F.sum(timeops.overlap_hours(s, e, hour)).alias("overlap"),
-        F.sum(timeops.hours_per_match(s, e)).alias("overlap_closed_form"),
-        F.max(timeops.hours_crossed(s, e)).alias("crossed"),
-    )
+    overlaps = {
+        "overlap": f"sum({timeops.overlap_hours('s', 'e', 'hour')})",
+        "overlap_closed_form": f"sum({timeops.hours_per_match('s', 'e')})",
+        "crossed": f"max({timeops.hours_crossed('s', 'e')})",
+    }
+    exploded = intervals(spark, sf_dir).selectExpr("*", COVERED)
+    return exploded.groupBy("event_id").agg(*aggregates(overlaps))
 
 
 O_CLIPPED_OVERLAP_HOURS = f"""WITH {INTERVALS_SQL},
@@ -441,11 +431,9 @@ O_CLIPPED_OVERLAP_HOURS = f"""WITH {INTERVALS_SQL},
 
 
 def q_point_to_hour(spark, sf_dir):
-    ts = F.col("ts")
-    return (
-        table(spark, sf_dir, "events").where(timeops.starts_in_an_hour(ts))
-        .groupBy(timeops.hour_floor(ts).alias("hour")).agg(F.count(F.lit(1)).alias("n_events"))
-    )
+    placed = table(spark, sf_dir, "events").where(timeops.starts_in_an_hour("ts"))
+    hours = placed.selectExpr(f"{timeops.hour_floor('ts')} AS hour")
+    return hours.groupBy("hour").agg(*aggregates({"n_events": "count(1)"}))
 
 
 O_POINT_TO_HOUR = f"""WITH {oracle.GRID.strip()}
@@ -462,21 +450,23 @@ OWNED_PRODUCTS = ["EC2(RIs)", "RDS"]
 def usage_by_hour(spark, sf_dir, line_type: str) -> DataFrame:
     """A small stand-in for the fact table: usage per product, payer and hour."""
     rows = usage(spark, sf_dir).where(F.col("line_item_line_item_type") == line_type)
-    name = rules.first_match(
-        (product_value(rows, "product_name").isin(*s.products), F.lit(s.report_name))
-        for s in SERVICES
+    product = report_name(f"({service_of(product_value(rows, 'product_name'))})")
+    columns = {
+        "product_name": product,
+        "bill_payeraccountid": "bill_payer_account_id",
+        "lineitem_usagestartdate": "line_item_usage_start_date",
+    }
+    return (
+        rows.selectExpr(*aliased(columns), "line_item_usage_amount AS amount")
+        .groupBy(*columns)
+        .agg(*aggregates({"amount": "sum(amount)"}))
     )
-    return rows.groupBy(
-        name.alias("product_name"),
-        F.col("bill_payer_account_id").alias("bill_payeraccountid"),
-        F.col("line_item_usage_start_date").alias("lineitem_usagestartdate"),
-    ).agg(F.sum("line_item_usage_amount").alias("amount"))
 
 
 def q_replace_slice(spark, sf_dir):
     owned = slice_predicate(YEAR, MONTH, OWNED_PAYERS, OWNED_PRODUCTS)
     new = usage_by_hour(spark, sf_dir, fixed.VM_DISCOUNTED).where(owned)
-    new = new.withColumn("revised", F.lit(1))
+    new = new.selectExpr("*", "1 AS revised")
     return presented(replaced(usage_by_hour(spark, sf_dir, fixed.DISCOUNTED), new, owned))
 
 
@@ -502,7 +492,7 @@ def o_replace_slice() -> str:
 
 
 def q_high_water_mark(spark, sf_dir):
-    requested = payers(spark, sf_dir).select(F.col("payer_account_id").alias("payer_id"))
+    requested = payers(spark, sf_dir).selectExpr("payer_account_id AS payer_id")
     return high_water_marks(facts(spark, sf_dir), requested)
 
 
@@ -521,28 +511,21 @@ def o_high_water_mark() -> str:
 def exports(spark, sf_dir):
     """Payer configurations out of customers: requested, refresh table, fallback."""
     customer = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    config = customer.select(
-        (F.lit(shapes.ACCOUNT_BASE).cast("bigint") + key).alias("payer_account_id"),
-        F.col("c_name").alias("payer_name"),
-        F.concat(
-            F.when(key % 2 == 0, "s3://").otherwise(""),
-            F.when(key % 5 == 0, " bill-nonprod-").otherwise("bill-"), key.cast("string"),
-            F.when(key % 7 != 0, F.concat(F.lit("/exports/"), F.lower("c_mktsegment"), F.lit("/ "))).otherwise(""),
-        ).alias("payer_bucket_path"),
-        (F.col("c_acctbal") >= 2000).alias("enable_refresh_payer"),
+    payer_id = text_id(shapes.ACCOUNT_BASE, "c_custkey")
+    location = """concat(
+        CASE WHEN c_custkey % 2 = 0 THEN 's3://' ELSE '' END,
+        CASE WHEN c_custkey % 5 = 0 THEN ' bill-nonprod-' ELSE 'bill-' END, c_custkey,
+        CASE WHEN c_custkey % 7 <> 0 THEN concat('/exports/', lower(c_mktsegment), '/ ') ELSE '' END)"""
+    config = customer.selectExpr(
+        f"{shapes.ACCOUNT_BASE}L + c_custkey AS payer_account_id", "c_name AS payer_name",
+        f"{location} AS payer_bucket_path", "c_acctbal >= 2000 AS enable_refresh_payer",
     )
-    fallback = customer.where("c_nationkey >= 8").select(
-        (F.lit(shapes.ACCOUNT_BASE).cast("bigint") + key).cast("string").alias("payer_id"),
-        F.lower("c_name").alias("name"),
-        F.concat(F.lit("local-nonprod-"), key.cast("string")).alias("bucket"),
-        F.lit("exports").alias("path"),
-        F.lit("LOCAL").alias("access_type"),
+    fallback = customer.where("c_nationkey >= 8").selectExpr(
+        f"{payer_id} AS payer_id", "lower(c_name) AS name",
+        "concat('local-nonprod-', c_custkey) AS bucket", "'exports' AS path",
+        "'LOCAL' AS access_type",
     )
-    requested = customer.select(
-        (F.lit(shapes.ACCOUNT_BASE).cast("bigint") + key).cast("string").alias("payer_id")
-    )
-    return requested, config, fallback
+    return customer.selectExpr(f"{payer_id} AS payer_id"), config, fallback
 
 
 CONFIG_SQL = f"""
@@ -576,21 +559,13 @@ O_PAYER_CONFIG = f"WITH {CONFIG_SQL} SELECT * FROM resolved"
 
 def listing(spark, sf_dir):
     """A file listing out of orders: one file per order, newest marks out of urgent orders."""
-    orders = table(spark, sf_dir, "orders")
-    payer = (F.lit(shapes.ACCOUNT_BASE).cast("bigint") + F.col("o_custkey")).cast("string")
-    files = orders.select(
-        payer.alias("payer_id"),
-        F.concat(
-            F.lit("data/"), F.col("o_orderkey").cast("string"),
-            F.when(F.col("o_orderstatus") == "P", "/").otherwise(".parquet"),
-        ).alias("key"),
-        F.col("o_orderdate").alias("last_modified"),
-    )
-    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    marks = orders.where(urgent).groupBy(payer.alias("payer_id")).agg(
-        F.max("o_orderdate").alias("mark")
+    files = table(spark, sf_dir, "orders").selectExpr(
+        f"{text_id(shapes.ACCOUNT_BASE, 'o_custkey')} AS payer_id",
+        "concat('data/', o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '/' ELSE '.parquet' END) AS key",
+        "o_orderdate AS last_modified",
+        "o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent",
     )
-    return files, marks
+    return files.drop("urgent"), file_marks(files.where("urgent"))
 
 
 LISTING_SQL = f"""
@@ -644,19 +619,17 @@ def q_run_summary(spark, sf_dir):
 # --- files and jobs -------------------------------------------------------------------------
 
 
-def line_totals() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("n_lines"),
-        F.round(F.sum("line_item_usage_amount"), DIGITS).alias("amount"),
-        F.count("reservation_reservation_a_r_n").alias("n_arns"),
-    ]
-
-
+LINE_TOTALS = {
+    "n_lines": "count(1)",
+    "amount": f"round(sum(line_item_usage_amount), {DIGITS})",
+    "n_arns": "count(reservation_reservation_a_r_n)",
+}
 PER_PAYER_SQL = f"count(*) AS n_lines, {number('sum(amount)')} AS amount, count(arn) AS n_arns"
 
 
-def per_payer(lines_: DataFrame, *keys: str) -> DataFrame:
-    return lines_.groupBy(*keys, F.col("bill_payer_account_id").alias("payer_id")).agg(*line_totals())
+def per_payer(lines_: DataFrame) -> DataFrame:
+    named = lines_.withColumnRenamed("bill_payer_account_id", "payer_id")
+    return named.groupBy("payer_id").agg(*aggregates(LINE_TOTALS))
 
 
 def q_merged_schema_scan(spark, sf_dir):
@@ -669,9 +642,10 @@ def q_merged_schema_scan(spark, sf_dir):
     plain.toDF(*[c.upper() for c in plain.columns]).write.parquet(f"{root}/part=usage")
     merged = merged_scan(spark, root)
     return merged.groupBy("line_item_line_item_type").agg(
-        *line_totals(),
-        F.count("product").alias("n_products"),
-        F.count("line_item_operation").alias("n_operations"),
+        *aggregates(
+            LINE_TOTALS
+            | {"n_products": "count(product)", "n_operations": "count(line_item_operation)"}
+        )
     )
 
 
@@ -681,12 +655,8 @@ O_MERGED_SCHEMA_SCAN = f"""WITH {oracle.BILL}
       count(operation) FILTER (WHERE item = 'RIFee') AS n_operations
     FROM bill GROUP BY item"""
 
-
-def is_late() -> Column:
-    return F.col("line_item_usage_start_date") >= F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'")
-
-
-MIDDLE_SQL = "TIMESTAMP '2024-01-16 00:00:00'"
+MIDDLE = "TIMESTAMP '2024-01-16 00:00:00'"
+LATE = "line_item_usage_start_date >= TIMESTAMP_NTZ '2024-01-16 00:00:00'"
 
 
 def write_export(lines_: DataFrame, base: str) -> None:
@@ -697,35 +667,33 @@ def q_incremental_files(spark, sf_dir):
     """Files written after the first wave's newest one, found by modification time."""
     base = new_folder(spark)
     lines_ = billing(spark, sf_dir)
-    late = is_late()
-    write_export(lines_.where(~late), base)
+    write_export(lines_.where(f"NOT ({LATE})"), base)
     first_wave = file_listing(spark, base).withColumn("payer_id", F.lit("all"))
     # File times are compared in milliseconds; one more keeps the waves apart.
     mark = file_marks(first_wave).first().mark + timedelta(milliseconds=1)
-    write_export(lines_.where(late), base)
+    write_export(lines_.where(LATE), base)
     since = mark.isoformat(timespec="milliseconds")
     return per_payer(merged_scan(spark, billing_period_path(base, YEAR, MONTH), modifiedAfter=since))
 
 
 O_INCREMENTAL_FILES = f"""WITH {oracle.BILL}
-    SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill WHERE s >= {MIDDLE_SQL} GROUP BY payer"""
+    SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill WHERE s >= {MIDDLE} GROUP BY payer"""
 
 
 def q_staged_slice(spark, sf_dir):
     """Export, stage, stage again with a payer's month changed: each slice is whole once."""
     base, root = new_folder(spark), new_folder(spark)
     lines_ = billing(spark, sf_dir)
-    late = is_late()
-    write_export(lines_.where(~late), base)
+    write_export(lines_.where(f"NOT ({LATE})"), base)
     stage_exports(spark, [base], root, YEAR, MONTH, shapes.PAYER_IDS)
-    write_export(lines_.where(late), base)
+    write_export(lines_.where(LATE), base)
     stage_exports(spark, [base], root, YEAR, MONTH, OWNED_PAYERS)
     return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))
 
 
 O_STAGED_SLICE = f"""WITH {oracle.BILL}
     SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill
-    WHERE s < {MIDDLE_SQL} OR payer IN {oracle.in_list(OWNED_PAYERS)} GROUP BY payer"""
+    WHERE s < {MIDDLE} OR payer IN {oracle.in_list(OWNED_PAYERS)} GROUP BY payer"""
 
 
 def q_monthly_job(spark, sf_dir):
@@ -744,8 +712,7 @@ def q_streaming_intake(spark, sf_dir):
     """Two waves of export files, each followed once; touched slices are restaged whole."""
     base, root, checkpoint = new_folder(spark), new_folder(spark), new_folder(spark)
     lines_ = billing(spark, sf_dir)
-    late = is_late()
-    for wave in (lines_.where(~late), lines_.where(late)):
+    for wave in (lines_.where(f"NOT ({LATE})"), lines_.where(LATE)):
         write_export(wave, base)
         source = billing_period_path(base, YEAR, MONTH)
         stream = export_stream(spark, source, lines_.schema)

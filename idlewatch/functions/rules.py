@@ -1,105 +1,98 @@
-"""Ordered lookup rules as Column expressions (built-in functions only)."""
+"""Ordered lookup rules as SQL expressions over built-in functions."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from idlewatch.functions import fixed_values as fixed
+from idlewatch.functions.sql import any_of, first_match, text, text_list, text_map
 
 
-def first_match(rules: Iterable[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
-    """CASE over (condition, value) pairs; without ``otherwise`` unmatched rows are NULL."""
-    rules = list(rules)
-    chain = reduce(
-        lambda case, rule: case.when(rule[0], rule[1]), rules[1:], F.when(*rules[0])
-    )
-    return chain if otherwise is None else chain.otherwise(otherwise)
-
-
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def contains(column: str, fragment: str) -> str:
+    return f"contains({column}, {text(fragment)})"
 
 
-def missing_or_zero(value: Column) -> Column:
+def missing_or_zero(value: str) -> str:
     """True where a stored factor or amount has to be derived instead."""
-    return value.isNull() | (value == 0)
+    return f"({value} IS NULL OR {value} = 0)"
 
 
-def size_factor(usage_type: Column, stored: Column) -> Column:
-    """Normalisation factor by size; the stored factor where no size is recognised."""
+def _sized(usage_type: str, otherwise: str) -> str:
     return first_match(
-        [(usage_type.contains(size), F.lit(factor)) for size, factor in fixed.SIZE_FACTORS],
-        stored.cast("double"),
+        ((contains(usage_type, size), f"{factor}D") for size, factor in fixed.SIZE_FACTORS),
+        otherwise,
     )
 
 
-def size_factor_zoned(usage_type: Column, stored: Column) -> Column:
-    """Size factor for databases: doubled for multi-zone deployments."""
-    single = any_of(usage_type.contains(m) for m in fixed.SINGLE_ZONE_MARKERS)
-    multi = any_of(usage_type.contains(m) for m in fixed.MULTI_ZONE_MARKERS)
-    by_size = size_factor(usage_type, F.lit(None))
-    # A recognised size without a zone marker falls through to the stored factor,
-    # exactly like an unknown size: no other size can match it with a marker either.
-    return F.coalesce(
-        F.when(single, by_size).when(multi, by_size * fixed.MULTI_ZONE_WEIGHT),
-        stored.cast("double"),
-    )
+def size_factor(usage_type: str, stored: str) -> str:
+    """Normalisation factor by size; the stored factor where no size is recognised."""
+    return _sized(usage_type, stored)
+
 
+def size_factor_zoned(usage_type: str, stored: str) -> str:
+    """Size factor for databases: doubled for multi-zone deployments.
 
-def os_label(operation: Column) -> Column:
+    A recognised size without a zone marker keeps the stored factor, like an unknown
+    size: without a marker no other size could match either.
+    """
+    single = any_of(contains(usage_type, m) for m in fixed.SINGLE_ZONE_MARKERS)
+    multi = any_of(contains(usage_type, m) for m in fixed.MULTI_ZONE_MARKERS)
+    zones = first_match([(single, "1D"), (multi, f"{fixed.MULTI_ZONE_WEIGHT}D")])
+    return f"coalesce({_sized(usage_type, 'NULL')} * {zones}, {stored})"
+
+
+def os_label(operation: str) -> str:
+    prefix = fixed.COMPUTE_OPERATION
     coded = [
-        (operation.startswith(f"{fixed.COMPUTE_OPERATION}:{code}"), F.lit(label))
+        (f"startswith({operation}, {text(f'{prefix}:{code}')})", text(label))
         for code, label in fixed.COMPUTE_CODES
     ]
-    plain = (operation == fixed.COMPUTE_OPERATION, F.lit(fixed.COMPUTE_PLAIN_LABEL))
-    return first_match([plain, *coded], F.lit(""))
+    plain = (f"{operation} = {text(prefix)}", text(fixed.COMPUTE_PLAIN_LABEL))
+    return first_match([plain, *coded], "''")
 
 
-def _code_label(operation: Column, prefix: str, codes: Iterable[tuple[str, str]]) -> Column:
-    pairs = [F.lit(text) for code, label in codes for text in (f"{prefix}:{code}", label)]
-    return F.try_element_at(F.create_map(*pairs), operation)
+def _code_label(operation: str, prefix: str, codes: Iterable[tuple[str, str]]) -> str:
+    return f"try_element_at({text_map((f'{prefix}:{c}', label) for c, label in codes)}, {operation})"
 
 
-def engine_label(operation: Column) -> Column:
-    return F.coalesce(
-        _code_label(operation, fixed.DATABASE_OPERATION, fixed.DATABASE_CODES), F.lit("")
-    )
+def engine_label(operation: str) -> str:
+    label = _code_label(operation, fixed.DATABASE_OPERATION, fixed.DATABASE_CODES)
+    return f"coalesce({label}, '')"
 
 
-def cache_engine_label(operation: Column) -> Column:
+def cache_engine_label(operation: str) -> str:
     """NULL for an unknown operation, unlike the other label rules."""
     return _code_label(operation, fixed.CACHE_OPERATION, fixed.CACHE_CODES)
 
 
-def is_accelerator(family: Column) -> Column:
-    return any_of(family.ilike(f"%{name}%") for name in fixed.ACCELERATOR_FAMILIES)
+def is_accelerator(family: str) -> str:
+    return any_of(contains(f"lower({family})", name) for name in fixed.ACCELERATOR_FAMILIES)
 
 
-def shares_family(engine: Column, open_names: Iterable[str]) -> Column:
+def shares_family(engine: str, open_names: Iterable[str]) -> str:
     """Own-licence and open engines share a reservation over all sizes of a family."""
-    return engine.contains(fixed.BYOL_MARKER) | engine.isin(*open_names)
+    return f"({contains(engine, fixed.BYOL_MARKER)} OR {engine} IN {text_list(open_names)})"
 
 
-def family_label(
-    instance_type: Column, engine: Column, open_names: Iterable[str], part: int
-) -> Column:
+def family_label(instance_type: str, engine: str, open_names: Iterable[str], part: int) -> str:
     """Family for shared reservations, the full instance type for all others."""
-    family = F.split_part(instance_type, F.lit("."), F.lit(part))
     return first_match(
-        [(is_accelerator(instance_type), instance_type), (shares_family(engine, open_names), family)],
+        [
+            (is_accelerator(instance_type), instance_type),
+            (shares_family(engine, open_names), f"split_part({instance_type}, '.', {part})"),
+        ],
         instance_type,
     )
 
 
-def region_label(region_code: Column, usage_type: Column) -> Column:
+def region_label(region_code: str, usage_type: str) -> str:
     return first_match(
-        [
-            (region_code.startswith(code) | usage_type.contains(f"{prefix}-"), F.lit(place))
+        (
+            (
+                f"startswith({region_code}, {text(code)}) OR {contains(usage_type, f'{prefix}-')}",
+                text(place),
+            )
             for code, prefix, place in fixed.REGIONS
-        ],
-        F.lit(""),
+        ),
+        "''",
     )

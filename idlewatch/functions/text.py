@@ -1,34 +1,32 @@
-"""Locations and file names."""
+"""Locations and file names, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# Blank, tab, line feed, carriage return, vertical tab, form feed.
+BLANKS = "' \\t\\n\\r' || char(11) || char(12)"
 
-WHITESPACE = " \t\n\r\x0b\x0c"
 
+def _without_scheme(location: str) -> str:
+    return f"regexp_replace({location}, '^s3://', '')"
 
-def _without_scheme(location: Column) -> Column:
-    return F.regexp_replace(location, "^s3://", "")
 
-
-def bucket_of(location: Column) -> Column:
+def bucket_of(location: str) -> str:
     """``s3://bucket/path`` -> bucket; the scheme is optional."""
-    return F.trim(F.split_part(_without_scheme(location), F.lit("/"), F.lit(1)), F.lit(WHITESPACE))
+    return f"trim(BOTH {BLANKS} FROM split_part({_without_scheme(location)}, '/', 1))"
 
 
-def path_of(location: Column) -> Column:
+def path_of(location: str) -> str:
     """Everything after the first ``/`` of the location, '' if there is none."""
-    rest = F.regexp_extract(_without_scheme(location), "(?s)^[^/]*/(.*)$", 1)
-    return F.trim(rest, F.lit(WHITESPACE))
+    rest = f"regexp_extract({_without_scheme(location)}, '(?s)^[^/]*/(.*)$', 1)"
+    return f"trim(BOTH {BLANKS} FROM {rest})"
 
 
-def base_name(key: Column) -> Column:
-    return F.element_at(F.split(key, "/"), -1)
+def base_name(key: str) -> str:
+    return f"element_at(split({key}, '/'), -1)"
 
 
-def environment_bucket(bucket: Column, environment: str) -> Column:
+def environment_bucket(bucket: str, environment: str) -> str:
     """Production reads the bucket without its ``-nonprod`` marker."""
     if environment.lower() != "prod":
         return bucket
-    return F.replace(bucket, F.lit("-nonprod"), F.lit(""))
+    return f"replace({bucket}, '-nonprod', '')"

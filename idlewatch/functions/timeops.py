@@ -1,22 +1,18 @@
-"""Hour arithmetic on timestamps without time zone.
+"""Hour arithmetic on timestamps without time zone, as SQL expressions.
 
-Everything here works on ``timestamp_ntz`` through interval arithmetic, so results do
-not depend on the session time zone (``date_trunc`` and ``timestampdiff`` do: both go
+Everything works on ``timestamp_ntz`` through interval arithmetic, so results do not
+depend on the session time zone (``date_trunc`` and ``timestampdiff`` do: both go
 through the zoned type).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-
-def hours(count: int) -> Column:
-    return F.expr(f"INTERVAL '{count}' HOUR")
-
-
-def seconds(count: float) -> Column:
-    return F.expr(f"INTERVAL '{count}' SECOND")
+HOUR = "INTERVAL '1' HOUR"
+SECOND = "INTERVAL '1' SECOND"
+TWO_SECONDS = "INTERVAL '2' SECOND"
+LAST_OF_SECOND = "INTERVAL '0.999999' SECOND"
 
 
 def check_month(year: int, month: int) -> None:
@@ -26,87 +22,82 @@ def check_month(year: int, month: int) -> None:
         raise ValueError(f"month {month} is outside 1-12")
 
 
-def month_bounds(year: int, month: int) -> tuple[Column, Column]:
-    """First instant of the month and of the next month, as foldable literals."""
+def month_bounds(year: int, month: int) -> tuple[str, str]:
+    """First instant of the month and of the next month, as literals."""
     check_month(year, month)
     following = (year + 1, 1) if month == 12 else (year, month + 1)
     first, after = (
-        F.expr(f"TIMESTAMP_NTZ '{y:04d}-{m:02d}-01 00:00:00'") for y, m in ((year, month), following)
+        f"TIMESTAMP_NTZ '{y:04d}-{m:02d}-01 00:00:00'" for y, m in ((year, month), following)
     )
     return first, after
 
 
-def in_month(ts: Column, year: int, month: int) -> Column:
+def in_month(ts: str, year: int, month: int) -> str:
     """Half-open range instead of EXTRACT, so that it reaches the Parquet scan."""
     first, after = month_bounds(year, month)
-    return (ts >= first) & (ts < after)
+    return f"({ts} >= {first} AND {ts} < {after})"
 
 
-def hour_floor(ts: Column) -> Column:
-    return ts - F.make_dt_interval(
-        F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts)
-    )
+def first_of_month(ts: str) -> str:
+    return f"make_timestamp_ntz(year({ts}), month({ts}), 1, 0, 0, 0)"
 
 
-def hour_end(hour: Column) -> Column:
-    """Last whole second of the hour that starts at ``hour``."""
-    return hour + hours(1) - seconds(1)
+def first_of_next_month(ts: str) -> str:
+    return f"({first_of_month(ts)} + INTERVAL '1' MONTH)"
 
 
-def hours_crossed(earlier: Column, later: Column) -> Column:
-    """Number of hour boundaries between two timestamps (not elapsed whole hours)."""
-    return (hour_floor(later) - hour_floor(earlier)).cast("interval hour").cast("bigint")
+def hour_floor(ts: str) -> str:
+    return f"({ts} - make_dt_interval(0, 0, minute({ts}), extract(SECOND FROM {ts})))"
 
 
-def days_crossed(earlier: Column, later: Column) -> Column:
-    return F.datediff(later, earlier)
+def hour_end(hour: str) -> str:
+    """Last whole second of the hour that starts at ``hour``."""
+    return f"({hour} + {HOUR} - {SECOND})"
 
 
-def strict_greatest(a: Column, b: Column) -> Column:
-    """NULL if either side is NULL (the built-in skips NULLs)."""
-    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
+def hours_crossed(earlier: str, later: str) -> str:
+    """Number of hour boundaries between two timestamps (not elapsed whole hours)."""
+    return f"CAST(CAST({hour_floor(later)} - {hour_floor(earlier)} AS INTERVAL HOUR) AS BIGINT)"
 
 
-def strict_least(a: Column, b: Column) -> Column:
-    return F.when(a.isNotNull() & b.isNotNull(), F.least(a, b))
+def days_crossed(earlier: str, later: str) -> str:
+    return f"datediff({later}, {earlier})"
 
 
-def first_of_month(ts: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.lit(1), zero, zero, zero)
+def strict_greatest(a: str, b: str) -> str:
+    """NULL if either side is NULL (the built-in skips NULLs)."""
+    return f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN greatest({a}, {b}) END"
 
 
-def first_of_next_month(ts: Column) -> Column:
-    return first_of_month(ts) + F.expr("INTERVAL '1' MONTH")
+def strict_least(a: str, b: str) -> str:
+    return f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN least({a}, {b}) END"
 
 
-def hours_between(first: Column, after: Column) -> Column:
+def hours_between(first: str, after: str) -> str:
     """All whole hours of [first, after) as one array."""
-    return F.sequence(first, after - hours(1), hours(1))
+    return f"sequence({first}, {after} - {HOUR}, {HOUR})"
 
 
 def hour_grid(spark: SparkSession, year: int, month: int) -> DataFrame:
-    return (
-        spark.range(1)
-        .select(F.explode(hours_between(*month_bounds(year, month))).alias("startdate"))
-        .select("startdate", hour_end(F.col("startdate")).alias("enddate"))
-    )
+    hours = hours_between(*month_bounds(year, month))
+    grid = spark.range(1).selectExpr(f"explode({hours}) AS startdate")
+    return grid.selectExpr("startdate", f"{hour_end('startdate')} AS enddate")
 
 
-def first_hour(start: Column) -> Column:
+def first_hour(start: str) -> str:
     """First hour a start can belong to.
 
     An hour ends at its last whole second, so a start within the final fraction of a
     second belongs to no hour and the next hour is the first one it can touch.
     """
-    return hour_floor(start + seconds(0.999999))
+    return hour_floor(f"({start} + {LAST_OF_SECOND})")
 
 
-def starts_in_an_hour(start: Column) -> Column:
-    return first_hour(start) == hour_floor(start)
+def starts_in_an_hour(start: str) -> str:
+    return f"({first_hour(start)} = {hour_floor(start)})"
 
 
-def covered_hours(start: Column, end: Column, year: int, month: int) -> Column:
+def covered_hours(start: str, end: str, year: int, month: int) -> str:
     """Hours of the month that the interval [start, end] is billed for (NULL if none).
 
     This is the closed form of "interval overlaps the hour, and the hour is not the one
@@ -115,30 +106,28 @@ def covered_hours(start: Column, end: Column, year: int, month: int) -> Column:
     start lies in.
     """
     first, after = month_bounds(year, month)
-    low = F.greatest(first_hour(start), first)
-    high = F.least(hour_floor(end), after) - hours(1)
-    starting = hour_floor(start)
-    return F.when((start <= end) & (low <= high), F.sequence(low, high, hours(1))).when(
-        (start > end)
-        & (hour_floor(end) != starting)
-        & (first_hour(start) == starting)
-        & (starting >= first)
-        & (starting < after),
-        F.array(starting),
-    )
+    low = f"greatest({first_hour(start)}, {first})"
+    high = f"(least({hour_floor(end)}, {after}) - {HOUR})"
+    return f"""CASE
+      WHEN {start} <= {end} AND {low} <= {high} THEN sequence({low}, {high}, {HOUR})
+      WHEN {start} > {end} AND {hour_floor(end)} <> {hour_floor(start)}
+        AND {starts_in_an_hour(start)} AND {in_month(start, year, month)}
+        THEN array({hour_floor(start)})
+    END"""
 
 
-def overlap_hours(start: Column, end: Column, hour: Column) -> Column:
+def overlap_hours(start: str, end: str, hour: str) -> str:
     """Billed hours of the interval clipped to one hour."""
-    clipped_end = strict_least(end, hour_end(hour)) + seconds(2)
-    return hours_crossed(strict_greatest(start, hour), clipped_end)
+    clipped_end = f"({strict_least(end, hour_end(hour))} + {TWO_SECONDS})"
+    return hours_crossed(f"({strict_greatest(start, hour)})", clipped_end)
 
 
-def hours_per_match(start: Column, end: Column) -> Column:
+def hours_per_match(start: str, end: str) -> str:
     """``overlap_hours`` for any hour out of ``covered_hours``, without that hour.
 
     Inside a proper interval every covered hour counts as exactly one.
     """
-    return F.when(start <= end, F.lit(1).cast("bigint")).otherwise(
-        hours_crossed(start, end + seconds(2))
+    return (
+        f"CASE WHEN {start} <= {end} THEN 1L"
+        f" ELSE {hours_crossed(start, f'({end} + {TWO_SECONDS})')} END"
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions.rules import region_label
-from idlewatch.functions.timeops import in_month, seconds
+from idlewatch.functions.sql import aggregates, text
+from idlewatch.functions.timeops import SECOND, in_month
+from idlewatch.operators.lines import FEE
 from idlewatch.operators.services import (
     engine_name, family_name, reservation_id, service_of, stored_or_sized_factor,
 )
@@ -24,11 +25,11 @@ def payer_max_date(lines: DataFrame) -> DataFrame:
     own date. Only a partial aggregate leaves the scan.
     """
     return (
-        lines.where(F.col("line_type") == fixed.DISCOUNTED)
-        .select("payer_id", service_of(F.col("product_name")).alias("service"), "started")
-        .where(F.col("service").isNotNull())
+        lines.where(f"line_type = {text(fixed.DISCOUNTED)}")
+        .selectExpr("payer_id", f"{service_of('product_name')} AS service", "started")
+        .where("service IS NOT NULL")
         .groupBy("payer_id", "service")
-        .agg((F.max("started") - seconds(1)).alias("max_date"))
+        .agg(*aggregates({"max_date": f"max(started) - {SECOND}"}))
     )
 
 
@@ -41,25 +42,24 @@ def reservation_dimension(lines: DataFrame, year: int, month: int) -> DataFrame:
     The result is partitioned by payer and ARN: the steps that follow group and join on
     these, and need no further exchange of the dimension.
     """
-    usage_type = F.col("usage_type")
-    fees = lines.where((F.col("line_type") == fixed.FEE) & in_month(F.col("started"), year, month))
+    factor = stored_or_sized_factor("product_name", "usage_type", "stored_factor")
     described = (
-        fees.withColumn(
-            "factor",
-            stored_or_sized_factor(F.col("product_name"), usage_type, F.col("stored_factor")),
-        )
+        lines.where(f"{FEE} AND {in_month('started', year, month)}")
+        .selectExpr("*", f"{factor} AS factor")
         .groupBy("arn", "usage_type", "factor", "operation", "payer_id", "usage_account")
-        .agg(F.max("region_code").alias("region_code"), F.max("product_name").alias("product_name"))
-        .withColumn("service", service_of(F.col("product_name")))
-        .where(F.col("service").isNotNull())
+        .agg(*aggregates({"region_code": "max(region_code)", "product_name": "max(product_name)"}))
+        .selectExpr("*", f"{service_of('product_name')} AS service")
+        .where("service IS NOT NULL")
     )
-    service = F.col("service")
     return (
         described.repartition("payer_id", "arn")
-        .withColumn("instance_type", F.split_part(usage_type, F.lit(":"), F.lit(2)))
-        .withColumn("engine", engine_name(service, F.col("operation")))
-        .withColumn("family", family_name(service, F.col("instance_type"), F.col("engine")))
-        .withColumn("region", region_label(F.col("region_code"), usage_type))
+        .selectExpr(
+            "*",
+            "split_part(usage_type, ':', 2) AS instance_type",
+            f"{engine_name('service', 'operation')} AS engine",
+            f"{region_label('region_code', 'usage_type')} AS region",
+        )
+        .selectExpr("*", f"{family_name('service', 'instance_type', 'engine')} AS family")
         .select("payer_id", "arn", *DESCRIPTION, "region_code", "factor")
         .distinct()
     )
@@ -73,7 +73,7 @@ def report_weights(dimension: DataFrame) -> DataFrame:
     the full dimension and summing again.
     """
     return dimension.groupBy("payer_id", "arn", *DESCRIPTION).agg(
-        F.count(F.lit(1)).alias("copies"), F.sum("factor").alias("factor_sum")
+        *aggregates({"copies": "count(1)", "factor_sum": "sum(factor)"})
     )
 
 
@@ -85,25 +85,23 @@ def reservations(dimension: DataFrame, payers: DataFrame, accounts: DataFrame) -
     small side, by the account part of the ARN; reservations of unknown accounts drop out.
     """
     hourly = [c for c in DESCRIPTION if c != "product_name"]
-    account_id = F.split_part(F.col("arn"), F.lit(":"), F.lit(5))
+    folded = {"copies": "sum(copies)", "factor_sum": "sum(factor_sum)", "groups": "count(1)"}
     return (
-        report_weights(dimension)
-        .where(F.col("arn") != "")
+        report_weights(dimension.where("arn <> ''"))
         .groupBy("payer_id", "arn", *hourly)
-        .agg(
-            F.sum("copies").alias("copies"),
-            F.sum("factor_sum").alias("factor_sum"),
-            F.count(F.lit(1)).alias("groups"),
+        .agg(*aggregates(folded))
+        .selectExpr(
+            "*",
+            f"{reservation_id('service', 'arn')} AS reservation_id",
+            "split_part(arn, ':', 5) AS account_id",
         )
-        .withColumn("reservation_id", reservation_id(F.col("service"), F.col("arn")))
-        .withColumn("account_id", account_id)
         .join(accounts.select("account_id", "family_type", "customer_name"), "account_id")
         .join(payer_names(payers), "payer_id", "left")
     )
 
 
 def payer_names(payers: DataFrame) -> DataFrame:
-    return payers.select(F.col("payer_account_id").alias("payer_id"), "payer_name")
+    return payers.selectExpr("payer_account_id AS payer_id", "payer_name")
 
 
 def with_cutoff(reservation_rows: DataFrame, max_dates: DataFrame) -> DataFrame:

@@ -10,15 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions.rules import missing_or_zero
-from idlewatch.functions.timeops import hours_crossed, seconds
+from idlewatch.functions.sql import aggregates, aliased, text, text_list
+from idlewatch.functions.timeops import TWO_SECONDS, hours_crossed
 
-MONEY = "decimal(30,8)"
+MONEY = "DECIMAL(30,8)"
 
 KEYS = (
     "payer_id", "arn", "line_type", "started", "ended", "offering", "reservations",
@@ -31,94 +32,92 @@ MEASURES = (
     "unblended_cost", "effective_cost", "on_demand_cost", "hourly_cost",
 )
 
+FEE = f"line_type = {text(fixed.FEE)}"
+USAGE = f"line_type IN {text_list(fixed.USAGE_TYPES)}"
+
 # An IN list longer than this becomes a semi join.
 LONG_LIST = 500
 
 
-def product_value(billing: DataFrame, key: str) -> Column:
+def product_value(billing: DataFrame, key: str) -> str:
     """One value of the product map; NULL for a missing key, an empty or a NULL map."""
-    product = F.col("product")
-    if isinstance(billing.schema["product"].dataType, T.ArrayType):
-        product = F.map_from_entries(product)
-    return F.try_element_at(product, F.lit(key))
+    is_list = isinstance(billing.schema["product"].dataType, T.ArrayType)
+    product = "map_from_entries(product)" if is_list else "product"
+    return f"try_element_at({product}, {text(key)})"
 
 
 def for_payers(billing: DataFrame, payer_ids: Sequence[str], column: str) -> DataFrame:
     """Rows of the listed payers; an empty list keeps nothing."""
     wanted = sorted(set(payer_ids))
     if len(wanted) <= LONG_LIST:
-        return billing.where(F.col(column).isin(*wanted) if wanted else F.lit(False))
+        return billing.where(F.col(column).isin(wanted) if wanted else F.lit(False))
     listed = billing.sparkSession.createDataFrame([(p,) for p in wanted], f"{column} string")
     return billing.join(listed, column, "left_semi")
 
 
-def hourly_effective_cost() -> Column:
+def hourly_effective_cost() -> str:
     """Rate plus the upfront fee spread over the hours and reservations of the line.
 
     A rate that is no number counts as none; a zero divisor gives NULL.
     """
-    hours = hours_crossed(F.col("started"), F.col("ended") + seconds(2))
-    upfront = F.col("reservation_amortized_upfront_fee_for_billing_period").cast("double")
-    rate = F.col("line_item_unblended_rate").try_cast("double")
-    return F.coalesce(rate, F.lit(0.0)) + F.when(hours == 0, F.lit(0.0)).otherwise(
-        F.try_divide(upfront, hours * F.col("reservations"))
-    )
+    hours = hours_crossed("started", f"(ended + {TWO_SECONDS})")
+    return f"""(
+      coalesce(try_cast(line_item_unblended_rate AS DOUBLE), 0D)
+      + CASE WHEN {hours} = 0 THEN 0D ELSE try_divide(
+          CAST(reservation_amortized_upfront_fee_for_billing_period AS DOUBLE),
+          {hours} * reservations) END)"""
 
 
 def billing_lines(billing: DataFrame, payer_ids: Sequence[str] | None = None) -> DataFrame:
     """Reported line items of the given payers (all payers if None)."""
     if payer_ids is not None:
         billing = for_payers(billing, payer_ids, "bill_payer_account_id")
-    line_type = F.col("line_item_line_item_type")
-    fee = line_type == fixed.FEE
-    normalized = F.col("line_item_normalized_usage_amount").cast("double")
-    amount = F.col("line_item_usage_amount").cast("double")
-
-    def on_fee(column: Column) -> Column:
-        return F.when(fee, column)
-
-    return (
-        billing.where(line_type.isin(*fixed.REPORTED_TYPES))
-        .withColumns(
-            {
-                "started": F.col("line_item_usage_start_date").cast("timestamp_ntz"),
-                "ended": F.col("line_item_usage_end_date").cast("timestamp_ntz"),
-                "reservations": F.col("reservation_number_of_reservations").cast("double"),
-            }
-        )
-        .select(
-            F.col("bill_payer_account_id").alias("payer_id"),
-            F.col("reservation_reservation_a_r_n").alias("arn"),
-            line_type.alias("line_type"),
-            "started",
-            "ended",
-            F.col("pricing_offering_class").alias("offering"),
-            "reservations",
-            product_value(billing, "product_name").alias("product_name"),
-            on_fee(F.col("line_item_usage_account_id")).alias("usage_account"),
-            on_fee(F.col("line_item_usage_type")).alias("usage_type"),
-            on_fee(F.col("line_item_operation")).alias("operation"),
-            on_fee(product_value(billing, "region")).alias("region_code"),
-            on_fee(F.col("line_item_normalization_factor").cast("double")).alias("stored_factor"),
-            F.lit(1).cast("bigint").alias("line_count"),
-            F.when(~missing_or_zero(normalized), normalized).alias("known_amount"),
-            F.when(missing_or_zero(normalized), amount).alias("unfactored_amount"),
-            amount.alias("usage_amount"),
-            F.col("line_item_unblended_cost").cast("double").alias("unblended_cost"),
-            F.col("reservation_effective_cost").cast("double").alias("effective_cost"),
-            F.col("pricing_public_on_demand_cost").cast(MONEY).alias("on_demand_cost"),
-            F.when(fee, hourly_effective_cost()).otherwise(F.lit(0.0)).alias("hourly_cost"),
-        )
-    )
+    normalized = "CAST(line_item_normalized_usage_amount AS DOUBLE)"
+    amount = "CAST(line_item_usage_amount AS DOUBLE)"
+    underived = missing_or_zero(normalized)
+
+    def on_fee(expression: str) -> str:
+        return f"CASE WHEN {FEE} THEN {expression} END"
+
+    typed = {
+        "line_type": "line_item_line_item_type",
+        "started": "CAST(line_item_usage_start_date AS TIMESTAMP_NTZ)",
+        "ended": "CAST(line_item_usage_end_date AS TIMESTAMP_NTZ)",
+        "reservations": "CAST(reservation_number_of_reservations AS DOUBLE)",
+    }
+    line = {
+        "payer_id": "bill_payer_account_id",
+        "arn": "reservation_reservation_a_r_n",
+        "line_type": "line_type",
+        "started": "started",
+        "ended": "ended",
+        "offering": "pricing_offering_class",
+        "reservations": "reservations",
+        "product_name": product_value(billing, "product_name"),
+        "usage_account": on_fee("line_item_usage_account_id"),
+        "usage_type": on_fee("line_item_usage_type"),
+        "operation": on_fee("line_item_operation"),
+        "region_code": on_fee(product_value(billing, "region")),
+        "stored_factor": on_fee("CAST(line_item_normalization_factor AS DOUBLE)"),
+        "line_count": "1L",
+        "known_amount": f"CASE WHEN NOT {underived} THEN {normalized} END",
+        "unfactored_amount": f"CASE WHEN {underived} THEN {amount} END",
+        "usage_amount": amount,
+        "unblended_cost": "CAST(line_item_unblended_cost AS DOUBLE)",
+        "effective_cost": "CAST(reservation_effective_cost AS DOUBLE)",
+        "on_demand_cost": f"CAST(pricing_public_on_demand_cost AS {MONEY})",
+        "hourly_cost": f"CASE WHEN {FEE} THEN {hourly_effective_cost()} ELSE 0D END",
+    }
+    reported = f"line_item_line_item_type IN {text_list(fixed.REPORTED_TYPES)}"
+    return billing.where(reported).selectExpr("*", *aliased(typed)).selectExpr(*aliased(line))
 
 
 def condense(lines: DataFrame) -> DataFrame:
     """Sum lines that agree in every key. Idempotent up to the order of sums."""
-    sums = [F.sum(m).alias(m) for m in MEASURES]
-    return lines.groupBy(*KEYS).agg(*sums)
+    return lines.groupBy(*KEYS).agg(*aggregates({m: f"sum({m})" for m in MEASURES}))
 
 
-def sum_of_known(*parts: Column) -> Column:
+def sum_of_known(*parts: str) -> str:
     """Sum that skips NULL parts and is NULL only if every part is."""
-    total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))
-    return F.when(F.coalesce(*parts).isNotNull(), total)
+    total = " + ".join(f"coalesce({p}, 0D)" for p in parts)
+    return f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END"

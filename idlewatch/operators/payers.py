@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from idlewatch.functions.sql import text
 from idlewatch.functions.text import bucket_of, environment_bucket, path_of
 
 CONFIG = ("name", "bucket", "path", "access_type")
@@ -13,13 +13,12 @@ ACCESS_TYPE = "CROSS_ACCOUNT"  # fixed value of configurations from the refresh
 
 def active_configs(refresh_config: DataFrame) -> DataFrame:
     """Enabled payers with their location split into bucket and path."""
-    location = F.col("payer_bucket_path")
-    return refresh_config.where(F.col("enable_refresh_payer")).select(
-        F.col("payer_account_id").cast("string").alias("payer_id"),
-        F.col("payer_name").alias("name"),
-        bucket_of(location).alias("bucket"),
-        path_of(location).alias("path"),
-        F.lit(ACCESS_TYPE).alias("access_type"),
+    return refresh_config.where("enable_refresh_payer").selectExpr(
+        "CAST(payer_account_id AS STRING) AS payer_id",
+        "payer_name AS name",
+        f"{bucket_of('payer_bucket_path')} AS bucket",
+        f"{path_of('payer_bucket_path')} AS path",
+        f"{text(ACCESS_TYPE)} AS access_type",
     )
 
 
@@ -32,19 +31,24 @@ def resolve_configs(
     taken and is ``missing`` if there is none.
     """
     def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select("payer_id", F.struct(*CONFIG).alias(name))
+        return df.selectExpr("payer_id", f"struct({', '.join(CONFIG)}) AS {name}")
 
-    chosen = F.coalesce("primary", "fallback")
-    source = (
-        F.when(F.col("primary").isNotNull(), "primary")
-        .when(F.col("fallback").isNotNull(), "fallback")
-        .otherwise("missing")
-    )
     return (
         requested.select("payer_id").distinct()
         .join(packed(active_configs(refresh_config), "primary"), "payer_id", "left")
         .join(packed(fallback, "fallback"), "payer_id", "left")
-        .select("payer_id", source.alias("source"), chosen.alias("config"))
-        .select("payer_id", "source", *[F.col(f"config.{c}").alias(c) for c in CONFIG])
-        .withColumn("bucket", environment_bucket(F.col("bucket"), environment))
+        .selectExpr(
+            "payer_id",
+            "CASE WHEN primary IS NOT NULL THEN 'primary' WHEN fallback IS NOT NULL THEN 'fallback'"
+            " ELSE 'missing' END AS source",
+            "coalesce(primary, fallback) AS config",
+        )
+        .selectExpr(
+            "payer_id",
+            "source",
+            "config.name",
+            f"{environment_bucket('config.bucket', environment)} AS bucket",
+            "config.path",
+            "config.access_type",
+        )
     )

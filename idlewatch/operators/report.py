@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions.rules import missing_or_zero
-from idlewatch.functions.timeops import in_month, seconds
+from idlewatch.functions.sql import aggregates, aliased, text
+from idlewatch.functions.timeops import SECOND, in_month
 from idlewatch.operators.dimensions import payer_names, report_weights
-from idlewatch.operators.lines import sum_of_known
+from idlewatch.operators.lines import FEE, sum_of_known
 from idlewatch.operators.services import BY_KEY, report_name, reservation_id
 
 LINE_KEYS = ("payer_id", "arn", "line_type", "started", "ended", "offering", "reservations")
 
 
-def repeated_money(amount: Column, copies: Column) -> Column:
+def repeated_money(amount: str, copies: str) -> str:
     """amount x copies without losing decimal places to the product's type."""
-    return amount.cast("decimal(28,8)") * copies.cast("decimal(9,0)")
+    return f"(CAST({amount} AS DECIMAL(28,8)) * CAST({copies} AS DECIMAL(9,0)))"
 
 
 def line_sums(lines: DataFrame) -> DataFrame:
@@ -27,20 +26,17 @@ def line_sums(lines: DataFrame) -> DataFrame:
     number of lines that have to borrow it from the reservation's description. Amounts
     are split the same way, so the join only has to weigh two sums.
     """
-    fee = F.col("line_type") == fixed.FEE
-    borrowed = missing_or_zero(F.col("stored_factor"))
-    own_factor = F.when(~borrowed, F.col("stored_factor") * F.col("line_count"))
-    return lines.groupBy(*LINE_KEYS).agg(
-        F.sum(F.when(fee, own_factor).otherwise(F.lit(0.0))).alias("own_factor"),
-        F.sum(F.when(fee & borrowed, F.col("line_count"))).alias("borrowing_lines"),
-        *[
-            F.sum(m).alias(m)
-            for m in (
-                "known_amount", "unfactored_amount", "usage_amount", "unblended_cost",
-                "effective_cost", "on_demand_cost", "hourly_cost",
-            )
-        ],
+    borrows = missing_or_zero("stored_factor")
+    own = f"CASE WHEN {FEE} THEN CASE WHEN NOT {borrows} THEN stored_factor * line_count END ELSE 0D END"
+    sums = {
+        "own_factor": f"sum({own})",
+        "borrowing_lines": f"sum(CASE WHEN {FEE} AND {borrows} THEN line_count END)",
+    }
+    plain = (
+        "known_amount", "unfactored_amount", "usage_amount", "unblended_cost", "effective_cost",
+        "on_demand_cost", "hourly_cost",
     )
+    return lines.groupBy(*LINE_KEYS).agg(*aggregates(sums | {m: f"sum({m})" for m in plain}))
 
 
 def line_item_report(
@@ -56,51 +52,46 @@ def line_item_report(
     With ``service`` only that service's reservations are looked up, as for one
     service's own report; otherwise every line meets the reservations of all services.
     """
-    sums = line_sums(lines.where(in_month(F.col("started"), year, month)))
     known = report_weights(dimension)
+    short_id = reservation_id("service", "arn")
     if service is not None:
-        known = known.where(F.col("service") == service)
-        short_id = F.split_part(
-            F.col("arn"), F.lit(BY_KEY[service].id_delimiter), F.lit(BY_KEY[service].id_part)
-        )
-    else:
-        short_id = reservation_id(F.col("service"), F.col("arn"))
-    copies = F.coalesce(F.col("copies"), F.lit(1))
-    ended = F.col("ended")
+        known = known.where(f"service = {text(service)}")
+        short_id = BY_KEY[service].short_id("arn")
+    copies = "coalesce(copies, 1L)"
+    columns = {
+        "service_name": report_name("service"),
+        "reservation_id": short_id,
+        "lineitem_usagestartdate": "started",
+        "lineitem_usageenddate": f"CASE WHEN {FEE} THEN ended + {SECOND} ELSE ended END",
+        "bill_payeraccountid": "payer_id",
+        "payer_name": "payer_name",
+        "lineitem_usageaccountid": "usage_account",
+        "instancetype_family": "family",
+        "instancetype": "instance_type",
+        "mycloud_startmonth": f"{month}",
+        "mycloud_startyear": f"{year}",
+        "product_productname": "product_name",
+        "mycloud_operatingsystem": "engine",
+        "mycloud_region": "region",
+        "offering_type": "offering",
+        "lineitem_lineitemtype": "line_type",
+        "reservation_reservationarn": "arn",
+        "reservation_numberofreservations": "reservations",
+        "lineitem_normalizationfactor": sum_of_known(
+            f"own_factor * {copies}", "borrowing_lines * factor_sum"
+        ),
+        "lineitem_normalizedusageamount": sum_of_known(
+            f"known_amount * {copies}", "unfactored_amount * factor_sum"
+        ),
+        "lineitem_usageamount": f"usage_amount * {copies}",
+        "lineitem_unblendedcost": f"unblended_cost * {copies}",
+        "reservation_effectivecost": f"effective_cost * {copies}",
+        "mycloud_ondemandprice": repeated_money("on_demand_cost", copies),
+        "ri_hourly_effective_cost": f"hourly_cost * {copies}",
+    }
     return (
-        sums.join(known, ["payer_id", "arn"], "left")
+        line_sums(lines.where(in_month("started", year, month)))
+        .join(known, ["payer_id", "arn"], "left")
         .join(payer_names(payers), "payer_id", "left")
-        .select(
-            report_name(F.col("service")).alias("service_name"),
-            short_id.alias("reservation_id"),
-            F.col("started").alias("lineitem_usagestartdate"),
-            F.when(F.col("line_type") == fixed.FEE, ended + seconds(1))
-            .otherwise(ended)
-            .alias("lineitem_usageenddate"),
-            F.col("payer_id").alias("bill_payeraccountid"),
-            "payer_name",
-            F.col("usage_account").alias("lineitem_usageaccountid"),
-            F.col("family").alias("instancetype_family"),
-            F.col("instance_type").alias("instancetype"),
-            F.lit(month).alias("mycloud_startmonth"),
-            F.lit(year).alias("mycloud_startyear"),
-            F.col("product_name").alias("product_productname"),
-            F.col("engine").alias("mycloud_operatingsystem"),
-            F.col("region").alias("mycloud_region"),
-            F.col("offering").alias("offering_type"),
-            F.col("line_type").alias("lineitem_lineitemtype"),
-            F.col("arn").alias("reservation_reservationarn"),
-            F.col("reservations").alias("reservation_numberofreservations"),
-            sum_of_known(
-                F.col("own_factor") * copies, F.col("borrowing_lines") * F.col("factor_sum")
-            ).alias("lineitem_normalizationfactor"),
-            sum_of_known(
-                F.col("known_amount") * copies, F.col("unfactored_amount") * F.col("factor_sum")
-            ).alias("lineitem_normalizedusageamount"),
-            (F.col("usage_amount") * copies).alias("lineitem_usageamount"),
-            (F.col("unblended_cost") * copies).alias("lineitem_unblendedcost"),
-            (F.col("effective_cost") * copies).alias("reservation_effectivecost"),
-            repeated_money(F.col("on_demand_cost"), copies).alias("mycloud_ondemandprice"),
-            (F.col("hourly_cost") * copies).alias("ri_hourly_effective_cost"),
-        )
+        .selectExpr(*aliased(columns))
     )

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions import rules
+from idlewatch.functions.sql import first_match, text, text_list
 
 
 @dataclass(frozen=True)
@@ -20,11 +18,14 @@ class Service:
     id_delimiter: str                    # reservation id inside the ARN
     id_part: int
     zoned_sizes: bool = False            # factor depends on the deployment zone
-    engine: Callable[[Column], Column] | None = None
+    engine: Callable[[str], str] | None = None
     open_names: tuple[str, ...] = ()     # engines sharing a family; empty: no family rule
     family_part: int = 0
     counts_instances: bool = False       # units are instances, not normalised units
 
+    def short_id(self, arn: str) -> str:
+        return f"split_part({arn}, {text(self.id_delimiter)}, {self.id_part})"
+
 
 SERVICES = (
     Service(
@@ -50,41 +51,44 @@ SERVICES = (
 BY_KEY = {service.key: service for service in SERVICES}
 
 
-def service_of(product_name: Column) -> Column:
+def service_of(product_name: str) -> str:
     """Service key of a billing product name, NULL for products not reported."""
-    return rules.first_match((product_name.isin(*s.products), F.lit(s.key)) for s in SERVICES)
+    return first_match(
+        (f"{product_name} IN {text_list(s.products)}", text(s.key)) for s in SERVICES
+    )
 
 
-def per_service(service: Column, value: Callable[[Service], Column]) -> Column:
+def per_service(service: str, value: Callable[[Service], str]) -> str:
     """A different expression per service, chosen by the service column."""
-    return rules.first_match((service == s.key, value(s)) for s in SERVICES)
+    return first_match((f"{service} = {text(s.key)}", value(s)) for s in SERVICES)
 
 
-def is_service(service: Column, test: Callable[[Service], bool]) -> Column:
-    return service.isin(*(s.key for s in SERVICES if test(s)))
+def is_service(service: str, test: Callable[[Service], bool]) -> str:
+    return f"{service} IN {text_list(s.key for s in SERVICES if test(s))}"
 
 
-def report_name(service: Column) -> Column:
-    return per_service(service, lambda s: F.lit(s.report_name))
+def report_name(service: str) -> str:
+    return per_service(service, lambda s: text(s.report_name))
 
 
-def reservation_id(service: Column, arn: Column) -> Column:
-    return per_service(service, lambda s: F.split_part(arn, F.lit(s.id_delimiter), F.lit(s.id_part)))
+def reservation_id(service: str, arn: str) -> str:
+    return per_service(service, lambda s: s.short_id(arn))
 
 
-def stored_or_sized_factor(product_name: Column, usage_type: Column, stored: Column) -> Column:
-    zoned = [name for s in SERVICES if s.zoned_sizes for name in s.products]
-    return F.when(
-        product_name.isin(*zoned), rules.size_factor_zoned(usage_type, stored)
-    ).otherwise(rules.size_factor(usage_type, stored))
+def stored_or_sized_factor(product_name: str, usage_type: str, stored: str) -> str:
+    zoned = text_list(name for s in SERVICES if s.zoned_sizes for name in s.products)
+    return first_match(
+        [(f"{product_name} IN {zoned}", rules.size_factor_zoned(usage_type, stored))],
+        rules.size_factor(usage_type, stored),
+    )
 
 
-def engine_name(service: Column, operation: Column) -> Column:
-    return per_service(service, lambda s: s.engine(operation) if s.engine else F.lit(""))
+def engine_name(service: str, operation: str) -> str:
+    return per_service(service, lambda s: s.engine(operation) if s.engine else "''")
 
 
-def family_name(service: Column, instance_type: Column, engine: Column) -> Column:
-    def rule(s: Service) -> Column:
+def family_name(service: str, instance_type: str, engine: str) -> str:
+    def rule(s: Service) -> str:
         if not s.open_names:
             return instance_type
         return rules.family_label(instance_type, engine, s.open_names, s.family_part)

@@ -14,22 +14,38 @@ Measures that depend on the description are linear in its two weights (``copies`
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from idlewatch.functions import fixed_values as fixed
+from idlewatch.functions.sql import aggregates, aliased
 from idlewatch.functions.timeops import (
-    covered_hours, hour_end, hour_floor, hours_per_match, in_month, seconds, starts_in_an_hour,
+    SECOND, covered_hours, hour_end, hour_floor, hours_per_match, in_month, starts_in_an_hour,
 )
-from idlewatch.operators.lines import sum_of_known
+from idlewatch.operators.lines import FEE, USAGE, sum_of_known
 from idlewatch.operators.report import line_sums, repeated_money
 from idlewatch.operators.services import is_service, report_name
 
 HOUR_KEYS = ("payer_id", "arn", "offering", "hour")
 
+# What a line adds to its hours: measure -> (fee lines, usage lines). A zero counts a
+# line of the other kind as nothing, a NULL leaves the sum to the lines that have it.
+CONTRIBUTIONS = {
+    "reserved": ("reservations * matches", "0D"),
+    "quantity": ("reservations", "0D"),
+    "own_factor": ("own_factor", "0D"),
+    "borrowing": ("CAST(borrowing_lines AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+    "own_units": ("reservations * own_factor", "0D"),
+    "borrowing_units": ("reservations * borrowing_lines", "CAST(NULL AS DOUBLE)"),
+    "known_amount": ("0D", "known_amount"),
+    "unfactored_amount": ("CAST(NULL AS DOUBLE)", "unfactored_amount"),
+    "usage_amount": ("0D", "usage_amount"),
+    "usage_cost": ("CAST(0 AS DECIMAL(38,8))", "CAST(on_demand_cost AS DECIMAL(38,8))"),
+    "all_cost": ("on_demand_cost", "CAST(on_demand_cost AS DECIMAL(38,8))"),
+    "hourly_cost": ("hourly_cost", "0D"),
+}
 
-def no_money() -> Column:
-    return F.lit(0).cast("decimal(38,8)")
+
+def _contributions(lines: DataFrame, kind: int) -> DataFrame:
+    return lines.selectExpr(*HOUR_KEYS, *aliased({m: c[kind] for m, c in CONTRIBUTIONS.items()}))
 
 
 def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
@@ -38,120 +54,80 @@ def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
     Fees equal in every report key count their reservations once, so they are grouped
     first (few rows: a reservation has a handful of fees per month).
     """
-    ended = F.col("ended") + seconds(1)
-    count = F.col("reservations")
-    fees = line_sums(lines.where(F.col("line_type") == fixed.FEE))
-    return fees.withColumn("matches", hours_per_match(F.col("started"), ended)).select(
-        "payer_id",
-        "arn",
-        "offering",
-        F.explode(covered_hours(F.col("started"), ended, year, month)).alias("hour"),
-        (count * F.col("matches")).alias("reserved"),
-        count.alias("quantity"),
-        "own_factor",
-        F.col("borrowing_lines").cast("double").alias("borrowing"),
-        (count * F.col("own_factor")).alias("own_units"),
-        (count * F.col("borrowing_lines")).alias("borrowing_units"),
-        F.lit(0.0).alias("known_amount"),
-        F.lit(None).cast("double").alias("unfactored_amount"),
-        F.lit(0.0).alias("usage_amount"),
-        no_money().alias("usage_cost"),
-        F.col("on_demand_cost").alias("all_cost"),
-        "hourly_cost",
+    fees = line_sums(lines.where(FEE)).selectExpr("*", f"ended + {SECOND} AS until")
+    hours = covered_hours("started", "until", year, month)
+    exploded = fees.selectExpr(
+        "*",
+        f"{hours_per_match('started', 'until')} AS matches",
+        f"explode({hours}) AS hour",
     )
+    return _contributions(exploded, 0)
 
 
 def usage_hours(lines: DataFrame) -> DataFrame:
     """Usage lines with the hour they start in, not yet aggregated."""
-    started = F.col("started")
-    none = F.lit(None).cast("double")
-    zero = F.lit(0.0)
-    return lines.where(
-        F.col("line_type").isin(*fixed.USAGE_TYPES) & starts_in_an_hour(started)
-    ).select(
-        "payer_id",
-        "arn",
-        "offering",
-        hour_floor(started).alias("hour"),
-        zero.alias("reserved"),
-        zero.alias("quantity"),
-        zero.alias("own_factor"),
-        none.alias("borrowing"),
-        zero.alias("own_units"),
-        none.alias("borrowing_units"),
-        "known_amount",
-        "unfactored_amount",
-        "usage_amount",
-        F.col("on_demand_cost").cast("decimal(38,8)").alias("usage_cost"),
-        F.col("on_demand_cost").cast("decimal(38,8)").alias("all_cost"),
-        zero.alias("hourly_cost"),
-    )
+    placed = lines.where(f"{USAGE} AND {starts_in_an_hour('started')}")
+    return _contributions(placed.selectExpr("*", f"{hour_floor('started')} AS hour"), 1)
 
 
 def hourly_sums(lines: DataFrame, year: int, month: int) -> DataFrame:
-    in_scope = lines.where(in_month(F.col("started"), year, month) & (F.col("arn") != ""))
+    in_scope = lines.where(f"{in_month('started', year, month)} AND arn <> ''")
     both = fee_hours(in_scope, year, month).unionByName(usage_hours(in_scope))
-    measures = [c for c in both.columns if c not in HOUR_KEYS]
-    return both.groupBy(*HOUR_KEYS).agg(*[F.sum(m).alias(m) for m in measures])
+    return both.groupBy(*HOUR_KEYS).agg(*aggregates({m: f"sum({m})" for m in CONTRIBUTIONS}))
 
 
 def hourly_utilization(
     sums: DataFrame, reservation_rows: DataFrame, year: int, month: int
 ) -> DataFrame:
     """Hourly sums of the reported reservations with their description and owner."""
-    copies, factors, groups = F.col("copies"), F.col("factor_sum"), F.col("groups")
-    by_instance = is_service(F.col("service"), lambda s: s.counts_instances)
-
-    def borrowed(own: str, borrowing: str) -> Column:
-        return sum_of_known(F.col(own) * copies, F.col(borrowing) * factors)
-
-    used = F.when(by_instance, F.col("usage_amount") * copies).otherwise(
-        borrowed("known_amount", "unfactored_amount")
-    )
-    total = F.when(by_instance, F.col("quantity") * groups).otherwise(
-        borrowed("own_units", "borrowing_units")
-    )
-    extra = ["max_date"] if "max_date" in reservation_rows.columns else []
+    by_instance = is_service("service", lambda s: s.counts_instances)
+
+    def weighted(own: str, borrowing: str) -> str:
+        return sum_of_known(f"{own} * copies", f"{borrowing} * factor_sum")
+
+    def units(instances: str, normalized: str) -> str:
+        return f"CASE WHEN {by_instance} THEN {instances} ELSE {normalized} END"
+
+    measures = {
+        "reservedhours": "reserved * groups",
+        "od_cost": repeated_money("usage_cost", "copies"),
+        "ri_ecost": "hourly_cost * copies",
+        "used_nu": units("usage_amount * copies", weighted("known_amount", "unfactored_amount")),
+        "total_nu": units("quantity * groups", weighted("own_units", "borrowing_units")),
+    }
+    columns = {
+        "product_name": report_name("service"),
+        "reservation_id": "reservation_id",
+        "bill_payeraccountid": "payer_id",
+        "payer_name": "payer_name",
+        "family_type": "family_type",
+        "customer_name": "customer_name",
+        "linkedaccountid": "usage_account",
+        "startdate": "hour",
+        "enddate": hour_end("hour"),
+        "reservation_reservationarn": "arn",
+        "mycloud_startmonth": f"{month}",
+        "mycloud_startyear": f"{year}",
+        "region": "region",
+        "offering_type": "offering",
+        "operatingsystem": "engine",
+        "instancetype_family": "family",
+        "instancetype": "instance_type",
+        "nfapplied": weighted("own_factor", "borrowing"),
+        "ondemandcost": f"coalesce({repeated_money('all_cost', 'copies')}, 0)",
+        "reservedhours": "reservedhours",
+        "total_nu": "total_nu",
+        "quantity": "quantity * groups",
+        "used_nu": "used_nu",
+        "od_cost": "od_cost",
+        "ri_ecost": "ri_ecost",
+        "netsavings": "CAST(od_cost AS DOUBLE) - ri_ecost * reservedhours",
+        "usedhours": "used_nu",
+    }
+    if "max_date" in reservation_rows.columns:
+        columns["max_date"] = "max_date"
     return (
         sums.join(reservation_rows, ["payer_id", "arn"])
-        .withColumns(
-            {
-                "reservedhours": F.col("reserved") * groups,
-                "od_cost": repeated_money(F.col("usage_cost"), copies),
-                "ri_ecost": F.col("hourly_cost") * copies,
-                "used_nu": used,
-            }
-        )
-        .select(
-            report_name(F.col("service")).alias("product_name"),
-            "reservation_id",
-            F.col("payer_id").alias("bill_payeraccountid"),
-            "payer_name",
-            "family_type",
-            "customer_name",
-            F.col("usage_account").alias("linkedaccountid"),
-            F.col("hour").alias("startdate"),
-            hour_end(F.col("hour")).alias("enddate"),
-            F.col("arn").alias("reservation_reservationarn"),
-            F.lit(month).alias("mycloud_startmonth"),
-            F.lit(year).alias("mycloud_startyear"),
-            "region",
-            F.col("offering").alias("offering_type"),
-            F.col("engine").alias("operatingsystem"),
-            F.col("family").alias("instancetype_family"),
-            F.col("instance_type").alias("instancetype"),
-            borrowed("own_factor", "borrowing").alias("nfapplied"),
-            F.coalesce(repeated_money(F.col("all_cost"), copies), no_money()).alias("ondemandcost"),
-            "reservedhours",
-            total.alias("total_nu"),
-            (F.col("quantity") * groups).alias("quantity"),
-            "used_nu",
-            "od_cost",
-            "ri_ecost",
-            (F.col("od_cost").cast("double") - F.col("ri_ecost") * F.col("reservedhours")).alias(
-                "netsavings"
-            ),
-            F.col("used_nu").alias("usedhours"),
-            *extra,
-        )
+        .selectExpr("*", *aliased(measures))
+        .selectExpr(*aliased(columns))
     )

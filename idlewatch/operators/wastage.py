@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from idlewatch.functions.rules import first_match, is_accelerator, shares_family
+from idlewatch.functions.rules import is_accelerator, shares_family
+from idlewatch.functions.sql import aliased, first_match, text, text_list
 from idlewatch.operators.services import SERVICES
 
 SLICE_COLUMNS = ("product_name", "mycloud_startyear", "mycloud_startmonth", "bill_payeraccountid")
 UNITS = {"total_units": "total_nu", "used_units": "used_nu", "unused_units": "unused_nu"}
 
 
-def _names(test) -> list[str]:
-    return [s.report_name for s in SERVICES if test(s)]
+def _is_product(test) -> str:
+    return f"product_name IN {text_list(s.report_name for s in SERVICES if test(s))}"
 
 
 def wastage_metrics(hourly: DataFrame) -> DataFrame:
@@ -22,81 +22,77 @@ def wastage_metrics(hourly: DataFrame) -> DataFrame:
     Hours without reserved capacity and hours after the cutoff are left out. Ratios with
     a zero divisor are NULL.
     """
-    by_instance = F.col("product_name").isin(*_names(lambda s: s.counts_instances))
-    kept = hourly.where(
-        (F.col("startdate") <= F.col("max_date")) & (F.col("reservedhours") != 0)
+    used_hours = first_match(
+        [(_is_product(lambda s: s.counts_instances), "usedhours")],
+        "try_divide(usedhours, nfapplied)",
     )
+    columns = {
+        "reservation_arn": "reservation_id",
+        "payer_name": "payer_name",
+        "bill_payeraccountid": "bill_payeraccountid",
+        "usageaccountid": "linkedaccountid",
+        "account_type": "family_type",
+        "customer_name": "customer_name",
+        "region": "region",
+        "product_name": "product_name",
+        "operatingsystem_engine": "operatingsystem",
+        "instancetype_family": "instancetype_family",
+        "savingsplan_type": "''",
+        "lineitem_usagestartdate": "startdate",
+        "total_nu": "total_nu",
+        "used_nu": "used_nu",
+        "unused_nu": "unused_nu",
+        "wastage_percentage": "try_divide(unused_nu, total_nu)",
+        "offering_type": "offering_type",
+        "reservation_reservationarn": "reservation_reservationarn",
+        "reservedhours": "reservedhours",
+        "used_hours": "used_hours",
+        "unused_hours": "reservedhours - used_hours",
+        "wastage_cost": "(reservedhours - used_hours) * ri_ecost",
+        "ri_utilization": "try_divide(used_hours, reservedhours)",
+        "mycloud_startmonth": "mycloud_startmonth",
+        "mycloud_startyear": "mycloud_startyear",
+        "instancetype": "instancetype",
+        "nfapplied": "nfapplied",
+        "quantity": "quantity",
+        "ri_ecost": "ri_ecost",
+    }
     return (
-        kept.withColumn("unused_nu", F.col("total_nu") - F.col("used_nu"))
-        .withColumn(
-            "used_hours",
-            F.when(by_instance, F.col("usedhours")).otherwise(
-                F.try_divide("usedhours", "nfapplied")
-            ),
-        )
-        .withColumn("unused_hours", F.col("reservedhours") - F.col("used_hours"))
-        .select(
-            F.col("reservation_id").alias("reservation_arn"),
-            "payer_name",
-            "bill_payeraccountid",
-            F.col("linkedaccountid").alias("usageaccountid"),
-            F.col("family_type").alias("account_type"),
-            "customer_name",
-            "region",
-            "product_name",
-            F.col("operatingsystem").alias("operatingsystem_engine"),
-            "instancetype_family",
-            F.lit("").alias("savingsplan_type"),
-            F.col("startdate").alias("lineitem_usagestartdate"),
-            "total_nu",
-            "used_nu",
-            "unused_nu",
-            F.try_divide("unused_nu", "total_nu").alias("wastage_percentage"),
-            "offering_type",
-            "reservation_reservationarn",
-            "reservedhours",
-            "used_hours",
-            "unused_hours",
-            (F.col("unused_hours") * F.col("ri_ecost")).alias("wastage_cost"),
-            F.try_divide("used_hours", "reservedhours").alias("ri_utilization"),
-            "mycloud_startmonth",
-            "mycloud_startyear",
-            "instancetype",
-            "nfapplied",
-            "quantity",
-            "ri_ecost",
-        )
+        hourly.where("startdate <= max_date AND reservedhours <> 0")
+        .selectExpr("*", "total_nu - used_nu AS unused_nu", f"{used_hours} AS used_hours")
+        .selectExpr(*aliased(columns))
     )
 
 
-def _unit(value: Column) -> Column:
+def _unit(value: str) -> str:
     """Normalised units where a reservation floats over sizes, instances where it does not."""
-    engine, product = F.col("operatingsystem_engine"), F.col("product_name")
-    instances = F.try_divide(value, F.col("nfapplied"))
+    instances = f"try_divide({value}, nfapplied)"
     shared = [
-        ((product == s.report_name) & shares_family(engine, s.open_names), value)
+        (
+            f"product_name = {text(s.report_name)}"
+            f" AND {shares_family('operatingsystem_engine', s.open_names)}",
+            value,
+        )
         for s in SERVICES
         if s.open_names
     ]
-    plain = (product.isin(*_names(lambda s: not s.open_names)), value)
-    return first_match(
-        [(is_accelerator(F.col("instancetype_family")), instances), *shared, plain], instances
-    )
+    plain = (_is_product(lambda s: not s.open_names), value)
+    return first_match([(is_accelerator("instancetype_family"), instances), *shared, plain], instances)
 
 
 def with_units(facts: DataFrame) -> DataFrame:
     """Unit columns of every row."""
-    return facts.withColumns({unit: _unit(F.col(nu)) for unit, nu in UNITS.items()})
+    return facts.selectExpr("*", *aliased({unit: _unit(nu) for unit, nu in UNITS.items()}))
 
 
 def update_units(facts: DataFrame, year: int, month: int) -> DataFrame:
     """Set the unit columns on one month, all payers and products; leave other rows alone."""
-    in_slice = (F.col("mycloud_startmonth") == month) & (F.col("mycloud_startyear") == year)
-    return facts.withColumns(
-        {
-            unit: F.when(in_slice, _unit(F.col(nu))).otherwise(
-                F.col(unit) if unit in facts.columns else F.lit(None).cast("double")
-            )
-            for unit, nu in UNITS.items()
-        }
-    )
+    in_slice = f"mycloud_startmonth = {month} AND mycloud_startyear = {year}"
+    updated = {
+        unit: first_match(
+            [(in_slice, _unit(nu))], unit if unit in facts.columns else "CAST(NULL AS DOUBLE)"
+        )
+        for unit, nu in UNITS.items()
+    }
+    kept = [c for c in facts.columns if c not in UNITS]
+    return facts.selectExpr(*kept, *aliased(updated))

@@ -46,7 +46,7 @@ def slice_predicate(
 ) -> Column:
     """Rows that a run replaces. NULL wherever a compared column is NULL."""
     return (
-        in_month(F.col("lineitem_usagestartdate"), year, month)
+        F.expr(in_month("lineitem_usagestartdate", year, month))
         & (F.col("bill_payeraccountid").isin(*payer_ids) if payer_ids else F.lit(False))
         & F.col("product_name").isin(*products)
     )

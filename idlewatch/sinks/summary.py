@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from idlewatch.functions.sql import aggregates
 
 
 def payer_status(resolved: DataFrame, new_files: DataFrame) -> DataFrame:
@@ -11,13 +12,12 @@ def payer_status(resolved: DataFrame, new_files: DataFrame) -> DataFrame:
 
     A payer without configuration failed, whatever files were found.
     """
-    counts = new_files.groupBy("payer_id").agg(F.count(F.lit(1)).alias("found"))
-    found = F.coalesce("found", F.lit(0))
-    failed = F.col("source") == "missing"
-    return resolved.join(counts, "payer_id", "left").select(
+    counts = new_files.groupBy("payer_id").agg(*aggregates({"found": "count(1)"}))
+    return resolved.join(counts, "payer_id", "left").selectExpr(
         "payer_id",
-        F.when(failed, "FAILED").when(found > 0, "HAS_NEW_FILES").otherwise("UP_TO_DATE").alias("status"),
-        F.when(failed, F.lit(0)).otherwise(found).alias("files"),
+        "CASE WHEN source = 'missing' THEN 'FAILED' WHEN found > 0 THEN 'HAS_NEW_FILES'"
+        " ELSE 'UP_TO_DATE' END AS status",
+        "CASE WHEN source = 'missing' THEN 0L ELSE coalesce(found, 0L) END AS files",
     )
 
 
@@ -28,27 +28,26 @@ def run_summary(status: DataFrame, outcomes: DataFrame | None = None) -> DataFra
     every found file staged.
     """
     if outcomes is None:
-        outcomes = status.select(
-            "payer_id", F.col("files").alias("success"), F.lit(0).cast("bigint").alias("failed")
-        )
-    totals = (
-        status.join(outcomes, "payer_id", "left")
-        .agg(
-            F.count_if(F.col("status") == "FAILED").alias("failed_payers"),
-            F.count_if(F.col("status") == "HAS_NEW_FILES").alias("changed_payers"),
-            F.coalesce(F.sum("success"), F.lit(0)).alias("success"),
-            F.coalesce(F.sum("failed"), F.lit(0)).alias("failed"),
+        staged = status.selectExpr("status", "files AS success", "0L AS failed")
+    else:
+        staged = status.join(outcomes, "payer_id", "left").select("status", "success", "failed")
+    totals = staged.agg(
+        *aggregates(
+            {
+                "failed_payers": "count_if(status = 'FAILED')",
+                "changed_payers": "count_if(status = 'HAS_NEW_FILES')",
+                "success": "coalesce(sum(success), 0L)",
+                "failed": "coalesce(sum(failed), 0L)",
+            }
         )
     )
-    idle, clean = F.col("changed_payers") == 0, F.col("failed_payers") == 0
-    return totals.select(
-        F.when(idle & clean, "UP_TO_DATE")
-        .when(~idle & clean & (F.col("failed") == 0), "SUCCESS")
-        .otherwise("FAILED")
-        .alias("status"),
+    return totals.selectExpr(
+        "CASE WHEN changed_payers = 0 AND failed_payers = 0 THEN 'UP_TO_DATE'"
+        " WHEN changed_payers > 0 AND failed_payers = 0 AND failed = 0 THEN 'SUCCESS'"
+        " ELSE 'FAILED' END AS status",
         "success",
         "failed",
-        (F.col("success") + F.col("failed")).alias("total"),
+        "success + failed AS total",
         "failed_payers",
         "changed_payers",
     )
