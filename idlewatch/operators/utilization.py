@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from idlewatch.functions.sql import aggregates, aliased
 from idlewatch.functions.timeops import (
-    SECOND, covered_hours, hour_end, hour_floor, hours_per_match, in_month, starts_in_an_hour,
+    SECOND, covered_hours, hour_end, hours_per_match, in_month,
 )
 from idlewatch.operators.lines import FEE, USAGE, sum_of_known
 from idlewatch.operators.report import line_sums, repeated_money
@@ -52,9 +52,17 @@ def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
     """Fee lines, one row per covered hour.
 
     Fees equal in every report key count their reservations once, so they are grouped
-    first (few rows: a reservation has a handful of fees per month).
+    first (few rows: a reservation has a handful of fees per month). Each row then grows
+    to as many as 744, which adaptive execution cannot foresee: it would gather the small
+    grouped rows in a few tasks. A repartition by number keeps them apart (on other keys
+    than the grouping, or it would be optimised away as redundant).
     """
-    fees = line_sums(lines.where(FEE)).selectExpr("*", f"ended + {SECOND} AS until")
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fees = (
+        line_sums(lines.where(FEE))
+        .repartition(tasks, "arn", "started", "ended", "offering", "payer_id")
+        .selectExpr("*", f"ended + {SECOND} AS until")
+    )
     hours = covered_hours("started", "until", year, month)
     exploded = fees.selectExpr(
         "*",
@@ -66,8 +74,8 @@ def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
 
 def usage_hours(lines: DataFrame) -> DataFrame:
     """Usage lines with the hour they start in, not yet aggregated."""
-    placed = lines.where(f"{USAGE} AND {starts_in_an_hour('started')}")
-    return _contributions(placed.selectExpr("*", f"{hour_floor('started')} AS hour"), 1)
+    placed = lines.where(USAGE).selectExpr("*", "window(started, '1 hour').start AS hour")
+    return _contributions(placed.where(f"started <= {hour_end('hour')}"), 1)
 
 
 def hourly_sums(lines: DataFrame, year: int, month: int) -> DataFrame:
