@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from idlewatch.functions import fixed_values as fixed
-from idlewatch.functions.rules import region_label
+from idlewatch.functions.rules import region_label, size_factor, size_factor_zoned
 from idlewatch.functions.sql import aggregates, text
 from idlewatch.functions.timeops import SECOND, in_month
 from idlewatch.operators.lines import FEE
 from idlewatch.operators.services import (
-    engine_name, family_name, reservation_id, service_of, stored_or_sized_factor,
+    engine_name, family_name, is_service, reservation_id, service_of,
 )
 
 DESCRIPTION = (
@@ -44,14 +44,17 @@ def reservation_dimension(lines: DataFrame, year: int, month: int) -> DataFrame:
     its own, whose measured size lets adaptive execution broadcast a small dimension
     instead of exchanging the hours.
     """
-    factor = stored_or_sized_factor("product_name", "usage_type", "stored_factor")
+    # The factor is a grouping key, its rule depends on the service, and the service is
+    # only known per group: group under both rules, keep the groups of the right one.
+    plain = size_factor("usage_type", "stored_factor")
+    zoned = size_factor_zoned("usage_type", "stored_factor")
     described = (
         lines.where(f"{FEE} AND {in_month('started', year, month)}")
-        .selectExpr("*", f"{factor} AS factor")
-        .groupBy("arn", "usage_type", "factor", "operation", "payer_id", "usage_account")
+        .selectExpr("*", f"stack(2, FALSE, {plain}, TRUE, {zoned}) AS (zoned, factor)")
+        .groupBy("arn", "usage_type", "zoned", "factor", "operation", "payer_id", "usage_account")
         .agg(*aggregates({"region_code": "max(region_code)", "product_name": "max(product_name)"}))
         .selectExpr("*", f"{service_of('product_name')} AS service")
-        .where("service IS NOT NULL")
+        .where(f"zoned = ({is_service('service', lambda s: s.zoned_sizes)})")
     )
     return (
         described.repartition("arn", "usage_account")

@@ -75,14 +75,6 @@ def reservation_id(service: str, arn: str) -> str:
     return per_service(service, lambda s: s.short_id(arn))
 
 
-def stored_or_sized_factor(product_name: str, usage_type: str, stored: str) -> str:
-    zoned = text_list(name for s in SERVICES if s.zoned_sizes for name in s.products)
-    return first_match(
-        [(f"{product_name} IN {zoned}", rules.size_factor_zoned(usage_type, stored))],
-        rules.size_factor(usage_type, stored),
-    )
-
-
 def engine_name(service: str, operation: str) -> str:
     return per_service(service, lambda s: s.engine(operation) if s.engine else "''")
 
