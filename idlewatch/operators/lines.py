@@ -35,8 +35,9 @@ MEASURES = (
 FEE = f"line_type = {text(fixed.FEE)}"
 USAGE = f"line_type IN {text_list(fixed.USAGE_TYPES)}"
 
-# An IN list longer than this becomes a semi join.
-LONG_LIST = 500
+# Up to this length a payer list stays an IN list, which prunes partition folders; a
+# longer one becomes a semi join.
+LONG_LIST = 10_000
 
 
 def product_value(billing: DataFrame, key: str) -> str:

@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from idlewatch.functions.timeops import check_month
 from idlewatch.operators.lines import billing_lines, condense
@@ -41,18 +41,20 @@ def run_month(
     year: int,
     month: int,
     payer_ids: Sequence[str],
+    schema: StructType | None = None,
 ) -> None:
     """Recompute the month for the given payers and replace their slices.
 
     The billing lines are read once: their condensed form goes to the shared folder, and
     cutoff, dimension, fees and usage are all computed from there. Units are set while
-    writing. Any error is raised; the stored slices are then unchanged.
+    writing. Any error is raised; the stored slices are then unchanged. ``schema`` (of the
+    staged lines) spares the pass over all file footers that merging schemas takes.
     """
     check_month(year, month)
     wanted = checked_payers(payer_ids)
     require_unique(payers, "payer_account_id", "payers")
     require_unique(accounts, "account_id", "accounts")
-    billing = month_table(spark, staged_root, year, month, wanted)
+    billing = month_table(spark, staged_root, year, month, wanted, schema)
     run = hashlib.sha256("|".join([fact_path, *wanted]).encode()).hexdigest()[:16]
     lines = through_shared_table(
         condense(billing_lines(billing, wanted)).sortWithinPartitions("line_type"),

@@ -8,14 +8,14 @@ empty has to end up empty.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from idlewatch.functions.timeops import check_month, in_month
 from idlewatch.operators.wastage import SLICE_COLUMNS, UNITS, update_units
+from idlewatch.sinks.slices import overwrite_slices
 
 _TEXT = (
     "reservation_arn", "payer_name", "usageaccountid", "account_type", "customer_name", "region",
@@ -62,45 +62,11 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def overwrite_slices(
-    rows: DataFrame, path: str, columns: Sequence[str], rebalance: bool = True
-) -> list[tuple]:
-    """Replace exactly the partitions that ``rows`` has rows for; return those partitions.
-
-    Rebalancing on the partition columns gives few files per slice, while adaptive
-    execution splits the slice of a payer that owns a third of the rows. The partition
-    list comes out of the write itself and is bounded by the run's parameters (payers x
-    products).
-    """
-    seen = Observation()
-    observed = rows.observe(seen, F.collect_set(F.struct(*columns)).alias("slices"))
-    if rebalance:
-        observed = observed.hint("rebalance", *columns)
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
-    return [tuple(row[c] for c in columns) for row in seen.get["slices"]]
-
-
-def partition_folder(path: str, columns: Sequence[str], values: Sequence) -> str:
-    parts = [f"{c}={quote(str(v), safe='()- ,.&+@$!~_;<>|`')}" for c, v in zip(columns, values)]
-    return "/".join([path.rstrip("/"), *parts])
-
-
-def empty_slices(spark: SparkSession, path: str, schema: T.StructType, columns, slices) -> None:
-    """Leave each of the given partitions with an empty file."""
-    stored = T.StructType([f for f in schema if f.name not in columns])
-    empty = spark.createDataFrame([], stored).coalesce(1)
-    for values in slices:
-        empty.write.mode("overwrite").parquet(partition_folder(path, columns, values))
+def _month_folders(path: str, year: int, month: int, products: Sequence[str]) -> list[str]:
+    return [
+        f"{path.rstrip('/')}/product_name={p}/mycloud_startyear={year}/mycloud_startmonth={month}"
+        for p in products
+    ]
 
 
 def replace_slices(
@@ -113,37 +79,19 @@ def replace_slices(
 ) -> None:
     """Make the owned slices of the stored table equal to ``new``.
 
-    Each slice is swapped when the write commits, so a failed run leaves the old rows and
-    a repeated run changes nothing. Slices that had rows and get none are emptied after.
+    Rows outside the owned slices are not written, slices that get no rows end up empty.
     """
     check_month(year, month)
-    spark = new.sparkSession
     rows = new.where(slice_predicate(year, month, payer_ids, products)).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA]
     )
-    held = set()
-    if path_exists(spark, path):
-        in_month_folder = (F.col("mycloud_startyear") == year) & (F.col("mycloud_startmonth") == month)
-        held = {
-            tuple(r)
-            for r in read_facts(spark, path)
-            .where(
-                in_month_folder
-                & F.col("product_name").isin(*products)
-                & (F.col("bill_payeraccountid").isin(*payer_ids) if payer_ids else F.lit(False))
-            )
-            .select(*SLICE_COLUMNS)
-            .distinct()
-            .collect()
-        }
-    written = overwrite_slices(rows, path, SLICE_COLUMNS)
-    empty_slices(spark, path, FACT_SCHEMA, SLICE_COLUMNS, sorted(held - set(written)))
+    overwrite_slices(
+        rows, path, SLICE_COLUMNS, _month_folders(path, year, month, products), payer_ids
+    )
 
 
 def update_stored_units(spark: SparkSession, path: str, year: int, month: int) -> None:
     """Set the unit columns of a stored month, all payers and products."""
     in_folder = (F.col("mycloud_startyear") == year) & (F.col("mycloud_startmonth") == month)
-    stored = read_facts(spark, path).where(in_folder)
-    overwrite_slices(
-        update_units(stored, year, month).select(*FACT_SCHEMA.names), path, SLICE_COLUMNS
-    )
+    updated = update_units(read_facts(spark, path).where(in_folder), year, month)
+    overwrite_slices(updated.select(*FACT_SCHEMA.names), path, SLICE_COLUMNS, [], [])

@@ -1,0 +1,69 @@
+"""Replacing partition folders of a Parquet table, the empty ones included."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from idlewatch.operators.lines import for_payers
+from idlewatch.sources.discovery import file_listing
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def _owned_files(
+    spark: SparkSession, folders: Sequence[str], payers: Sequence[str]
+) -> DataFrame | None:
+    """(folder, file) of the payers' slices below ``folders``; a slice folder is
+    ``<payer column>=<one of payers>``."""
+    present = [f for f in folders if path_exists(spark, f)]
+    if not present:
+        return None
+    files = file_listing(spark, *present).selectExpr(
+        "regexp_extract(key, '^(.*)/[^/]*$', 1) AS folder",
+        "regexp_extract(key, '=([^/=]*)/[^/]*$', 1) AS payer",
+        "regexp_extract(key, '([^/]*)$', 1) AS file",
+    )
+    return for_payers(files, payers, "payer").select("folder", "file")
+
+
+def overwrite_slices(
+    rows: DataFrame,
+    path: str,
+    columns: Sequence[str],
+    folders: Sequence[str],
+    payers: Sequence[str],
+    rebalance: bool = True,
+) -> None:
+    """Make the payers' slices below ``folders`` hold exactly ``rows``.
+
+    Slices with rows are swapped when the write commits. A slice without rows is not
+    touched by that; it shows by a file that was there before, and is then overwritten
+    with an empty one. A failed run leaves old rows, a repeated run changes nothing. What
+    the driver holds is one file name per slice: bounded by payers and products.
+
+    Rebalancing on the partition columns gives few files per slice, while adaptive
+    execution splits the slice of a payer that owns a third of the rows.
+    """
+    spark = rows.sparkSession
+    before = _owned_files(spark, folders, payers)
+    held = before.groupBy("folder").agg({"file": "min"}).collect() if before else []
+    spread = rows.hint("rebalance", *columns) if rebalance else rows
+    (
+        spread.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+    if not held:
+        return
+    known = spark.createDataFrame([tuple(r) for r in held], "folder string, file string")
+    left = _owned_files(spark, folders, payers).join(known, ["folder", "file"], "left_semi")
+    stored = [f for f in rows.schema if f.name not in columns]
+    empty = spark.createDataFrame([], type(rows.schema)(stored)).coalesce(1)
+    for stale in sorted(r.folder for r in left.collect()):
+        empty.write.mode("overwrite").parquet(stale)

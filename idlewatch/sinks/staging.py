@@ -5,17 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from idlewatch.operators.lines import for_payers
-from idlewatch.sinks.facts import empty_slices, overwrite_slices, path_exists
+from idlewatch.sinks.slices import overwrite_slices, path_exists
 from idlewatch.sources.billing import (
     PAYER_PREFIX, billing_period_path, merged_scan, month_path, payer_partition,
 )
 
-PARTITIONS = ("year", "month", "payer")
-
-
 def stage_lines(
     billing: DataFrame, root: str, year: int, month: int, payer_ids: Sequence[str]
 ) -> None:
@@ -28,28 +24,18 @@ def stage_lines(
     they are. Inside a file lines are sorted by type, which lets the scans for fee lines
     skip nearly all row groups.
     """
-    spark = billing.sparkSession
-    lines = for_payers(billing, payer_ids, "bill_payer_account_id").withColumns(
-        {"year": F.lit(year), "month": F.lit(month), "payer": payer_partition()}
-    )
-    held = set()
-    target = month_path(root, year, month)
-    if path_exists(spark, target):
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        folder = F.regexp_extract("path", f"/payer={PAYER_PREFIX}([^/]*)/", 1)
-        held = {
-            r.payer_id
-            for r in listed.option("pathGlobFilter", "*.parquet").load(target)
-            .select(folder.alias("payer_id")).distinct().collect()
-        }
-    written = overwrite_slices(
-        lines.sortWithinPartitions(*PARTITIONS, "line_item_line_item_type"),
-        root, PARTITIONS, rebalance=False,
+    lines = for_payers(billing, payer_ids, "bill_payer_account_id").selectExpr(
+        "*", f"{payer_partition('bill_payer_account_id')} AS payer"
     )
-    gone = (held & set(payer_ids)) - {w[-1].removeprefix(PAYER_PREFIX) for w in written}
-    empty_slices(
-        spark, root, lines.schema, PARTITIONS,
-        [(year, month, f"{PAYER_PREFIX}{p}") for p in sorted(gone)],
+    folder = month_path(root, year, month)
+    overwrite_slices(
+        # Led by the partition column, so that the writer needs no sort of its own.
+        lines.sortWithinPartitions("payer", "line_item_line_item_type"),
+        folder,
+        ["payer"],
+        [folder],
+        [f"{PAYER_PREFIX}{p}" for p in payer_ids],
+        rebalance=False,
     )
 
 

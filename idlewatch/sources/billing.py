@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from idlewatch.functions.sql import text
 from idlewatch.functions.timeops import check_month
 from idlewatch.operators.lines import for_payers
 
@@ -60,5 +60,6 @@ def month_table(
     return table.drop("year", "month", "payer")
 
 
-def payer_partition(payer_id: str = "bill_payer_account_id"):
-    return F.concat(F.lit(PAYER_PREFIX), F.col(payer_id))
+def payer_partition(payer_id: str) -> str:
+    """Partition value as an expression; never NULL, so the writer keeps it as it is."""
+    return f"concat({text(PAYER_PREFIX)}, coalesce({payer_id}, ''))"
