@@ -69,6 +69,12 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return utilization_plan(
+        lines(spark, sf_dir), payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH
+    )
+
+
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/checks/{uuid.uuid4().hex}"
 
@@ -173,10 +179,7 @@ UTILIZATION = {
 
 
 def q_hourly_utilization(spark, sf_dir):
-    plan = utilization_plan(
-        lines(spark, sf_dir), payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH
-    )
-    return presented(plan.select(*UTILIZATION))
+    return presented(utilization(spark, sf_dir).select(*UTILIZATION))
 
 
 FACT_TEXT = (
@@ -696,11 +699,11 @@ O_STAGED_SLICE = f"""WITH {oracle.BILL}
     WHERE s < {MIDDLE} OR payer IN {oracle.in_list(OWNED_PAYERS)} GROUP BY payer"""
 
 
-def q_monthly_job(spark, sf_dir):
+def q_monthly_job(spark, sf_dir, runs: int = 2):
     """Staged lines to stored facts, run twice: the second run changes nothing."""
     root, path = new_folder(spark), new_folder(spark)
     stage_lines(billing(spark, sf_dir), root, YEAR, MONTH, shapes.PAYER_IDS)
-    for _ in range(2):
+    for _ in range(runs):
         run_month(
             spark, root, path, payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH,
             shapes.PAYER_IDS,

@@ -13,6 +13,7 @@ HOUR = "INTERVAL '1' HOUR"
 SECOND = "INTERVAL '1' SECOND"
 TWO_SECONDS = "INTERVAL '2' SECOND"
 LAST_OF_SECOND = "INTERVAL '0.999999' SECOND"
+START = "TIMESTAMP_NTZ '0001-01-01 00:00:00'"
 
 
 def check_month(year: int, month: int) -> None:
@@ -46,8 +47,13 @@ def first_of_next_month(ts: str) -> str:
     return f"({first_of_month(ts)} + INTERVAL '1' MONTH)"
 
 
+def _since_start(ts: str) -> str:
+    """Whole hours since a fixed midnight before all data; names ``ts`` only once."""
+    return f"CAST({ts} - {START} AS INTERVAL DAY TO HOUR)"
+
+
 def hour_floor(ts: str) -> str:
-    return f"({ts} - make_dt_interval(0, 0, minute({ts}), extract(SECOND FROM {ts})))"
+    return f"({START} + {_since_start(ts)})"
 
 
 def hour_end(hour: str) -> str:
@@ -57,7 +63,8 @@ def hour_end(hour: str) -> str:
 
 def hours_crossed(earlier: str, later: str) -> str:
     """Number of hour boundaries between two timestamps (not elapsed whole hours)."""
-    return f"CAST(CAST({hour_floor(later)} - {hour_floor(earlier)} AS INTERVAL HOUR) AS BIGINT)"
+    crossed = f"{_since_start(later)} - {_since_start(earlier)}"
+    return f"CAST(CAST({crossed} AS INTERVAL HOUR) AS BIGINT)"
 
 
 def days_crossed(earlier: str, later: str) -> str:

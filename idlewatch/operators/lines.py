@@ -19,7 +19,10 @@ from idlewatch.functions.rules import missing_or_zero
 from idlewatch.functions.sql import aggregates, aliased, text, text_list
 from idlewatch.functions.timeops import TWO_SECONDS, hours_crossed
 
+# On-demand cost is exact to eight decimals. It travels as a whole number of 10^-8, which
+# adds as fast as a double; beyond 92 billion the sum raises instead of rounding.
 MONEY = "DECIMAL(30,8)"
+MONEY_STEP = "0.00000001BD"
 
 KEYS = (
     "payer_id", "arn", "line_type", "started", "ended", "offering", "reservations",
@@ -106,7 +109,7 @@ def billing_lines(billing: DataFrame, payer_ids: Sequence[str] | None = None) ->
         "usage_amount": amount,
         "unblended_cost": "CAST(line_item_unblended_cost AS DOUBLE)",
         "effective_cost": "CAST(reservation_effective_cost AS DOUBLE)",
-        "on_demand_cost": f"CAST(pricing_public_on_demand_cost AS {MONEY})",
+        "on_demand_cost": f"CAST(CAST(pricing_public_on_demand_cost AS {MONEY}) * 100000000 AS BIGINT)",
         "hourly_cost": f"CASE WHEN {FEE} THEN {hourly_effective_cost()} ELSE 0D END",
     }
     reported = f"line_item_line_item_type IN {text_list(fixed.REPORTED_TYPES)}"

@@ -38,8 +38,8 @@ CONTRIBUTIONS = {
     "known_amount": ("0D", "known_amount"),
     "unfactored_amount": ("CAST(NULL AS DOUBLE)", "unfactored_amount"),
     "usage_amount": ("0D", "usage_amount"),
-    "usage_cost": ("CAST(0 AS DECIMAL(38,8))", "CAST(on_demand_cost AS DECIMAL(38,8))"),
-    "all_cost": ("on_demand_cost", "CAST(on_demand_cost AS DECIMAL(38,8))"),
+    "usage_cost": ("0L", "on_demand_cost"),
+    "all_cost": ("on_demand_cost", "on_demand_cost"),
     "hourly_cost": ("hourly_cost", "0D"),
 }
 
