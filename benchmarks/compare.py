@@ -11,6 +11,8 @@ import json
 import sys
 import time
 
+from pyspark.sql import functions as F
+
 from checks.billing import accounts, billing, payers
 from checks.queries import MONTH, YEAR, intervals
 from checks.shapes import PAYER_IDS
@@ -40,7 +42,7 @@ def theta(spark, sf_dir):
     overlap = f"""(startdate BETWEEN s AND e OR enddate BETWEEN s AND e OR s BETWEEN startdate AND enddate)
         AND {timeops.hours_crossed('startdate', 'e')} <> 0"""
     grid = timeops.hour_grid(spark, YEAR, MONTH)
-    return intervals(spark, sf_dir).crossJoin(grid).where(overlap).select("event_id", "startdate")
+    return intervals(spark, sf_dir).join(grid, F.expr(overlap)).select("event_id", "startdate")
 
 
 def closed(spark, sf_dir):
