@@ -15,7 +15,7 @@ from idlewatch.functions import fixed_values as fixed
 from idlewatch.functions import rules, timeops
 from idlewatch.functions.sql import aggregates, aliased
 from idlewatch.operators.dimensions import payer_max_date, reservation_dimension
-from idlewatch.operators.lines import billing_lines, product_value
+from idlewatch.operators.lines import billing_lines, product_entries, product_value
 from idlewatch.operators.payers import resolve_configs
 from idlewatch.operators.report import line_item_report
 from idlewatch.operators.services import SERVICES, report_name, service_of
@@ -27,7 +27,9 @@ from idlewatch.sinks.facts import read_facts, replaced, slice_predicate
 from idlewatch.sinks.staging import stage_exports, stage_lines
 from idlewatch.sinks.summary import payer_status, run_summary
 from idlewatch.sources.billing import billing_period_path, merged_scan, month_table
-from idlewatch.sources.discovery import changed_files, file_listing, file_marks, high_water_marks
+from idlewatch.sources.discovery import (
+    changed_files, file_listing, file_marks, high_water_marks, modified_after,
+)
 from idlewatch.streaming.intake import export_stream, follow_exports
 
 YEAR, MONTH = shapes.YEAR, shapes.MONTH
@@ -120,6 +122,25 @@ def o_map_pivot_product() -> str:
       FROM bill GROUP BY ALL"""
 
 
+def q_map_explode_product(spark, sf_dir):
+    """The same maps unnested, one row per entry."""
+    keys = ("bill_payer_account_id", "line_item_line_item_type")
+    entries = product_entries(billing(spark, sf_dir), *keys)
+    return entries.groupBy(*keys, "key").agg(
+        *aggregates({"value": "max(value)", "n_entries": "count(1)", "n_values": "count(value)"})
+    )
+
+
+def o_map_explode_product() -> str:
+    return f"""WITH {oracle.BILL}, entries AS (
+        SELECT payer, item, 'region' AS key, region_code AS value FROM bill WHERE product_name IS NOT NULL
+        UNION ALL
+        SELECT payer, item, 'product_name', product_name FROM bill WHERE product_name IS NOT NULL)
+      SELECT payer AS bill_payer_account_id, item AS line_item_line_item_type, key,
+        max(value) AS value, count(*) AS n_entries, count(value) AS n_values
+      FROM entries GROUP BY ALL"""
+
+
 DIMENSION = {
     "service": "'{name}'", "arn": "arn", "instance_type": "instance_type", "factor": number("nf"),
     "engine": "engine", "family": "family", "region_code": "region_code",
@@ -675,8 +696,8 @@ def q_incremental_files(spark, sf_dir):
     # File times are compared in milliseconds; one more keeps the waves apart.
     mark = file_marks(first_wave).first().mark + timedelta(milliseconds=1)
     write_export(lines_.where(LATE), base)
-    since = mark.isoformat(timespec="milliseconds")
-    return per_payer(merged_scan(spark, billing_period_path(base, YEAR, MONTH), modifiedAfter=since))
+    source = billing_period_path(base, YEAR, MONTH)
+    return per_payer(merged_scan(spark, source, **modified_after(mark)))
 
 
 O_INCREMENTAL_FILES = f"""WITH {oracle.BILL}
@@ -742,6 +763,7 @@ def registry() -> dict[str, tuple]:
         "hourly_utilization": (q_hourly_utilization, oracle.select("hours", UTILIZATION)),
         "payer_max_date": (q_payer_max_date, o_payer_max_date()),
         "map_pivot_product": (q_map_pivot_product, o_map_pivot_product()),
+        "map_explode_product": (q_map_explode_product, o_map_explode_product()),
         "reservation_dim": (q_reservation_dim, oracle.select("dim", DIMENSION)),
         "size_factor": (q_size_factor, o_factor(oracle.size_sql)),
         "size_factor_multi_az": (q_size_factor_multi_az, o_factor(oracle.zoned_size_sql)),

@@ -50,6 +50,16 @@ def product_value(billing: DataFrame, key: str) -> str:
     return f"try_element_at({product}, {text(key)})"
 
 
+def product_entries(billing: DataFrame, *columns: str) -> DataFrame:
+    """One row per entry of the product map; lines without entries drop out.
+
+    The general form. Reading single keys by ``product_value`` needs no extra rows.
+    """
+    is_list = isinstance(billing.schema["product"].dataType, T.ArrayType)
+    entries = "inline(product)" if is_list else "explode(product)"
+    return billing.selectExpr(*columns, f"{entries} AS (key, value)")
+
+
 def for_payers(billing: DataFrame, payer_ids: Sequence[str], column: str) -> DataFrame:
     """Rows of the listed payers; an empty list keeps nothing."""
     wanted = sorted(set(payer_ids))

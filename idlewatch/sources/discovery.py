@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def modified_after(since: datetime) -> dict[str, str]:
+    """Read options for files modified strictly later, whatever the session zone.
+
+    A datetime without zone is local time, as collected timestamps are. The reader
+    compares in the zone of its ``timeZone`` option, so both options go together.
+    """
+    utc = since.astimezone(timezone.utc).replace(tzinfo=None)
+    return {"modifiedAfter": utc.isoformat(), "timeZone": "UTC"}
+
+
 def file_listing(
     spark: SparkSession, *paths: str, since: datetime | None = None, pattern: str = "*.parquet"
 ) -> DataFrame:
@@ -22,7 +32,7 @@ def file_listing(
         .option("pathGlobFilter", pattern)
     )
     if since is not None:
-        reader = reader.option("modifiedAfter", since.isoformat())
+        reader = reader.options(**modified_after(since))
     return reader.load(list(paths)).select(
         F.col("path").alias("key"),
         F.col("length").alias("size"),

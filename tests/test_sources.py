@@ -9,7 +9,7 @@ import pytest
 from checks import shapes
 from checks.billing import billing
 from idlewatch.functions.text import base_name, bucket_of, environment_bucket, path_of
-from idlewatch.operators.lines import for_payers
+from idlewatch.operators.lines import for_payers, product_entries, product_value
 from idlewatch.operators.payers import resolve_configs
 from idlewatch.sinks.staging import stage_exports, stage_lines
 from idlewatch.sinks.summary import payer_status, run_summary
@@ -47,14 +47,29 @@ def test_merged_scan_unites_columns_of_any_case(spark, tmp_path):
     assert {tuple(r[c] for c in ("id", "extra", "cost")) for r in merged.collect()} == {(1, "a", None), (2, None, 5.0)}
 
 
+def test_product_maps_and_entry_lists(spark):
+    rows = [(1, {"region": "r", "product_name": "p"}), (2, {"product_name": None}), (3, {}), (4, None)]
+    maps = spark.createDataFrame(rows, "id int, product map<string,string>")
+    lists = maps.selectExpr("id", "map_entries(product) AS product")
+    for df in (maps, lists):
+        got = {tuple(r) for r in product_entries(df, "id").collect()}
+        assert got == {(1, "region", "r"), (1, "product_name", "p"), (2, "product_name", None)}
+        values = df.selectExpr("id", f"{product_value(df, 'region')} AS v").collect()
+        assert {tuple(r) for r in values} == {(1, "r"), (2, None), (3, None), (4, None)}
+
+
 def test_listing_since_is_strict(spark, tmp_path):
     spark.range(3).coalesce(1).write.parquet(str(tmp_path / "f"))
     files = file_listing(spark, str(tmp_path / "f"))
     (row,) = files.collect()
     assert row.key.endswith(".parquet") and row.size > 0
-    mark = row.last_modified
-    assert file_listing(spark, str(tmp_path / "f"), since=mark - timedelta(seconds=1)).count() == 1
-    assert file_listing(spark, str(tmp_path / "f"), since=mark + timedelta(seconds=1)).count() == 0
+    mark, before = row.last_modified, spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert file_listing(spark, str(tmp_path / "f"), since=mark - timedelta(seconds=1)).count() == 1
+        assert file_listing(spark, str(tmp_path / "f"), since=mark).count() == 0
+        assert file_listing(spark, str(tmp_path / "f"), since=mark + timedelta(seconds=1)).count() == 0
+    spark.conf.set("spark.sql.session.timeZone", before)
     assert "content" not in files._jdf.queryExecution().executedPlan().toString()
 
 
