@@ -20,7 +20,7 @@ from idlewatch.functions.sql import aggregates, aliased, text, text_list
 from idlewatch.functions.timeops import TWO_SECONDS, hours_crossed
 
 # On-demand cost is exact to eight decimals. It travels as a whole number of 10^-8, which
-# adds as fast as a double; beyond 92 billion the sum raises instead of rounding.
+# adds as fast as a double; beyond 92 billion the sum raises (in ANSI mode, the default).
 MONEY = "DECIMAL(30,8)"
 MONEY_STEP = "0.00000001BD"
 
