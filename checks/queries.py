@@ -709,9 +709,9 @@ def q_staged_slice(spark, sf_dir):
     base, root = new_folder(spark), new_folder(spark)
     lines_ = billing(spark, sf_dir)
     write_export(lines_.where(f"NOT ({LATE})"), base)
-    stage_exports(spark, [base], root, YEAR, MONTH, shapes.PAYER_IDS)
+    stage_exports(spark, [(p, base) for p in shapes.PAYER_IDS], root, YEAR, MONTH)
     write_export(lines_.where(LATE), base)
-    stage_exports(spark, [base], root, YEAR, MONTH, OWNED_PAYERS)
+    stage_exports(spark, [(p, base) for p in OWNED_PAYERS], root, YEAR, MONTH)
     return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))
 
 
@@ -742,7 +742,7 @@ def q_streaming_intake(spark, sf_dir):
         stream = export_stream(spark, source, lines_.schema)
 
         def restage(year: int, month: int, payer_ids) -> None:
-            stage_exports(spark, [base], root, year, month, payer_ids)
+            stage_exports(spark, [(p, base) for p in payer_ids], root, year, month)
 
         follow_exports(stream, checkpoint, restage).awaitTermination()
     return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))

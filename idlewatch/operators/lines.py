@@ -19,10 +19,8 @@ from idlewatch.functions.rules import missing_or_zero
 from idlewatch.functions.sql import aggregates, aliased, text, text_list
 from idlewatch.functions.timeops import TWO_SECONDS, hours_crossed
 
-# On-demand cost is exact to eight decimals. It travels as a whole number of 10^-8, which
-# adds as fast as a double; beyond 92 billion the sum raises (in ANSI mode, the default).
+# On-demand cost is exact to eight decimals; sums of it are DECIMAL(38,8).
 MONEY = "DECIMAL(30,8)"
-MONEY_STEP = "0.00000001BD"
 
 KEYS = (
     "payer_id", "arn", "line_type", "started", "ended", "offering", "reservations",
@@ -38,10 +36,6 @@ MEASURES = (
 FEE = f"line_type = {text(fixed.FEE)}"
 USAGE = f"line_type IN {text_list(fixed.USAGE_TYPES)}"
 
-# Up to this length a payer list stays an IN list, which prunes partition folders; a
-# longer one becomes a semi join.
-LONG_LIST = 10_000
-
 
 def product_value(billing: DataFrame, key: str) -> str:
     """One value of the product map; NULL for a missing key, an empty or a NULL map."""
@@ -61,12 +55,12 @@ def product_entries(billing: DataFrame, *columns: str) -> DataFrame:
 
 
 def for_payers(billing: DataFrame, payer_ids: Sequence[str], column: str) -> DataFrame:
-    """Rows of the listed payers; an empty list keeps nothing."""
+    """Rows of the listed payers; an empty list keeps nothing.
+
+    Always an IN list: Catalyst makes a long one a hashed set, and it prunes partition folders.
+    """
     wanted = sorted(set(payer_ids))
-    if len(wanted) <= LONG_LIST:
-        return billing.where(F.col(column).isin(wanted) if wanted else F.lit(False))
-    listed = billing.sparkSession.createDataFrame([(p,) for p in wanted], f"{column} string")
-    return billing.join(listed, column, "left_semi")
+    return billing.where(F.col(column).isin(wanted) if wanted else F.lit(False))
 
 
 def hourly_effective_cost() -> str:
@@ -119,7 +113,7 @@ def billing_lines(billing: DataFrame, payer_ids: Sequence[str] | None = None) ->
         "usage_amount": amount,
         "unblended_cost": "CAST(line_item_unblended_cost AS DOUBLE)",
         "effective_cost": "CAST(reservation_effective_cost AS DOUBLE)",
-        "on_demand_cost": f"CAST(CAST(pricing_public_on_demand_cost AS {MONEY}) * 100000000 AS BIGINT)",
+        "on_demand_cost": f"CAST(pricing_public_on_demand_cost AS {MONEY})",
         "hourly_cost": f"CASE WHEN {FEE} THEN {hourly_effective_cost()} ELSE 0D END",
     }
     reported = f"line_item_line_item_type IN {text_list(fixed.REPORTED_TYPES)}"

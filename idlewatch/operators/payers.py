@@ -11,6 +11,13 @@ CONFIG = ("name", "bucket", "path", "access_type")
 ACCESS_TYPE = "CROSS_ACCOUNT"  # fixed value of configurations from the refresh table
 
 
+def require_unique(dimension: DataFrame, key: str, name: str) -> None:
+    """A duplicate key would silently double every joined amount."""
+    repeated = dimension.groupBy(key).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{name} has several rows for {key} {repeated[0][0]!r}")
+
+
 def active_configs(refresh_config: DataFrame) -> DataFrame:
     """Enabled payers with their location split into bucket and path."""
     return refresh_config.where("enable_refresh_payer").selectExpr(
@@ -28,14 +35,19 @@ def resolve_configs(
     """Configuration of each requested payer.
 
     The whole active row wins over the whole fallback row; ``source`` says which one was
-    taken and is ``missing`` if there is none.
+    taken and is ``missing`` if there is none. Several rows of one payer are refused: they
+    would double its files and amounts.
     """
+    active = active_configs(refresh_config)
+    require_unique(active, "payer_id", "active configurations")
+    require_unique(fallback, "payer_id", "fallback configurations")
+
     def packed(df: DataFrame, name: str) -> DataFrame:
         return df.selectExpr("payer_id", f"struct({', '.join(CONFIG)}) AS {name}")
 
     return (
         requested.select("payer_id").distinct()
-        .join(packed(active_configs(refresh_config), "primary"), "payer_id", "left")
+        .join(packed(active, "primary"), "payer_id", "left")
         .join(packed(fallback, "fallback"), "payer_id", "left")
         .selectExpr(
             "payer_id",

@@ -8,15 +8,15 @@ from idlewatch.functions.rules import missing_or_zero
 from idlewatch.functions.sql import aggregates, aliased, text
 from idlewatch.functions.timeops import SECOND, in_month
 from idlewatch.operators.dimensions import payer_names, report_weights
-from idlewatch.operators.lines import FEE, MONEY_STEP, sum_of_known
+from idlewatch.operators.lines import FEE, sum_of_known
 from idlewatch.operators.services import BY_KEY, report_name, reservation_id
 
 LINE_KEYS = ("payer_id", "arn", "line_type", "started", "ended", "offering", "reservations")
 
 
 def repeated_money(amount: str, copies: str) -> str:
-    """amount x copies, from whole steps back to a decimal with eight places."""
-    return f"(CAST({amount} * {copies} AS DECIMAL(20,0)) * {MONEY_STEP})"
+    """amount x copies with all eight places; the types make the product DECIMAL(38,8)."""
+    return f"(CAST({amount} AS DECIMAL(28,8)) * CAST({copies} AS DECIMAL(9,0)))"
 
 
 def line_sums(lines: DataFrame) -> DataFrame:

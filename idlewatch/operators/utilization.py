@@ -38,7 +38,7 @@ CONTRIBUTIONS = {
     "known_amount": ("0D", "known_amount"),
     "unfactored_amount": ("CAST(NULL AS DOUBLE)", "unfactored_amount"),
     "usage_amount": ("0D", "usage_amount"),
-    "usage_cost": ("0L", "on_demand_cost"),
+    "usage_cost": ("CAST(0 AS DECIMAL(30,8))", "on_demand_cost"),
     "all_cost": ("on_demand_cost", "on_demand_cost"),
     "hourly_cost": ("hourly_cost", "0D"),
 }

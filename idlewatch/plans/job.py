@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from idlewatch.functions.timeops import check_month
 from idlewatch.operators.lines import billing_lines, condense
+from idlewatch.operators.payers import require_unique
 from idlewatch.operators.services import SERVICES
 from idlewatch.operators.wastage import with_units
 from idlewatch.plans.monthly import wastage_plan
@@ -18,13 +19,6 @@ from idlewatch.sinks.facts import replace_slices
 from idlewatch.sources.billing import month_table
 
 
-def require_unique(dimension: DataFrame, key: str, name: str) -> None:
-    """A duplicate key would silently double every joined amount."""
-    repeated = dimension.groupBy(key).count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"{name} has several rows for {key} {repeated[0][0]!r}")
-
-
 def checked_payers(payer_ids: Sequence[str]) -> list[str]:
     wanted = sorted({str(p) for p in payer_ids})
     if not wanted:

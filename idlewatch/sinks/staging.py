@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from idlewatch.operators.lines import for_payers
 from idlewatch.sinks.slices import overwrite_slices, path_exists
@@ -41,14 +42,25 @@ def stage_lines(
 
 def stage_exports(
     spark: SparkSession,
-    bases: Sequence[str],
+    exports: Sequence[tuple[str, str]],
     root: str,
     year: int,
     month: int,
-    payer_ids: Sequence[str],
-) -> None:
-    """Stage one billing month out of the payers' export paths (all read in one scan)."""
-    paths = [p for p in (billing_period_path(b, year, month) for b in bases) if path_exists(spark, p)]
-    if not paths:
+    schema: StructType | None = None,
+) -> list[str]:
+    """Stage one billing month out of (payer_id, export path) pairs, all read in one scan.
+
+    A payer keeps its staged slice unless all of its exports hold the month; the payers that
+    were staged are returned, the others are for the caller to report. A given schema spares
+    reading the footers of the month.
+    """
+    paths: dict[str, set[str]] = {}
+    for payer_id, base in exports:
+        paths.setdefault(payer_id, set()).add(billing_period_path(base, year, month))
+    there = {p: path_exists(spark, p) for p in sorted(set().union(*paths.values()))}
+    staged = sorted(payer for payer, needed in paths.items() if all(there[p] for p in needed))
+    if not staged:
         raise FileNotFoundError(f"no export holds billing period {year}-{month:02d}")
-    stage_lines(merged_scan(spark, *paths), root, year, month, payer_ids)
+    found = sorted(set().union(*(paths[p] for p in staged)))
+    stage_lines(merged_scan(spark, *found, schema=schema), root, year, month, staged)
+    return staged

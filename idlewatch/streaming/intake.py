@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from idlewatch.functions.timeops import check_month
-
+PERIOD = r"/BILLING_PERIOD=(20[0-9]{2}-(?:0[1-9]|1[0-2]))/"
 OnSlices = Callable[[int, int, Sequence[str]], None]
 
 
@@ -25,10 +24,15 @@ def export_stream(
 
 
 def touched_slices(lines: DataFrame) -> DataFrame:
-    """(year, month, payer_id) of the lines' billing months."""
-    start = F.col("line_item_usage_start_date")
-    return lines.select(
-        F.year(start).alias("year"), F.month(start).alias("month"),
+    """(year, month, payer_id) by the billing period of the files' folders.
+
+    Usage may start before its billing period, so line dates do not tell the slice. Lines
+    without a payer, and files outside any billing period, touch nothing.
+    """
+    period = F.regexp_extract("file_path", PERIOD, 1)
+    return lines.where("bill_payer_account_id IS NOT NULL").where(period != "").select(
+        F.substring(period, 1, 4).cast("int").alias("year"),
+        F.substring(period, 6, 2).cast("int").alias("month"),
         F.col("bill_payer_account_id").alias("payer_id"),
     ).distinct()
 
@@ -38,18 +42,17 @@ def follow_exports(
 ) -> StreamingQuery:
     """Call ``on_slices(year, month, payer_ids)`` for each month a batch of files touches.
 
-    Only two columns of the new files are read here: the handler recomputes whole slices
+    Only one column and the path of the new files are read here: the handler recomputes whole slices
     from the staged table. A batch replayed after a failure repeats the same replacement,
     which changes nothing. The list per batch is bounded by months x payers.
     """
-    narrow = stream.select("line_item_usage_start_date", "bill_payer_account_id")
+    narrow = stream.select("_metadata.file_path", "bill_payer_account_id")
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
         months: dict[tuple[int, int], list[str]] = {}
         for row in touched_slices(batch).collect():
             months.setdefault((row.year, row.month), []).append(row.payer_id)
         for (year, month), payer_ids in sorted(months.items()):
-            check_month(year, month)
             on_slices(year, month, sorted(payer_ids))
 
     writer = narrow.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)

@@ -5,6 +5,8 @@ import pytest
 from checks import shapes
 from checks.billing import accounts, billing, payers
 from checks.run import differences
+from pyspark.sql import functions as F
+
 from idlewatch.operators.lines import billing_lines
 from idlewatch.operators.wastage import with_units
 from idlewatch.plans.job import require_unique, run_month
@@ -65,7 +67,22 @@ def test_stream_reports_each_file_once(spark, sf_dir, tmp_path):
     present = {r[0] for r in lines.select("bill_payer_account_id").distinct().collect()}
     want = [(2024, 1, sorted(present & set(ids))) for ids in (one, two)]
     assert calls == [w for w in want if w[2]]
-    stage_exports(spark, [base], root, 2024, 1, [p for c in calls for p in c[2]])
+    stage_exports(spark, [(p, base) for c in calls for p in c[2]], root, 2024, 1)
+
+
+def test_stream_follows_the_billing_period(spark, sf_dir, tmp_path):
+    """Lines of another month, without a start or a payer, and files outside any period."""
+    source, calls = str(tmp_path / "export"), []
+    lines = billing(spark, sf_dir)
+    first = lines.where("bill_payer_account_id IS NOT NULL").limit(1)
+    odd = first.withColumn("line_item_usage_start_date", F.lit("2023-12-31").cast(lines.schema["line_item_usage_start_date"].dataType))
+    odd = odd.unionByName(first.withColumn("line_item_usage_start_date", F.lit(None).cast(lines.schema["line_item_usage_start_date"].dataType)))
+    odd = odd.unionByName(first.withColumn("bill_payer_account_id", F.lit(None).cast("string")))
+    odd.write.parquet(billing_period_path(source, 2024, 1))
+    first.write.parquet(f"{source}/data/elsewhere")
+    stream = export_stream(spark, source, lines.schema)
+    follow_exports(stream, str(tmp_path / "c"), lambda *call: calls.append(call)).awaitTermination()
+    assert calls == [(2024, 1, [first.first().bill_payer_account_id])]
 
 
 def test_shared_folder_is_the_configured_one(spark):

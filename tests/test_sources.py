@@ -84,8 +84,7 @@ def test_changed_files(spark):
     assert {(r.payer_id, r.mark) for r in file_marks(listing).collect()} == {("a", t + timedelta(days=1)), ("b", t)}
 
 
-def test_payer_filter_short_long_and_empty(spark, monkeypatch):
-    monkeypatch.setattr("idlewatch.operators.lines.LONG_LIST", 500)
+def test_payer_filter_short_long_and_empty(spark):
     df = spark.range(2000).selectExpr("CAST(id AS STRING) AS payer")
     assert for_payers(df, [], "payer").count() == 0
     assert for_payers(df, ["5", "5", "x"], "payer").count() == 1
@@ -133,7 +132,8 @@ def test_staging_replaces_whole_payer_months(spark, sf_dir, tmp_path):
     base, root = str(tmp_path / "export"), str(tmp_path / "staged")
     lines = billing(spark, sf_dir)
     lines.write.parquet(billing_period_path(base, 2024, 1))
-    stage_exports(spark, [base, str(tmp_path / "absent")], root, 2024, 1, shapes.PAYER_IDS)
+    pairs = [(p, base) for p in shapes.PAYER_IDS]
+    assert stage_exports(spark, [*pairs, ("x", str(tmp_path / "absent"))], root, 2024, 1) == sorted(shapes.PAYER_IDS)
     staged = month_table(spark, root, 2024, 1, shapes.PAYER_IDS)
     assert staged.count() == lines.count()
     payers = sorted(r[0] for r in staged.select("bill_payer_account_id").distinct().collect())
@@ -164,4 +164,38 @@ def test_staged_files_are_sorted_by_line_type(spark, sf_dir, tmp_path):
 
 def test_missing_export(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
-        stage_exports(spark, [str(tmp_path / "none")], str(tmp_path / "s"), 2024, 1, ["1"])
+        stage_exports(spark, [("1", str(tmp_path / "none"))], str(tmp_path / "s"), 2024, 1)
+
+
+def test_an_absent_export_keeps_the_staged_lines(spark, sf_dir, tmp_path):
+    base, root = str(tmp_path / "export"), str(tmp_path / "staged")
+    lines = billing(spark, sf_dir)
+    lines.write.parquet(billing_period_path(base, 2024, 1))
+    one, two = sorted(r[0] for r in lines.select("bill_payer_account_id").distinct().collect())[:2]
+    stage_exports(spark, [(one, base), (two, base)], root, 2024, 1)
+    before = month_table(spark, root, 2024, 1, [one]).count()
+    assert before and stage_exports(spark, [(one, str(tmp_path / "gone")), (two, base)], root, 2024, 1) == [two]
+    assert month_table(spark, root, 2024, 1, [one]).count() == before
+
+
+def test_duplicate_configurations_are_refused(spark):
+    config = spark.createDataFrame(
+        [(1, "One", "s3://b/p", True), (1, "Uno", "s3://c/p", True)],
+        "payer_account_id bigint, payer_name string, payer_bucket_path string, enable_refresh_payer boolean",
+    )
+    empty = spark.createDataFrame([], "payer_id string, name string, bucket string, path string, access_type string")
+    with pytest.raises(ValueError, match="'1'"):
+        resolve_configs(spark.createDataFrame([("1",)], "payer_id string"), config, empty, "prod")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_beyond_whole_numbers(spark, ansi):
+    from idlewatch.operators.report import repeated_money
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = spark.sql("SELECT CAST(60e9BD AS DECIMAL(30,8)) AS cost FROM range(2)").selectExpr("sum(cost) AS cost")
+        assert lines.selectExpr(f"CAST({repeated_money('cost', '3L')} AS STRING) AS m").first().m == "360000000000.00000000"
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
