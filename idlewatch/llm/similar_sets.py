@@ -16,7 +16,8 @@ texts, and kept as logarithms in a table of 2^22 bytes, the only thing broadcast
 
 Links are wanted for components, so a list of m sets is not turned into m^2 pairs: first each
 set is compared with the list's smallest, verified pairs form components, and then only sets of
-one list that are still in different components are compared. No link between components is lost.
+one list that are still in different components are compared, unless their sizes or the parities
+of their elements on 256 bits rule a link out. No link between components is lost.
 
 Null and empty texts: empty set, linked with nothing. Rows without an id link by text but have a
 null id themselves. Repeated rows are copies. Extra columns are not read.
@@ -35,7 +36,8 @@ from idlewatch.llm.common import BASE, chunks, mixed, shingle_sets, stored
 
 CELLS = 22
 LIGHT = 64
-SETS = "doc_id long, n long, sid long"
+PARITY = ("p0", "p1", "p2", "p3")
+SETS = "doc_id long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
 
 
 def overlap(n: int, percent: int) -> int:
@@ -49,14 +51,39 @@ def identity(x: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
+def parity(x: np.ndarray) -> np.ndarray:
+    """256 bits: whether an odd number of elements falls on the bit."""
+    odd = np.bincount((mixed(x) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int) -> F.Column:
+    """False only for pairs (n_a, n_b and parities) that cannot reach the threshold.
+
+    The sizes must fit, and each bit that differs stands for an element only one set has.
+    """
+    differing = " + ".join(f"bit_count({p}_a ^ {p}_b)" for p in PARITY)
+    shared = f"(({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent})"
+    return F.expr(
+        f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent} AND {differing} <= n_a + n_b - 2 * {shared}"
+    )
+
+
+def side(rows: DataFrame, name: str, *keep) -> DataFrame:
+    """The columns of a set under the name of one side of a pair."""
+    return rows.select(*keep, F.col("sid").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", *PARITY)))
+
+
 def with_sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for first, texts in chunks(batch):
                 sets = shingle_sets(texts, k)
+                bits = np.array([parity(x) for x in sets], np.int64).reshape(-1, len(PARITY))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.slice(first, len(texts))["doc_id"], pa.array([len(x) for x in sets], pa.int64()), pa.array([identity(x) for x in sets], pa.int64())],
-                    names=["doc_id", "n", "sid"])
+                    [batch.slice(first, len(texts))["doc_id"], pa.array([len(x) for x in sets], pa.int64()), pa.array([identity(x) for x in sets], pa.int64()),
+                     *(pa.array(bits[:, i]) for i in range(len(PARITY)))],
+                    names=["doc_id", "n", "sid", *PARITY])
 
     return docs.mapInArrow(run, SETS)
 
@@ -222,18 +249,18 @@ def near_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame
     entries = stored(entries.join(lists, ["key", "light"]), "lists")
     fits = F.col("a") != F.col("b")
     heads = entries.select(F.col("sid").alias("a"), F.col("first").alias("b")).where(fits).distinct()
-    by_size = sets.groupBy("sid").agg(F.max("n").alias("n"))
-    heads = heads.join(by_size.selectExpr("sid AS a", "n AS n_a"), "a").join(by_size.selectExpr("sid AS b", "n AS n_b"), "b").where(
-        F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    ).select("a", "b")
+    known = stored(sets.groupBy("sid").agg(*(F.max(c).alias(c) for c in ("n", *PARITY))), "distinct-sets")
+    heads = heads.join(side(known, "a"), "a").join(side(known, "b"), "b").where(may_link(percent)).select("a", "b")
     links = verified(heads, sets, docs, k, percent)
     comps = components(links)
     told = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     told = stored(told, "told")
     apart = told.groupBy("key", "light").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("key", "light")
-    told = told.join(apart, ["key", "light"]).select("key", "light", "sid", "n", "comp")
-    left, right = told.selectExpr("key", "light", "sid AS a", "n AS n_a", "comp AS c_a"), told.selectExpr("key", "light", "sid AS b", "n AS n_b", "comp AS c_b")
-    more = left.join(right, ["key", "light"]).where("c_a > c_b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    told = told.join(apart, ["key", "light"]).select("key", "light", "sid", "comp").join(known, "sid")
+    left = side(told, "a", "key", "light", F.col("comp").alias("c_a"))
+    right = side(told, "b", "key", "light", F.col("comp").alias("c_b"))
+    # In the join's condition, so that pairs that cannot link are never made rows.
+    more = left.join(right, ["key", "light"]).where(may_link(percent) & (F.col("c_a") > F.col("c_b")))
     more = more.select("a", "b").distinct().join(heads, ["a", "b"], "left_anti")
     links = stored(links.unionByName(verified(more, sets, docs, k, percent)).distinct(), "all-links")
     comps = components(links)
