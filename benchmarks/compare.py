@@ -39,8 +39,10 @@ def best(action, runs: int = 2) -> float:
 
 
 def theta(spark, sf_dir):
-    overlap = f"""(startdate BETWEEN s AND e OR enddate BETWEEN s AND e OR s BETWEEN startdate AND enddate)
-        AND {timeops.hours_crossed('startdate', 'e')} <> 0"""
+    # A proper interval bills the hours whose end it crosses, a reversed one that of its start.
+    closing = timeops.hour_floor("e")
+    overlap = f"""(s <= e AND s <= enddate AND startdate < {closing})
+        OR (s > e AND startdate = {timeops.hour_floor('s')} AND s <= enddate AND startdate <> {closing})"""
     grid = timeops.hour_grid(spark, YEAR, MONTH)
     return intervals(spark, sf_dir).join(grid, F.expr(overlap)).select("event_id", "startdate")
 

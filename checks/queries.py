@@ -431,24 +431,28 @@ def q_interval_to_hours(spark, sf_dir):
 
 
 O_INTERVAL_TO_HOURS = f"""WITH {INTERVALS_SQL}
-    SELECT event_id, h AS hour FROM iv JOIN grid ON {oracle.FEE_COVERS}"""
+    SELECT event_id, h AS hour FROM {oracle.billed("iv")}"""
 
 
 def q_clipped_overlap_hours(spark, sf_dir):
+    """Summed in each row's own array of hours: no explode and no exchange."""
+    hours = intervals(spark, sf_dir).selectExpr(
+        "*", f"{timeops.covered_hours('s', 'e', YEAR, MONTH)} AS hours"
+    )
+    overlap = timeops.overlap_hours("s", "e", "hour")
     overlaps = {
-        "overlap": f"sum({timeops.overlap_hours('s', 'e', 'hour')})",
-        "overlap_closed_form": f"sum({timeops.hours_per_match('s', 'e')})",
-        "crossed": f"max({timeops.hours_crossed('s', 'e')})",
+        "overlap": f"aggregate(hours, 0L, (total, hour) -> total + {overlap})",
+        "overlap_closed_form": f"size(hours) * {timeops.hours_per_match('s', 'e')}",
+        "crossed": timeops.hours_crossed("s", "e"),
     }
-    exploded = intervals(spark, sf_dir).selectExpr("*", COVERED)
-    return exploded.groupBy("event_id").agg(*aggregates(overlaps))
+    return hours.where("size(hours) > 0").selectExpr("event_id", *aliased(overlaps))
 
 
 O_CLIPPED_OVERLAP_HOURS = f"""WITH {INTERVALS_SQL},
     hit AS (
-      SELECT event_id, s, e,
-        date_diff('hour', greatest(s, h), least(e, h_end) + INTERVAL 2 SECOND) AS o
-      FROM iv JOIN grid ON {oracle.FEE_COVERS})
+      SELECT event_id, s, e, date_diff('hour', greatest(s, h),
+          least(e, h + {oracle.LAST_SECOND}) + INTERVAL 2 SECOND) AS o
+      FROM {oracle.billed("iv")})
     SELECT event_id, CAST(sum(o) AS BIGINT) AS overlap, CAST(sum(o) AS BIGINT) AS overlap_closed_form,
       max(date_diff('hour', s, e)) AS crossed
     FROM hit GROUP BY event_id"""
@@ -720,15 +724,14 @@ O_STAGED_SLICE = f"""WITH {oracle.BILL}
     WHERE s < {MIDDLE} OR payer IN {oracle.in_list(OWNED_PAYERS)} GROUP BY payer"""
 
 
-def q_monthly_job(spark, sf_dir, runs: int = 2):
-    """Staged lines to stored facts, run twice: the second run changes nothing."""
+def q_monthly_job(spark, sf_dir):
+    """Staged lines to stored facts."""
     root, path = new_folder(spark), new_folder(spark)
     stage_lines(billing(spark, sf_dir), root, YEAR, MONTH, shapes.PAYER_IDS)
-    for _ in range(runs):
-        run_month(
-            spark, root, path, payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH,
-            shapes.PAYER_IDS,
-        )
+    run_month(
+        spark, root, path, payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH,
+        shapes.PAYER_IDS,
+    )
     return presented(read_facts(spark, path))
 
 

@@ -12,6 +12,7 @@ from idlewatch.operators.lines import FEE, sum_of_known
 from idlewatch.operators.services import BY_KEY, report_name, reservation_id
 
 LINE_KEYS = ("payer_id", "arn", "line_type", "started", "ended", "offering", "reservations")
+PAYER_SALTS = 64
 
 
 def repeated_money(amount: str, copies: str) -> str:
@@ -89,9 +90,13 @@ def line_item_report(
         "mycloud_ondemandprice": repeated_money("on_demand_cost", copies),
         "ri_hourly_effective_cost": f"hourly_cost * {copies}",
     }
+    # One payer may own a third of all lines: its name is repeated over the salts, so that
+    # no task has to take all its lines if the names are not broadcast.
+    names = payer_names(payers).selectExpr("*", f"explode(sequence(0, {PAYER_SALTS - 1})) AS salt")
     return (
         line_sums(lines.where(in_month("started", year, month)))
         .join(known, ["payer_id", "arn"], "left")
-        .join(payer_names(payers), "payer_id", "left")
+        .selectExpr("*", f"CAST(pmod(xxhash64(arn, started), {PAYER_SALTS}) AS INT) AS salt")
+        .join(names, ["payer_id", "salt"], "left")
         .selectExpr(*aliased(columns))
     )
