@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours by shifted Hilbert orderings.
+"""Exact nearest neighbours: shifted Hilbert orderings bound them, a pass over all rows completes.
 
 Equal vectors become one row that keeps its ids (the k + 1 smallest; no query needs more).
 Each ordering projects the vectors to a few dimensions, shifts them and sorts by Hilbert key
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from idlewatch.llm.common import stored
 
 ORDERINGS, DIMENSIONS, DIGITS, WINDOW = 12, 6, 10, 2000
+#: Queries sent to the executors at once, and neighbouring rows that share one bound.
+QUERIES, STRETCH = 10_000, 256
 
 
 def hilbert(points: np.ndarray, digits: int) -> np.ndarray:
@@ -82,6 +84,90 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("gid"), "vec", "ids")
 
 
+def centre_and_spread(rows: DataFrame, dim: int) -> tuple[np.ndarray, float]:
+    """Mean vector and mean deviation of the components, of all rows."""
+    def sums(batches):
+        n, total, squares = 0, np.zeros(dim), 0.0
+        for batch in batches:
+            if batch.num_rows:
+                x = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<f8").reshape(-1, dim)
+                n, total, squares = n + len(x), total + x.sum(axis=0), squares + float((x * x).sum())
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()], pa.binary()), pa.array([squares])], names=["n", "total", "squares"])
+
+    parts = rows.select("vec").mapInArrow(sums, "n long, total binary, squares double").collect()  # one row a task
+    n = sum(r["n"] for r in parts)
+    if not n:
+        return np.zeros(dim), 1.0
+    centre = sum(np.frombuffer(r["total"], "<f8") for r in parts) / n
+    variance = sum(r["squares"] for r in parts) / (n * dim) - float((centre * centre).mean())
+    spread = float(np.sqrt(max(0.0, variance)))
+    return (centre, spread) if np.isfinite(centre).all() and np.isfinite(spread) and spread > 0 else (np.zeros(dim), 1.0)
+
+
+def closest(ids: np.ndarray, dist: np.ndarray, keep: int) -> np.ndarray:
+    """The places of the `keep` smallest by distance, then id."""
+    if len(ids) <= keep:
+        return np.arange(len(ids))
+    some = np.flatnonzero(dist <= np.partition(dist, keep - 1)[keep - 1])
+    return some[np.lexsort((ids[some], dist[some]))][:keep]
+
+
+def within_bounds(rows: DataFrame, asked: DataFrame, dim: int, keep: int) -> DataFrame:
+    """(gid, near, score): all of `rows` (gid, vec) that can be among the `keep` nearest of a query.
+
+    asked: gid, vec and bound, a distance that `keep` distinct vectors are known not to exceed
+    (infinite if fewer are known). One pass over the rows for each QUERIES of them.
+    """
+    context = rows.sparkSession.sparkContext
+    blocks = -(-asked.count() // QUERIES)
+    out = rows.select("gid", F.col("gid").alias("near"), F.lit(0.0).alias("score")).limit(0)
+    for b in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("gid"), F.lit(blocks)) == b).toPandas()
+        if not len(block):
+            continue
+        sent = context.broadcast((block["gid"].to_numpy(), np.frombuffer(b"".join(block["vec"]), "<f8").reshape(-1, dim), block["bound"].to_numpy(float)))
+
+        def compare(batches, sent=sent):
+            gids, queries, bounds = sent.value
+            held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            limits = bounds.copy()
+            for batch in batches:
+                near = batch["gid"].to_numpy()
+                x = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<f8").reshape(-1, dim)
+                for first in range(0, len(x), STRETCH):
+                    some, names = x[first : first + STRETCH], near[first : first + STRETCH]
+                    centre = some.mean(axis=0)
+                    radius = np.sqrt(((some - centre) ** 2).sum(axis=1)).max()
+                    away = np.sqrt(((queries - centre) ** 2).sum(axis=1))
+                    # A little slack, so that rounding skips nothing; not (>) keeps what overflows.
+                    live = np.flatnonzero(~((away - radius) * (1 - 1e-9) > limits + 1e-9 * (away + radius)))
+                    from_q, from_x = queries[live] - centre, some - centre
+                    total = (from_q**2).sum(axis=1)[:, None] + (from_x**2).sum(axis=1)
+                    far = total * (1 - 1e-9) - 2 * (from_q @ from_x.T) > (limits[live] ** 2)[:, None] * (1 + 1e-9)
+                    for i in live[~far.all(axis=1)]:
+                        dist = np.sqrt(((some - queries[i]) ** 2).sum(axis=1))
+                        on = np.flatnonzero(dist <= limits[i])
+                        if not len(on):
+                            continue
+                        ids, dist = names[on], dist[on]
+                        if i in held:
+                            ids, dist = np.concatenate([held[i][0], ids]), np.concatenate([held[i][1], dist])
+                        best = closest(ids, dist, keep)
+                        held[i] = ids[best], dist[best]
+                        if len(best) == keep:
+                            limits[i] = min(limits[i], dist[best].max())
+            if held:
+                lens = [len(v[0]) for v in held.values()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(gids[list(held)], lens)), pa.array(np.concatenate([v[0] for v in held.values()])), pa.array(np.concatenate([v[1] for v in held.values()]))],
+                    names=["gid", "near", "score"])
+
+        out = out.unionByName(stored(rows.select("gid", "vec").mapInArrow(compare, "gid long, near long, score double"), "vector-completed"))
+        sent.unpersist()
+    return out
+
+
 def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", column: str = "embedding", k: int = 10,
            orderings: int = ORDERINGS, dimensions: int = DIMENSIONS, window: int = WINDOW, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score; `queries` holds the ids (column `key`) of rows of `df`."""
@@ -101,7 +187,7 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", column: str =
     d = min(dimensions, dim)
     turns = [np.linalg.qr(rng.normal(size=(dim, d)))[0] for _ in range(orderings)]
     shifts = rng.uniform(0, 0.3, size=(orderings, d))
-    spread = float(rows.select("vec").limit(2000).toPandas()["vec"].map(lambda b: np.std(np.frombuffer(b, "<f8"))).mean() or 1.0) if sizes else 1.0
+    centre, spread = centre_and_spread(rows, dim)
     top = (1 << DIGITS) - 1
 
     def keyed(batches):
@@ -109,7 +195,7 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", column: str =
             x = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<f8").reshape(-1, dim)
             for o in range(orderings):
                 # The normal curve's sigmoid spreads the projections over the grid.
-                unit = 1 / (1 + np.exp(-np.clip(1.7 * (x @ turns[o]) / (spread or 1.0), -40, 40)))
+                unit = 1 / (1 + np.exp(-np.clip(1.7 * ((x - centre) @ turns[o]) / spread, -40, 40)))
                 cell = np.floor((0.75 * unit + shifts[o] * 0.8) * top).clip(0, top)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), o, np.int32)), pa.array(hilbert(cell, DIGITS)), batch["gid"], batch["vec"], batch["asks"]],
@@ -143,18 +229,17 @@ def search(df: DataFrame, queries: DataFrame, key: str = "vec_id", column: str =
         out = []
         for i in np.flatnonzero(asks) if len(ids) else ():
             dist = np.sqrt(((base - x[i]) ** 2).sum(axis=1))
-            if len(ids) > k + 1:
-                limit = np.partition(dist, k)[k]
-                some = np.flatnonzero(dist <= limit)
-                some = some[np.lexsort((ids[some], dist[some]))][: k + 1]
-            else:
-                some = np.arange(len(ids))
+            some = closest(ids, dist, k + 1)
             out.append(pd.DataFrame({"gid": gid[i], "near": ids[some], "score": dist[some]}))
         return pd.concat(out) if out else pd.DataFrame({"gid": np.zeros(0, "int64"), "near": np.zeros(0, "int64"), "score": np.zeros(0)})
 
     found = meets.groupBy("o", "block").applyInPandas(nearest, "gid long, near long, score double")
-    best = found.groupBy("gid", "near").agg(F.min("score").alias("score"))
+    met = found.groupBy("gid", "near").agg(F.min("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("gid").orderBy("score", "near"))
+    met = met.withColumn("place", place).where(F.col("place") <= k + 1)
+    bounds = met.groupBy("gid").agg(F.when(F.count("*") == k + 1, F.max("score")).otherwise(F.lit(float("inf"))).alias("bound"))
+    bounded = stored(groups.select("gid", "vec").join(bounds, "gid"), "vector-bounds")
+    best = within_bounds(order.where("o = 0"), bounded, dim, k + 1)
     best = best.withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
     near_ids = groups.select(F.col("gid").alias("near"), "ids")
     best = best.join(near_ids, "near").select("gid", "score", F.explode("ids").alias("vec_id"))

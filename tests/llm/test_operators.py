@@ -178,6 +178,21 @@ def test_neighbours_recall_and_scores(spark, sf_dir):
     assert total == 10 * (ids % 100 == 0).sum() and found / total >= 0.9
 
 
+def test_neighbours_exact_over_many_blocks(spark, monkeypatch):
+    """Far more rows than a query meets in its windows, off centre, unevenly spread; several blocks of queries."""
+    monkeypatch.setattr(neighbours, "QUERIES", 30)
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(4000, 24)) * np.linspace(0.2, 3, 24) + 5).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.search(df, df.where("vec_id % 50 = 0").select("vec_id"), orderings=2, window=20).collect()
+    want = []
+    for q in range(0, len(x), 50):
+        dist = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        order = [i for i in np.lexsort((np.arange(len(x)), dist)) if i != q][:10]
+        want += [(q, n + 1, int(i), float(dist[i])) for n, i in enumerate(order)]
+    assert sorted(map(tuple, got)) == want
+
+
 def test_neighbours_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (200, [2.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
