@@ -37,7 +37,7 @@ from idlewatch.llm.common import BASE, chunks, mixed, shingle_sets, stored
 CELLS = 22
 LIGHT = 64
 PARITY = ("p0", "p1", "p2", "p3")
-SETS = "doc_id long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
+SETS = "doc_id long, tkey long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
 
 
 def overlap(n: int, percent: int) -> int:
@@ -81,9 +81,9 @@ def with_sets(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(texts, k)
                 bits = np.array([parity(x) for x in sets], np.int64).reshape(-1, len(PARITY))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.slice(first, len(texts))["doc_id"], pa.array([len(x) for x in sets], pa.int64()), pa.array([identity(x) for x in sets], pa.int64()),
+                    [*(batch.slice(first, len(texts))[c] for c in ("doc_id", "tkey")), pa.array([len(x) for x in sets], pa.int64()), pa.array([identity(x) for x in sets], pa.int64()),
                      *(pa.array(bits[:, i]) for i in range(len(PARITY)))],
-                    names=["doc_id", "n", "sid", *PARITY])
+                    names=["doc_id", "tkey", "n", "sid", *PARITY])
 
     return docs.mapInArrow(run, SETS)
 
@@ -196,13 +196,18 @@ def keys(docs: DataFrame, table, boundary: int, k: int, percent: int) -> DataFra
     return docs.select("text").mapInArrow(run, "key long, sid long, n int, light boolean")
 
 
+def texts_of(wanted: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(sid, text) of the wanted set ids: the text is found by its own hash, with or without a doc_id."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "tkey")).alias("x")
+    readers = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(first).select("sid", F.col("x.tkey").alias("_tkey"), F.col("x.doc_id").alias("_doc_id"))
+    rows = docs.select("doc_id", "tkey", "text")
+    return rows.join(readers, (F.col("tkey") == F.col("_tkey")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))).dropDuplicates(["sid"]).select("sid", "text")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that reach the threshold, by their whole texts."""
     pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    readers = sets.groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sid", "left_semi")
-    texts = docs.select("doc_id", "text").join(readers.where("doc_id IS NOT NULL"), "doc_id").dropDuplicates(["sid"]).select("sid", "text")
-    texts = stored(texts, "pair-texts")
+    texts = stored(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), sets, docs), "pair-texts")
     both = pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text")), "a").join(texts.select(F.col("sid").alias("b"), F.col("text").alias("other")), "b")
 
     def run(batches):
@@ -239,7 +244,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (verified links of the text's set) of every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tkey"))
     context = docs.sparkSession.sparkContext
     sets = stored(with_sets(docs, k), "sets")
     table = context.broadcast(frequency_levels(docs, k, sets.count()))

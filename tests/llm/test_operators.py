@@ -88,6 +88,19 @@ def test_jaccard_join_light_and_heavy_sets(spark):
     assert got == plain_components(rows)
 
 
+def test_jaccard_join_texts_without_or_with_clashing_ids(spark):
+    """A text found only under null ids bridges two others; one id carries different texts."""
+    words = [f"w{i}" for i in range(100)]
+    bridge = " ".join(words)
+    ends = " ".join(words[14:]), " ".join(words[:-14])
+    other = [f"z{i}" for i in range(60)]
+    rows = [(1, ends[0]), (2, ends[1]), (None, bridge), (7, " ".join(other)), (7, "q r s t u v w"), (8, " ".join(other[:-2])), (7, "a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in similar_sets.near_components(docs).collect())
+    assert got == plain_components(rows)
+    assert {r.doc_id: r.component_id for r in similar_sets.near_components(docs.where("doc_id IS NULL OR doc_id < 3")).collect()} == {1: 1, 2: 1, None: None}
+
+
 def test_token_counts_match_greedy_pieces(spark, odd, none):
     import json
 
