@@ -19,6 +19,10 @@ set is compared with the list's smallest, verified pairs form components, and th
 one list that are still in different components are compared, unless their sizes or the parities
 of their elements on 256 bits rule a link out. No link between components is lost.
 
+The links themselves are counted afterwards: all links lie within components, so all distinct sets
+of a component are compared with each other, in blocks of bounded size dealt by component and pair
+of blocks. No pair becomes a row; a task yields one sum for each set of its blocks.
+
 Null and empty texts: empty set, linked with nothing. Rows without an id link by text but have a
 null id themselves. Repeated rows are copies. Extra columns are not read.
 """
@@ -36,6 +40,8 @@ from idlewatch.llm.common import BASE, chunks, mixed, shingle_sets, stored
 
 CELLS = 22
 LIGHT = 64
+#: Shingles and sets of a block, on average.
+ELEMENTS, MEMBERS = 1 << 19, 2048
 PARITY = ("p0", "p1", "p2", "p3")
 SETS = "doc_id long, tkey long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
 
@@ -242,8 +248,95 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("u").alias("sid"), "comp")
 
 
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each on the right."""
+    many_l, many_r = len(left), len(right)
+    values, number = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner_l, owner_r = (np.repeat(np.arange(len(x)), [len(e) for e in x]) for x in (left, right))
+    number_l, number_r = number[: len(owner_l)], number[len(owner_l) :]
+    count_l, count_r = (np.bincount(x, minlength=len(values)) for x in (number_l, number_r))
+    cost = count_l * count_r
+    out = np.zeros((many_l, many_r), np.int64)
+    # Frequent elements by matrix products, the others by their pairs.
+    dense = np.flatnonzero((cost > 1) & (cost * 32 >= many_l * many_r))
+    column = np.full(len(values), -1)
+    for first in range(0, len(dense), 1024):
+        some = dense[first : first + 1024]
+        column[some] = np.arange(len(some))
+        a, b = np.zeros((many_l, len(some)), np.float32), np.zeros((many_r, len(some)), np.float32)
+        for matrix, owners, numbers in ((a, owner_l, number_l), (b, owner_r, number_r)):
+            at = column[numbers]
+            matrix[owners[at >= 0], at[at >= 0]] = 1
+        out += (a @ b.T).astype(np.int64)
+        column[some] = -1
+    cost[dense] = 0
+    order = np.argsort(number_r, kind="stable")
+    start = np.cumsum(count_r) - count_r
+    keep = np.flatnonzero(cost[number_l] > 0)
+    each = count_r[number_l[keep]]
+    ends = np.cumsum(each)
+    cuts = np.searchsorted(ends, np.arange(1 << 22, int(ends[-1]) + (1 << 22), 1 << 22) if len(ends) else [])
+    for part in np.split(np.arange(len(keep)), cuts):
+        if len(part):
+            n = each[part]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            right_owner = owner_r[order[np.repeat(start[number_l[keep[part]]], n) + within]]
+            out += np.bincount(np.repeat(owner_l[keep[part]], n) * many_r + right_owner, minlength=many_l * many_r).reshape(many_l, many_r)
+    return out
+
+
+def partners(comps: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(sid, partners): the rows of all other sets that reach the threshold with the set."""
+    blocks = F.greatest(F.ceil(F.sum("n") / ELEMENTS), F.ceil(F.count("*") / MEMBERS))
+    members = comps.join(classes, "sid")
+    members = members.join(members.groupBy("comp").agg(blocks.alias("blocks")), "comp").join(texts_of(comps.select("sid"), sets, docs), "sid")
+
+    def elements(batches):
+        for batch in batches:
+            for first, texts in chunks(batch):
+                some = batch.slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [*(some[c] for c in ("sid", "comp", "copies", "blocks")), pa.array([x.tobytes() for x in shingle_sets(texts, k)], pa.binary())],
+                    names=["sid", "comp", "copies", "blocks", "elements"])
+
+    def compared(rows):
+        low, high = rows[0][1], rows[0][2]
+        sides = [[r for r in rows if r[3] == b] for b in dict.fromkeys((low, high))]
+        if not all(sides):
+            return
+        left, right = sides[0], sides[-1]
+        x, y = ([np.frombuffer(r[6], np.uint64) for r in side] for side in (left, right))
+        same = shared(x, y)
+        link = 100 * same >= percent * (np.array([len(e) for e in x])[:, None] + np.array([len(e) for e in y]) - same)
+        if low == high:
+            np.fill_diagonal(link, False)
+        told = [(left, link @ np.array([r[5] for r in right]))]
+        if low != high:
+            told.append((right, link.T @ np.array([r[5] for r in left])))
+        for side, sums in told:
+            yield pa.RecordBatch.from_arrays([pa.array([r[4] for r in side], pa.int64()), pa.array(sums.astype(np.int64))], names=["sid", "partners"])
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in ("comp", "low", "high", "block", "sid", "copies", "elements")), strict=True):
+                if rows and rows[-1][:3] != row[:3]:
+                    yield from compared(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield from compared(rows)
+
+    rows = members.select("sid", "comp", "copies", "blocks", "text").mapInArrow(elements, "sid long, comp long, copies long, blocks long, elements binary")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("sid"), "blocks")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    rows = rows.repartition("comp", "low", "high").sortWithinPartitions("comp", "low", "high")
+    found = rows.select("comp", "low", "high", "block", "sid", "copies", "elements").mapInArrow(run, "sid long, partners long")
+    return found.groupBy("sid").agg(F.sum("partners").alias("partners"))
+
+
 def near_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (verified links of the text's set) of every row."""
+    """doc_id, n_shingles, component_id, n_links (other rows that reach the threshold) of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tkey"))
     context = docs.sparkSession.sparkContext
     sets = stored(with_sets(docs, k), "sets")
@@ -269,10 +362,12 @@ def near_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame
     more = more.select("a", "b").distinct().join(heads, ["a", "b"], "left_anti")
     links = stored(links.unionByName(verified(more, sets, docs, k, percent)).distinct(), "all-links")
     comps = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
-    classes = sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("least")).join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    classes = sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    degree = stored(partners(comps, classes, sets, docs, k, percent), "partners")
+    classes = classes.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     ids = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    classes = classes.join(ids, "comp").join(degree, "sid", "left").select("sid", "n", "component_id", "n_links")
+    classes = classes.join(ids, "comp").join(degree, "sid", "left")
+    classes = classes.select("sid", "n", "component_id", (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = sets.join(classes, ["sid", "n"], "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"),

@@ -101,6 +101,29 @@ def test_jaccard_join_texts_without_or_with_clashing_ids(spark):
     assert {r.doc_id: r.component_id for r in similar_sets.near_components(docs.where("doc_id IS NULL OR doc_id < 3")).collect()} == {1: 1, 2: 1, None: None}
 
 
+def plain_links(texts):
+    sets = [plain_set(t) for t in texts]
+    return [sum(1 for j, y in enumerate(sets) if i != j and x & y and 100 * len(x & y) >= 75 * len(x | y)) for i, x in enumerate(sets)]
+
+
+@pytest.mark.parametrize("members", [2048, 3])
+def test_jaccard_join_counts_all_links(spark, monkeypatch, members):
+    """Groups of near copies, chains and exact copies: links that touch no list head count too."""
+    monkeypatch.setattr(similar_sets, "MEMBERS", members)
+    rng = np.random.default_rng(2)
+    texts = ["", None]
+    for n in (8, 30, 90, 200):
+        base = [f"v{x}" for x in rng.integers(0, 10**6, n)]
+        texts += [" ".join([*base, f"tail{i}"]) for i in range(6)] + [" ".join(base)] * 4
+        words = list(base)
+        for _ in range(8):
+            words = [*words[max(1, n // 12) :], *(f"v{x}" for x in rng.integers(0, 10**6, max(1, n // 12)))]
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in similar_sets.near_components(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_links(texts)
+
+
 def test_token_counts_match_greedy_pieces(spark, odd, none):
     import json
 
