@@ -316,5 +316,22 @@ def test_licences(spark, odd, none):
     assert licences.scan(none, licences.registry(spark)).count() == 0
 
 
+def test_licences_whole_texts(spark):
+    """Documents that are a whole licence, with a copyright line of their own and other line ends."""
+    mit = (licences.TEXTS / "MIT.txt").read_text(encoding="utf-8").replace("MIT License\n", "MIT License\n\nCopyright (c) 2024 Someone Else\n", 1)
+    read = {n: (licences.TEXTS / f"{n}.txt").read_text(encoding="utf-8") for n in ("Apache-2.0", "GPL-3.0", "BSD-3-Clause", "0BSD")}
+    rows = [(0, mit), *((i + 1, x.replace("\n", "\r\n  ").upper()) for i, x in enumerate(read.values()))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.whole_text for r in licences.scan(docs, licences.registry(spark)).collect()}
+    assert got == dict(enumerate(["MIT", *read]))
+
+
+def test_licences_lines_of_a_given_registry(spark):
+    """A notice without any word of the usual licences; an empty text in the registry matches nothing."""
+    known = spark.createDataFrame([("Beerware", "Buy me a beer, (per cent) free!"), ("Void", " -- "), ("None", None)], "licence string, text string")
+    docs = spark.createDataFrame([(1, "x\n\n  BUY me a beer: percent free\r\n--\nCopyright 2020 y"), (2, ""), (3, "buy me a beer")], "doc_id long, text string")
+    assert {r.doc_id: (r.whole_text, r.licences) for r in licences.scan(docs, known).collect()} == {1: (None, "Beerware"), 2: (None, ""), 3: (None, "")}
+
+
 def test_registry_names():
     assert [f"op{n}_" for n in range(1, 11)] == [re.match(r"op\d+_", k)[0] for k in queries.registry()]
