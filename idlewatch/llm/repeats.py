@@ -7,7 +7,9 @@ another text; overlaps count and matches never cross texts. Strings are found ex
    windows share anchors, so a text has about one anchor per 85 bytes, with the run of windows
    that name it and a hash of the bytes they cover. Equal windows have equal anchors.
 2. Equal anchors with equal runs are repeated as a whole. Of the other runs of a repeated anchor,
-   one of each kind goes on, with its text, and their windows are compared by 64-bit hashes.
+   one of each kind goes on, with its text, and their windows are compared by 64-bit hashes. Anchors
+   with few kinds are compared in one task each; for those with more than HOT_KINDS (a frequent line
+   in ever other surroundings), windows are counted by a shuffle with counts before it.
 3. The runs of a text become spans, which are cut out.
 
 Copies meet in step 1 as counts, so a large group of copies is never gathered. This replaces
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from idlewatch.llm.common import chunks, mixed, powers, stored
 
 GRAM = 32
+#: Kinds of run of one anchor that a task holds at most.
+HOT_KINDS = 2000
 ANCHORS = "row long, key long, run long, first int, last int"
 
 
@@ -151,6 +155,34 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").select("key", "run", "windows").mapInArrow(run, "key long, run long, low int, high int")
 
 
+def repeated_hot_windows(rows: DataFrame) -> DataFrame:
+    """The same for anchors with any number of runs: no task holds an anchor, only single runs."""
+    def unpacked(batches):
+        for batch in batches:
+            blobs = batch["windows"].to_pylist()
+            lens = np.array([len(b) // 8 for b in blobs], np.int64)
+            keys, runs = (np.repeat(batch[c].to_numpy(), lens) for c in ("key", "run"))
+            values = np.frombuffer(b"".join(blobs), np.uint64) ^ mixed(keys.view(np.uint64))
+            within = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(runs), pa.array(within.astype(np.int32)), pa.array(values.view(np.int64))], names=["key", "run", "at", "window"])
+
+    def spans(batches):
+        for batch in batches:
+            out = []
+            for key, run, at in zip(*(batch[c].to_pylist() for c in ("key", "run", "at")), strict=True):
+                at = np.sort(np.array(at, np.int32))
+                cut = np.flatnonzero(np.diff(at) > 1)
+                out += [(key, run, low, high) for low, high in zip(at[np.r_[0, cut + 1]].tolist(), at[np.r_[cut, len(at) - 1]].tolist(), strict=True)]
+            if out:
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["key", "run", "low", "high"])
+
+    windows = stored(rows.select("key", "run", "windows").mapInArrow(unpacked, "key long, run long, at int, window long"), "hot-windows")
+    twice = stored(windows.groupBy("window").agg(F.count("*").alias("times")).where("times > 1").select("window"), "hot-repeated")
+    found = windows.join(twice, "window").groupBy("key", "run").agg(F.collect_list("at").alias("at"))
+    return found.mapInArrow(spans, "key long, run long, low int, high int")
+
+
 def removed(docs: DataFrame, length: int = 200) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of every row."""
     rows = numbered(docs)
@@ -160,11 +192,18 @@ def removed(docs: DataFrame, length: int = 200) -> DataFrame:
     # One row for each kind of run of a repeated anchor; copies are only counted.
     kinds = stored(kinds.join(repeated, "key").select("key", "run", "times", "kinds"), "kinds")
     whole = all_runs.join(kinds.where("times > 1").select("key", "run"), ["key", "run"]).select("row", "first", "last")
-    open_kinds = kinds.where("kinds > 1").select("key", "run")
+    open_kinds = kinds.where("kinds > 1").select("key", "run", (F.col("kinds") > HOT_KINDS).alias("hot"))
     open_runs = stored(all_runs.join(open_kinds, ["key", "run"]), "open-runs")
-    chosen = open_runs.groupBy("key", "run").agg(F.min(F.struct("row", "first", "last")).alias("x")).select("key", "run", "x.*")
-    wanted = chosen.groupBy("row").agg(F.collect_list(F.struct("key", "run", "first", "last")).alias("runs"))
-    pieces = stored(repeated_windows(window_rows(rows.join(wanted, "row").select("row", "text", "runs"), length)), "pieces")
+
+    def windows(runs):
+        chosen = runs.groupBy("key", "run").agg(F.min(F.struct("row", "first", "last")).alias("x")).select("key", "run", "x.*")
+        wanted = chosen.groupBy("row").agg(F.collect_list(F.struct("key", "run", "first", "last")).alias("runs"))
+        return window_rows(rows.join(wanted, "row").select("row", "text", "runs"), length)
+
+    pieces = stored(repeated_windows(windows(open_runs.where("NOT hot"))), "pieces")
+    hot = open_runs.where("hot")
+    if not hot.isEmpty():
+        pieces = pieces.unionByName(stored(repeated_hot_windows(windows(hot)), "hot-pieces"))
     single = open_runs.join(kinds.where("times = 1").select("key", "run"), ["key", "run"], "left_semi")
     part = single.join(pieces, ["key", "run"]).select("row", (F.col("first") + F.col("low")).alias("first"), (F.col("first") + F.col("high")).alias("last"))
     spans = whole.unionByName(part).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))

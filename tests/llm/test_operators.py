@@ -200,6 +200,27 @@ def test_repeats(spark, sf_dir, odd, none, which):
     assert got == plain_removed([r.text for r in docs.select("text").collect()], 200)
 
 
+def test_repeats_of_a_frequent_line(spark, monkeypatch):
+    """A line in ever other surroundings, some of them repeated: no task may hold all of its runs."""
+    monkeypatch.setattr(repeats, "HOT_KINDS", 4)
+    rng = np.random.default_rng(4)
+    part = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    line, after, before = part(70), part(180), part(150)
+    texts = [part(200) + line + (after if i % 7 == 0 else part(180)) for i in range(24)]
+    texts += [part(90) + before + line + after + part(60) for _ in range(3)] + [before + line + part(100)] * 2
+    held, plain = [], repeats.repeated_windows
+
+    def spied(rows):
+        held.extend(r["count"] for r in rows.groupBy("key").count().collect())
+        return plain(rows)
+
+    monkeypatch.setattr(repeats, "repeated_windows", spied)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.removed(docs).collect())
+    assert got == plain_removed(texts, 200) and any(r[1] for r in got)
+    assert max(held, default=0) <= 4
+
+
 def test_neighbours_recall_and_scores(spark, sf_dir):
     df = table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = df.select("vec_id", "embedding").toPandas()
