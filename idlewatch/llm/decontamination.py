@@ -1,11 +1,11 @@
-"""Benchmark decontamination: SimHash of item-sized windows, then exact similarity.
+"""Benchmark decontamination: item-sized windows by shared shingles, then exact similarity.
 
 A document is tested against an item where it holds enough of the item's shingles (without
 them the similarity cannot reach the threshold). The windows of the item's number of words
-around those shingles get a 64-bit SimHash; windows that equal the item's fingerprint in at
-least one of RADIUS + 1 bit blocks and lie within RADIUS bits (the blocks guarantee that none
-within the radius is missed) are verified: weighted Jaccard similarity of five-word shingles,
-at least 0.75. Items with fewer than five words must occur as they stand.
+around those shingles are verified if enough of them fall inside: weighted Jaccard similarity of
+five-word shingles, at least 0.75. No window that reaches it is missed; a multi-index Hamming search
+over SimHash fingerprints would miss some (see the README), so none is used.
+Items with fewer than five words must occur as they stand.
 
 The benchmark is taken in blocks of ITEMS items, each broadcast; documents are never gathered.
 Null and empty documents and items match nothing. Of tied windows the first counts. Repeated
@@ -23,23 +23,10 @@ from pyspark.sql import functions as F
 
 from idlewatch.llm.common import chunks, shingle_hashes, word_hashes
 
-K, RADIUS, ITEMS = 5, 23, 5000
+K, ITEMS = 5, 5000
 OUT = "doc_id long, item_id long, similarity double, word_start int, n_words int"
 
 
-def simhash(shingles: np.ndarray) -> int:
-    bits = (shingles[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
-    return int(sum(1 << i for i in np.flatnonzero(bits.sum(axis=0) * 2 > len(shingles)).tolist()))
-
-
-BLOCKS = [sum(1 << b for b in range(i * 64 // (RADIUS + 1), (i + 1) * 64 // (RADIUS + 1))) for i in range(RADIUS + 1)]
-
-
-def near(a: int, b: int) -> bool:
-    x = a ^ b
-    return any(not x & m for m in BLOCKS) and x.bit_count() <= RADIUS
-
-
 def weighted(a: Counter, b: Counter) -> float:
     both = sum((a & b).values())
     return both / (sum(a.values()) + sum(b.values()) - both)
@@ -58,7 +45,7 @@ class Benchmark:
                 self.short.setdefault(len(words), {}).setdefault(int(shingles[0]), []).append(item_id)
                 continue
             n = len(self.items)
-            self.items.append((item_id, len(words), Counter(shingles.tolist()), simhash(shingles)))
+            self.items.append((item_id, len(words), Counter(shingles.tolist())))
             for h in set(shingles.tolist()):
                 self.of.setdefault(h, []).append(n)
         self.hashes = np.array(sorted(self.of), np.uint64)
@@ -85,7 +72,7 @@ class Benchmark:
             for n in self.of[int(hashes[p])]:
                 places.setdefault(n, []).append(p)
         for n, spots in places.items():
-            item_id, length, bag, print_ = self.items[n]
+            item_id, length, bag = self.items[n]
             size = length - K + 1
             # With J >= t and bags of sizes a <= size and size: the overlap is at least t * size.
             if sum(min(c, bag[h]) for h, c in Counter(hashes[spots].tolist()).items()) < self.threshold * size:
@@ -98,7 +85,7 @@ class Benchmark:
                     tried.add(s)
                     window = hashes[s : s + size]
                     inside = sum(1 for q in spots if s <= q < s + size)
-                    if inside < self.threshold * size or not near(simhash(window), print_):
+                    if inside < self.threshold * size:
                         continue
                     got = weighted(Counter(window.tolist()), bag)
                     if got >= self.threshold and (best is None or got > best[0] or got == best[0] and s < best[1]):

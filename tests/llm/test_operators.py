@@ -288,6 +288,14 @@ def test_decontamination(spark, sf_dir, odd, none):
     assert {r.doc_id for r in decontamination.contaminated(odd, short).collect()} == {3, 4}
 
 
+def test_decontamination_of_unlike_fingerprints(spark):
+    """Six of seven shingles are shared (0.75), though the SimHashes differ in 26 bits."""
+    words = [f"w{x}" for x in (244162, 151993, 359739, 72816, 554087, 595673, 586392, 366894, 127524, 980260, 81911, 397516)]
+    items = spark.createDataFrame([(1, " ".join(words[:11]))], "item_id long, text string")
+    docs = spark.createDataFrame([(5, " ".join(words[:10] + words[11:]))], "doc_id long, text string")
+    assert [tuple(r) for r in decontamination.contaminated(docs, items).collect()] == [(5, 1, 0.75, 0, 11)]
+
+
 def test_mixing_matches_sql_and_targets(spark, odd, none, sf_dir):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
