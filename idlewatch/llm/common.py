@@ -32,6 +32,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than one in so many rows is hot; there are fewer hot keys than this.
+HOT = 2000
+
+
+def joined_by_size(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """The rows with the columns of their group; `groups` counts all rows by non-null keys in `size`.
+
+    Rows of hot keys meet their groups by broadcast, which is less than HOT rows; the others are
+    shuffled, and no key brings one task more than a part in HOT of all rows.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT > total
+    some = F.broadcast(groups.where(hot))
+    return rows.join(some, keys).unionByName(
+        rows.join(some.select(*keys), keys, "left_anti").join(groups.where(~hot), keys)
+    )
+
+
 def held_out(column: str = "doc_id") -> F.Column:
     """True for the fifth of the documents whose labels are never learned."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from idlewatch.llm import (
-    decontamination, licences, mixing, neighbours, quality, records, repeats, similar_sets, toxicity, wordpieces,
+    decontamination, exact_copies, licences, mixing, neighbours, quality, records, repeats, similar_sets, toxicity, wordpieces,
 )
 from idlewatch.llm.common import table
 
@@ -53,6 +53,10 @@ def op10(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"), licences.registry(spark))
 
 
+def op13(spark, sf_dir):
+    return exact_copies.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict:
     return {
         "op1_ngram_jaccard_join": (op1, None),
@@ -65,4 +69,5 @@ def registry() -> dict:
         "op8_mixing": (op8, mixing.ORACLE.format(docs="documents")),
         "op9_token_records": (op9, None),
         "op10_licences": (op10, None),
+        "op13_exact_dedup": (op13, exact_copies.ORACLE),
     }
