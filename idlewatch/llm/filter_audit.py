@@ -6,12 +6,13 @@ Words are maximal [^\\x20\\x09-\\x0D]+ of the whole text, case-sensitive, as byt
     C  if 100 * [A-Z] > 5 * code points    D  if it holds any of #$%&*|
     E  if it is identical to the text of a smaller doc_id (equal SHA-256 of the whole text)
 
-The matrix is built in CSR shards, one row of it per document. Each task numbers the words of
-about 16 MB of text as it meets them, and writes the shard in these local numbers next to its
-list of words. The lists, not the matrix, are shuffled: their distinct words get global numbers
-(buckets by hash, frequent words first), and each shard's list comes back as numbers, which
-replace the local ones. Row sums of a shard are the words of its documents, its nonzeros the
-distinct words: both decide A and B. C, D and the digest for E come from the same reading.
+The matrix is built in CSR shards, one row of it per document. Each task numbers the distinct
+words of about 32 MB of text, bucket by bucket of their hashes, and writes the shard in these
+local numbers next to its words. The words are dealt by bucket; a task goes through the shards
+in order and gives each word it meets first the next number of its bucket. Held at once are the
+distinct words of one of BUCKETS buckets. Each shard's numbers come back and replace the local
+ones. Row sums of a shard are the words of its documents, its nonzeros the distinct words: both
+decide A and B. C, D and the digest for E come from the same reading.
 
 Per part (source) at most 32 sets of failed filters times the labels are left, so the 120 orders are
 evaluated on counts. A document is removed by the first filter of the order that it fails; over
@@ -28,6 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from idlewatch.llm.common import CHUNK, joined_by_size, stored
 
 FILTERS = "ABCDE"
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 25
 BUCKETS = 4096
 BLANKS = b" \t\n\x0b\f\r"
 UPPER = bytes(range(65, 91))
@@ -47,16 +49,17 @@ MARKS = b"#$%&*|"
 SALTS = 1024
 
 ROWS = "doc_ids array<bigint>, parts array<string>, digests array<binary>, flags array<int>"
-LOCAL = f"shard bigint, {ROWS}, indptr binary, indices binary, data binary, words array<binary>"
+LOCAL = f"shard bigint, {ROWS}, indptr binary, indices binary, data binary, words array<struct<bucket: int, list: binary>>"
+NUMBERS = "shard bigint, bucket int, size int, ids binary"
 GLOBAL = f"shard bigint, {ROWS}, indptr binary, indices binary, data binary"
 FACTS = "doc_id bigint, part string, digest binary, flags int, words bigint, distinct_words bigint"
 
 
-def pieces(data: bytes):
-    """The text in slices of about CHUNK bytes that end at blanks."""
+def pieces(data: bytes, size: int):
+    """The text in slices of about so many bytes that end at blanks."""
     at = 0
-    while len(data) - at > CHUNK:
-        end = max(data.rfind(BLANKS[i : i + 1], at + 1, at + CHUNK) for i in range(len(BLANKS)))
+    while len(data) - at > size:
+        end = max(data.rfind(BLANKS[i : i + 1], at + 1, at + size) for i in range(len(BLANKS)))
         if end < 0:  # one word over the whole slice
             ends = [data.find(BLANKS[i : i + 1], at + 1) for i in range(len(BLANKS))]
             end = min((e for e in ends if e >= 0), default=len(data))
@@ -65,10 +68,22 @@ def pieces(data: bytes):
     yield data[at:]
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the fewest bytes per value that hold them all."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << (8 * w)))
+
+
+def widened(raw: bytes, values: int) -> np.ndarray:
+    """What `narrow` wrote, from the number of values."""
+    return np.frombuffer(raw, f"<u{len(raw) // values}") if values else np.zeros(0, np.uint8)
+
+
 class Shard:
     """CSR rows of consecutive documents, in local word numbers."""
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int, chunk: int) -> None:
+        self.buckets, self.chunk = buckets, chunk
         self.numbers: defaultdict = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
         self.rows: tuple[list, ...] = ([], [], [], [])
@@ -78,7 +93,7 @@ class Shard:
         text = text or ""
         raw = text.encode()
         counts: Counter = Counter()
-        for piece in pieces(raw):
+        for piece in pieces(raw, self.chunk):
             counts.update(piece.split())
         failed_c = 100 * (len(raw) - len(raw.translate(None, UPPER))) > 5 * len(text)
         failed_d = len(raw.translate(None, MARKS)) < len(raw)
@@ -90,11 +105,29 @@ class Shard:
         self.indptr.append(self.indptr[-1] + len(counts))
         self.size += len(raw) + 64
 
+    def bucketed(self) -> tuple[np.ndarray, list]:
+        """New local numbers, by bucket; and the words of each bucket that has any, in that order."""
+        words = list(self.numbers)
+        buckets = np.fromiter((crc32(w) % self.buckets for w in words), np.int64, len(words))
+        order = np.argsort(buckets, kind="stable")
+        numbers = np.empty(len(words), np.uint32)
+        numbers[order] = np.arange(len(words), dtype=np.uint32)
+        cuts = np.searchsorted(buckets[order], np.arange(self.buckets + 1)).tolist()
+        order = order.tolist()
+        lists = [
+            {"bucket": i, "list": b" ".join([words[w] for w in order[low:high]])}
+            for i, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)) if low < high
+        ]
+        return numbers, lists
+
     def batch(self, shard: int) -> pa.RecordBatch:
-        parts = [np.array(self.indptr, np.int64), np.concatenate(self.indices), np.concatenate(self.data)]
+        numbers, lists = self.bucketed()
+        indices, data = numbers[np.concatenate(self.indices)], narrow(np.concatenate(self.data))
+        parts = [np.array(self.indptr, np.int64), indices, data]
+        columns = [[shard], *([c] for c in self.rows), *([p.tobytes()] for p in parts), [lists]]
         types = (pa.int64(), pa.string(), pa.binary(), pa.int32())
-        columns = [[shard], *([c] for c in self.rows), *([p.tobytes()] for p in parts), [list(self.numbers)]]
-        kinds = [pa.int64(), *map(pa.list_, types), *[pa.binary()] * 3, pa.list_(pa.binary())]
+        pair = pa.struct([("bucket", pa.int32()), ("list", pa.binary())])
+        kinds = [pa.int64(), *map(pa.list_, types), *[pa.binary()] * 3, pa.list_(pair)]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
             names=["shard", "doc_ids", "parts", "digests", "flags", "indptr", "indices", "data", "words"],
@@ -102,63 +135,91 @@ class Shard:
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
+    limits = BUCKETS, CHUNK
+
     def run(batches):
-        made, shard = 0, Shard()
+        made, shard = 0, Shard(*limits)
         first = TaskContext.get().partitionId() << 32
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
                 shard.add(*(v.as_py() for v in row))
                 if shard.size >= SHARD_BYTES:
                     yield shard.batch(first + made)
-                    made, shard = made + 1, Shard()
+                    made, shard = made + 1, Shard(*limits)
         if shard.rows[0]:
             yield shard.batch(first + made)
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    return narrow.mapInArrow(run, LOCAL)
+    used = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
+    return used.mapInArrow(run, LOCAL)
+
 
+def by_bucket(local: DataFrame) -> DataFrame:
+    """(shard, bucket, list), each bucket in one task in the order of shards."""
+    words = local.select("shard", F.explode("words").alias("x")).select("shard", "x.bucket", "x.list")
+    return words.repartition("bucket").sortWithinPartitions("bucket", "shard")
+
+
+def global_numbers(local: DataFrame) -> DataFrame:
+    """(shard, bucket, ids): the numbers of the bucket's words. Place in the bucket times BUCKETS, plus bucket."""
+    def run(batches):
+        now, seen = None, {}
+        for batch in batches:
+            out, sizes = [], []
+            for bucket, words in zip(batch["bucket"].to_pylist(), batch["list"], strict=True):
+                if bucket != now:
+                    now, seen = bucket, defaultdict()
+                    seen.default_factory = seen.__len__
+                words = words.as_py().split(b" ")
+                places = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+                out.append(narrow(places * BUCKETS + bucket).tobytes())
+                sizes.append(len(words))
+            yield pa.RecordBatch.from_arrays(
+                [batch["shard"], batch["bucket"], pa.array(sizes, pa.int32()), pa.array(out, pa.binary())],
+                names=["shard", "bucket", "size", "ids"],
+            )
+
+    return by_bucket(local).mapInArrow(run, NUMBERS)
+
+
+def dictionary(local: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(word, id) of all words."""
+    def run(batches):
+        for batch in batches:
+            for words, size, ids in zip(batch["list"], batch["size"], batch["ids"], strict=True):
+                values = widened(ids.as_py(), size.as_py()).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(words.as_py().split(b" "), pa.binary()), pa.array(values)], names=["word", "id"])
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, id): a number of its own for each distinct word, small ones for frequent words."""
-    bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
-    counted = words.groupBy("word").agg(F.count("*").alias("shards")).withColumn("bucket", bucket)
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("shards"), "word"))
-    return counted.select("word", ((place - 1).cast("long") * BUCKETS + F.col("bucket")).alias("id"))
+    both = by_bucket(local).join(numbers, ["shard", "bucket"])
+    return both.select("list", "size", "ids").mapInArrow(run, "word binary, id bigint").distinct()
 
 
 def term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(CSR shards in global word numbers, dictionary), both written to the shared folder.
+    """(CSR shards in global word numbers, dictionary), from tables written to the shared folder.
 
-    A shard is one row: facts of its documents as arrays, `indptr` (int64), `indices` (uint64 or
-    uint32, as its width tells) and `data` (uint32), little-endian.
+    A shard is one row: facts of its documents as arrays, `indptr` (int64), `indices` and `data`
+    (unsigned, `widened` reads them), little-endian. The dictionary has (word, id).
     """
     local = stored(local_shards(docs), "local-shards", "zstd")
-    words = local.select("shard", F.posexplode("words").alias("place", "word"))
-    known = stored(dictionary(words), "dictionary", "zstd")
-    numbers = words.join(known, "word").groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("pairs"))
-    numbers = numbers.select("shard", F.col("pairs.place").alias("places"), F.col("pairs.id").alias("ids"))
+    numbers = stored(global_numbers(local), "word-numbers", "zstd")
+    lists = numbers.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("bucket", "size", "ids"))).alias("lists"))
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                places, ids = (one[c].flatten().to_numpy() for c in ("places", "ids"))
-                order = np.empty(len(ids), np.uint64)
-                order[places] = ids
-                if not len(ids) or ids.max() < 1 << 32:
-                    order = order.astype(np.uint32)
-                indices = order[np.frombuffer(one["indices"][0].as_py(), np.uint32)]
+                indices = np.frombuffer(one["indices"][0].as_py(), np.uint32)
+                lists = one["lists"][0].as_py()
+                # A shard of texts without any word has no words to be numbered.
+                if lists:
+                    indices = np.concatenate([widened(x["ids"], x["size"]).astype(np.uint64) for x in lists])[indices]
                 columns = [one[c] for c in ("shard", "doc_ids", "parts", "digests", "flags", "indptr")]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array([indices.tobytes()], pa.binary()), one["data"]],
+                    [*columns, pa.array([narrow(indices).tobytes()], pa.binary()), one["data"]],
                     names=["shard", "doc_ids", "parts", "digests", "flags", "indptr", "indices", "data"],
                 )
 
-    # A shard of texts without any word has no words to be numbered.
-    both = local.drop("words").join(numbers, "shard", "left")
-    empty = {c: F.coalesce(c, F.array().cast(t)) for c, t in (("places", "array<int>"), ("ids", "array<bigint>"))}
-    shards = stored(both.withColumns(empty).mapInArrow(run, GLOBAL), "shards", "zstd")
-    return shards, known
+    both = local.drop("words").join(lists, "shard", "left")
+    return stored(both.mapInArrow(run, GLOBAL), "shards", "zstd"), dictionary(local, numbers)
 
 
 def row_facts(shards: DataFrame) -> DataFrame:
@@ -168,7 +229,7 @@ def row_facts(shards: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 ends = np.frombuffer(one["indptr"][0].as_py(), np.int64)
-                data = np.frombuffer(one["data"][0].as_py(), np.uint32)
+                data = widened(one["data"][0].as_py(), int(ends[-1]))
                 sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(data, dtype=np.int64)])[ends]
                 yield pa.RecordBatch.from_arrays(
                     [*(one[c].flatten() for c in ("doc_ids", "parts", "digests", "flags")), pa.array(np.diff(sums)), pa.array(np.diff(ends))],

@@ -73,15 +73,17 @@ def test_audit_matches_sql(spark, sf_dir):
     assert sorted(tuple(r[c] for c in columns) for r in query(spark, sf_dir).collect()) == sorted(want)
 
 
-def test_matrix_holds_every_word_under_one_number(spark, odd, monkeypatch):  # noqa: F811
+@pytest.mark.parametrize("buckets", [3, 4096])
+def test_matrix_holds_every_word_under_one_number(spark, odd, buckets, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(filter_audit, "BUCKETS", buckets)
     monkeypatch.setattr(filter_audit, "SHARD_BYTES", 300)
     shards, known = filter_audit.term_matrix(odd)
     words = {r.id: bytes(r.word) for r in known.collect()}
     assert len(set(words.values())) == len(words) == known.count()
     found = []
     for r in shards.collect():
-        ends, data = np.frombuffer(r.indptr, np.int64), np.frombuffer(r.data, np.uint32)
-        ids = np.frombuffer(r.indices, np.uint32)
+        ends = np.frombuffer(r.indptr, np.int64)
+        data, ids = (filter_audit.widened(x, int(ends[-1])) for x in (r.data, r.indices))
         for i, doc_id in enumerate(r.doc_ids):
             part = slice(ends[i], ends[i + 1])
             found.append((str(doc_id), sorted((words[int(w)], int(n)) for w, n in zip(ids[part], data[part], strict=True))))
@@ -89,8 +91,7 @@ def test_matrix_holds_every_word_under_one_number(spark, odd, monkeypatch):  # n
     assert sorted(found) == sorted(want)
 
 
-def test_slices_end_at_blanks(monkeypatch):
-    monkeypatch.setattr(filter_audit, "CHUNK", 7)
+def test_slices_end_at_blanks():
     for data in (b"", b"a" * 40, b"one two  three four", b" " * 20, b"abc " * 9 + b"x" * 30 + b" y\tz\n" * 5, b"12345678 " * 3):
-        parts = list(filter_audit.pieces(data))
+        parts = list(filter_audit.pieces(data, 7))
         assert b"".join(parts) == data and [w for p in parts for w in p.split()] == data.split()
