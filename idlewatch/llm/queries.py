@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from idlewatch.llm import (
-    decontamination, exact_copies, filter_audit, licences, mixing, neighbours, quality, records, repeats, similar_sets, toxicity, wordpieces,
+    decontamination, exact_copies, filter_audit, lexical, licences, mixing, neighbours, quality, records, repeats, similar_sets, toxicity, wordpieces,
 )
 from idlewatch.llm.common import table
 
@@ -53,6 +53,10 @@ def op10(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"), licences.registry(spark))
 
 
+def op11(spark, sf_dir):
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,6 +77,7 @@ def registry() -> dict:
         "op8_mixing": (op8, mixing.ORACLE.format(docs="documents")),
         "op9_token_records": (op9, None),
         "op10_licences": (op10, None),
+        "op11_lexical_search": (op11, lexical.ORACLE),
         "op12_filter_audit": (op12, filter_audit.ORACLE),
         "op13_exact_dedup": (op13, exact_copies.ORACLE),
     }
