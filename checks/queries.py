@@ -23,9 +23,12 @@ from idlewatch.operators.wastage import update_units
 from idlewatch.plans.job import run_month
 from idlewatch.plans.monthly import utilization_plan, wastage_plan
 from idlewatch.session import shared_folder
-from idlewatch.sinks.facts import read_facts, replaced, slice_predicate
+from idlewatch.sinks.facts import (
+    SLICES, read_facts, replace_slices, replaced, slice_predicate, update_stored_units,
+)
 from idlewatch.sinks.staging import stage_exports, stage_lines
 from idlewatch.sinks.summary import payer_status, run_summary
+from idlewatch.sinks.versions import manifest
 from idlewatch.sources.billing import billing_period_path, merged_scan, month_table
 from idlewatch.sources.discovery import (
     changed_files, file_listing, file_marks, high_water_marks, modified_after,
@@ -735,6 +738,48 @@ def q_monthly_job(spark, sf_dir):
     return presented(read_facts(spark, path))
 
 
+def stored_facts(spark, sf_dir, path: str, payer_ids) -> None:
+    """Facts without units, stored for the payers."""
+    rows = facts(spark, sf_dir)
+    products = [s.report_name for s in SERVICES]
+    replace_slices(
+        rows.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS {u}" for u in UNITS]), path, YEAR, MONTH, payer_ids, products
+    )
+
+
+def q_emptied_slice(spark, sf_dir):
+    """All payers stored, then a run of two products that has rows for some of its payers only."""
+    path = new_folder(spark)
+    stored_facts(spark, sf_dir, path, shapes.PAYER_IDS)
+    some = read_facts(spark, path, F.col("bill_payeraccountid").isin(OWNED_PAYERS[:4]))
+    replace_slices(some.where("used_nu > 0"), path, YEAR, MONTH, OWNED_PAYERS, OWNED_PRODUCTS)
+    left = read_facts(spark, path).groupBy("product_name", "bill_payeraccountid").agg(
+        *aggregates({"n_rows": "count(1)", "used_nu": f"round(sum(round(used_nu, {DIGITS})), {DIGITS})"})
+    )
+    slices = manifest(spark, path, SLICES).select("product_name", "bill_payeraccountid")
+    return slices.join(left, ["product_name", "bill_payeraccountid"], "left").selectExpr(
+        "product_name", "bill_payeraccountid", "coalesce(n_rows, 0L) AS n_rows", "used_nu"
+    )
+
+
+def o_emptied_slice() -> str:
+    inner = oracle.select("facts", FACTS)
+    owned = f"""bill_payeraccountid IN {oracle.in_list(OWNED_PAYERS)}
+      AND product_name IN {oracle.in_list(OWNED_PRODUCTS)}"""
+    kept = f"({owned}) IS NOT TRUE OR (used_nu > 0 AND bill_payeraccountid IN {oracle.in_list(OWNED_PAYERS[:4])})"
+    return f"""SELECT product_name, bill_payeraccountid, count(*) FILTER (WHERE {kept}) AS n_rows,
+      round(sum(used_nu) FILTER (WHERE {kept}), {DIGITS}) AS used_nu FROM ({inner}) GROUP BY ALL"""
+
+
+def q_stored_units(spark, sf_dir):
+    """Units set on the stored month, twice: the second time their own output is read."""
+    path = new_folder(spark)
+    stored_facts(spark, sf_dir, path, shapes.PAYER_IDS)
+    for _ in range(2):
+        update_stored_units(spark, path, YEAR, MONTH)
+    return presented(read_facts(spark, path))
+
+
 def q_streaming_intake(spark, sf_dir):
     """Two waves of export files, each followed once; touched slices are restaged whole."""
     base, root, checkpoint = new_folder(spark), new_folder(spark), new_folder(spark)
@@ -793,6 +838,8 @@ def registry() -> dict[str, tuple]:
         "incremental_files": (q_incremental_files, O_INCREMENTAL_FILES),
         "staged_slice": (q_staged_slice, O_STAGED_SLICE),
         "monthly_job": (q_monthly_job, oracle.select("facts", FACTS | UNITS)),
+        "emptied_slice": (q_emptied_slice, o_emptied_slice()),
+        "stored_units": (q_stored_units, oracle.select("facts", FACTS | UNITS)),
         "streaming_intake": (q_streaming_intake, O_STREAMING_INTAKE),
     }
     for service in SERVICES:

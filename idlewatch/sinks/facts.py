@@ -1,8 +1,8 @@
 """The fact table on plain Parquet: slice replacement and month updates.
 
-A slice is one product, year, month and payer, and one partition folder. Which slices a
-run owns follows from its parameters, not from its rows: a slice whose new result is
-empty has to end up empty.
+A slice is one product, year, month and payer. Which slices a run owns follows from its
+parameters, not from its rows: a slice whose new result is empty has to end up empty. Slices
+are replaced by version (`sinks.versions`): a run shows whole or not at all.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from idlewatch.functions.timeops import check_month, in_month
 from idlewatch.operators.wastage import SLICE_COLUMNS, UNITS, update_units
-from idlewatch.sinks.slices import overwrite_slices
+from idlewatch.sinks.versions import commit, manifest, read_slices
 
 _TEXT = (
     "reservation_arn", "payer_name", "usageaccountid", "account_type", "customer_name", "region",
@@ -58,15 +58,24 @@ def replaced(existing: DataFrame, new: DataFrame, owned: Column) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMA).parquet(path)
+SLICES = T.StructType([FACT_SCHEMA[c] for c in SLICE_COLUMNS])
 
 
-def _month_folders(path: str, year: int, month: int, products: Sequence[str]) -> list[str]:
-    return [
-        f"{path.rstrip('/')}/product_name={p}/mycloud_startyear={year}/mycloud_startmonth={month}"
-        for p in products
-    ]
+def of_month(year: int, month: int) -> Column:
+    return (F.col("mycloud_startyear") == year) & (F.col("mycloud_startmonth") == month)
+
+
+def read_facts(spark: SparkSession, path: str, where: Column | str | None = None) -> DataFrame:
+    """The current facts; `where`, a condition on slice columns, picks the slices to be read."""
+    return read_slices(spark, path, FACT_SCHEMA, SLICE_COLUMNS, where)
+
+
+def owned_slices(
+    spark: SparkSession, year: int, month: int, payer_ids: Sequence[str], products: Sequence[str]
+) -> DataFrame:
+    """One row per slice that a run with these parameters replaces."""
+    owned = [(p, year, month, payer) for p in sorted(set(products)) for payer in sorted(set(payer_ids))]
+    return spark.createDataFrame(owned, SLICES)
 
 
 def replace_slices(
@@ -82,16 +91,19 @@ def replace_slices(
     Rows outside the owned slices are not written, slices that get no rows end up empty.
     """
     check_month(year, month)
-    rows = new.where(slice_predicate(year, month, payer_ids, products)).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA]
-    )
-    overwrite_slices(
-        rows, path, SLICE_COLUMNS, _month_folders(path, year, month, products), payer_ids
-    )
+    rows = new.where(slice_predicate(year, month, payer_ids, products)).where(of_month(year, month))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA])
+    owned = owned_slices(new.sparkSession, year, month, payer_ids, products)
+    commit(rows, path, SLICE_COLUMNS, owned)
 
 
 def update_stored_units(spark: SparkSession, path: str, year: int, month: int) -> None:
-    """Set the unit columns of a stored month, all payers and products."""
-    in_folder = (F.col("mycloud_startyear") == year) & (F.col("mycloud_startmonth") == month)
-    updated = update_units(read_facts(spark, path).where(in_folder), year, month)
-    overwrite_slices(updated.select(*FACT_SCHEMA.names), path, SLICE_COLUMNS, [], [])
+    """Set the unit columns of a stored month, all payers and products.
+
+    Copy on write: the month's slices are read from their present folders and written into a new
+    version, all other slices stay where they are.
+    """
+    check_month(year, month)
+    touched = manifest(spark, path, SLICES).where(of_month(year, month)).where("folder IS NOT NULL")
+    updated = update_units(read_facts(spark, path, of_month(year, month)), year, month)
+    commit(updated.select(*FACT_SCHEMA.names), path, SLICE_COLUMNS, touched)

@@ -5,28 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from idlewatch.functions.sql import text
 from idlewatch.functions.timeops import check_month
-from idlewatch.operators.lines import for_payers
+from idlewatch.sinks.versions import folders, paths_of
 
 # Partition value of a payer. The prefix keeps partition discovery from reading the id
 # as a number, which would lose leading zeros.
 PAYER_PREFIX = "payer-"
+# Name of the export file a staged line came from.
+SOURCE_FILE = "source_file"
+STAGED_SLICES = StructType([StructField("payer", StringType())])
 
 
 def merged_scan(
-    spark: SparkSession, *paths: str, schema: StructType | None = None, **options
+    spark: SparkSession,
+    *paths: str,
+    schema: StructType | None = None,
+    extra: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
     """Parquet files of differing columns as one table with lower-case names.
 
     A column missing from a file reads as NULL. Give ``schema`` to skip reading footers.
+    ``extra`` are further expressions, over ``_metadata`` too.
     """
     reader = spark.read.options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
     table = reader.parquet(*paths)
-    return table.toDF(*[name.lower() for name in table.columns])
+    return table.selectExpr(*[f"`{name}` AS `{name.lower()}`" for name in table.columns], *extra)
 
 
 def billing_period_path(base: str, year: int, month: int) -> str:
@@ -37,6 +46,7 @@ def billing_period_path(base: str, year: int, month: int) -> str:
 
 
 def month_path(root: str, year: int, month: int) -> str:
+    """Folder of one staged month, a table of versioned slices of its own."""
     check_month(year, month)
     return f"{root.rstrip('/')}/year={year}/month={month}"
 
@@ -51,13 +61,17 @@ def month_table(
 ) -> DataFrame:
     """Staged lines of one billing month.
 
-    Only that month's folder is listed and merged. The payer filter hits the partition
-    column, so other payers' files are never opened.
+    Only the folders of that month's slices, and of the payers asked for, are listed and merged:
+    other payers' files and replaced versions are never opened.
     """
-    table = merged_scan(spark, month_path(root, year, month), schema=schema, basePath=root)
+    path, where = month_path(root, year, month), None
     if payer_ids is not None:
-        table = for_payers(table, [f"{PAYER_PREFIX}{p}" for p in payer_ids], "payer")
-    return table.drop("year", "month", "payer")
+        where = F.col("payer").isin([f"{PAYER_PREFIX}{p}" for p in sorted(set(payer_ids))])
+    names = folders(spark, path, STAGED_SLICES, where)
+    if not names:
+        raise FileNotFoundError(f"nothing is staged for these payers in {path}")
+    table = merged_scan(spark, *paths_of(path, names), schema=schema, basePath=f"{path}/data")
+    return table.drop("version", *STAGED_SLICES.names)
 
 
 def payer_partition(payer_id: str) -> str:

@@ -18,19 +18,23 @@ def modified_after(since: datetime) -> dict[str, str]:
     return {"modifiedAfter": utc.isoformat(), "timeZone": "UTC"}
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as file listings show it, with its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
+
+
 def file_listing(
-    spark: SparkSession, *paths: str, since: datetime | None = None, pattern: str = "*.parquet"
+    spark: SparkSession, *paths: str, since: datetime | None = None, pattern: str | None = None
 ) -> DataFrame:
-    """Files below the paths: key, size, last_modified.
+    """Files below the paths: key, size, last_modified; whatever a scan of the paths reads.
 
-    ``since`` keeps files modified strictly later. File contents are never read: only
-    the metadata columns of the source are selected.
+    ``since`` keeps files modified strictly later, ``pattern`` those whose names fit. File contents
+    are never read: only the metadata columns of the source are selected.
     """
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
     if since is not None:
         reader = reader.options(**modified_after(since))
     return reader.load(list(paths)).select(

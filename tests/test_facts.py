@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from idlewatch.operators.wastage import update_units, with_units
 from idlewatch.sinks.facts import (
-    FACT_SCHEMA, read_facts, replace_slices, replaced, slice_predicate, update_stored_units,
+    FACT_SCHEMA, SLICES, read_facts, replace_slices, replaced, slice_predicate, update_stored_units,
 )
+from idlewatch.sinks.versions import folders
 
 
 def facts(spark, *rows):
@@ -123,4 +124,6 @@ def test_unit_update_touches_one_month_of_all_payers(spark, tmp_path):
 def test_folders_hold_one_slice_each(spark, tmp_path):
     path = str(tmp_path / "facts")
     replace_slices(facts(spark, ("EC2(RIs)", "0012", JAN, 1.0)), path, 2024, 1, ["0012"], PRODUCTS)
-    assert os.path.isdir(f"{path}/product_name=EC2(RIs)/mycloud_startyear=2024/mycloud_startmonth=1/bill_payeraccountid=0012")
+    (folder,) = folders(spark, path, SLICES)
+    assert folder.endswith("/product_name=EC2(RIs)/mycloud_startyear=2024/mycloud_startmonth=1/bill_payeraccountid=0012")
+    assert os.path.isdir(f"{path}/{folder}")

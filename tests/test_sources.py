@@ -155,7 +155,7 @@ def test_staged_files_are_sorted_by_line_type(spark, sf_dir, tmp_path):
     """What lets a scan for fee lines skip row groups."""
     root = str(tmp_path / "staged")
     stage_lines(billing(spark, sf_dir), root, 2024, 1, shapes.PAYER_IDS)
-    files = glob.glob(f"{root}/year=2024/month=1/payer=*/*.parquet")
+    files = glob.glob(f"{root}/year=2024/month=1/data/version=*/payer=*/*.parquet")
     assert files
     for file in files:
         types = pq.read_table(file, columns=["line_item_line_item_type"], partitioning=None)[0].to_pylist()
