@@ -21,6 +21,7 @@ from idlewatch.operators.report import line_item_report
 from idlewatch.operators.services import SERVICES, report_name, service_of
 from idlewatch.operators.wastage import update_units
 from idlewatch.plans.job import run_month
+from idlewatch.plans.refresh import Places, refresh_reopened, refresh_run, summary_of
 from idlewatch.plans.monthly import utilization_plan, wastage_plan
 from idlewatch.session import shared_folder
 from idlewatch.sinks.facts import (
@@ -31,7 +32,7 @@ from idlewatch.sinks.summary import payer_status, run_summary
 from idlewatch.sinks.versions import manifest
 from idlewatch.sources.billing import billing_period_path, merged_scan, month_table
 from idlewatch.sources.discovery import (
-    changed_files, file_listing, file_marks, high_water_marks, modified_after,
+    changed_files, file_diff, file_listing, file_marks, high_water_marks, modified_after,
 )
 from idlewatch.streaming.intake import export_stream, follow_exports
 
@@ -780,6 +781,177 @@ def q_stored_units(spark, sf_dir):
     return presented(read_facts(spark, path))
 
 
+# Export buckets by nation key: a and b hold files, c has no folder, d an empty one, e none at all.
+BUCKETS = {"a": range(0, 12), "b": range(12, 20), "c": range(20, 22), "d": range(22, 24), "e": range(24, 25)}
+IN_A, IN_B = ([shapes.PAYER_IDS[i] for i in BUCKETS[b]] for b in "ab")
+
+
+def requested_payers(spark, sf_dir, names: str = "abcd"):
+    """(requested, refresh table, fallback) of the buckets' payers; payers of bucket e have no configuration."""
+    bucket = "CASE " + " ".join(f"WHEN n_nationkey < {r.stop} THEN '{b}'" for b, r in BUCKETS.items()) + " END"
+    nation = table(spark, sf_dir, "nation").selectExpr("*", f"{bucket} AS b").where(F.col("b").isin([*names, "e"]))
+    config = nation.where("b IN ('a', 'c', 'd')").selectExpr(
+        f"{shapes.PAYER_BASE}L + n_nationkey AS payer_account_id", "n_name AS payer_name",
+        "concat('s3://bill-nonprod-', b, '/exports') AS payer_bucket_path", "true AS enable_refresh_payer",
+    )
+    fallback = nation.where("b = 'b'").selectExpr(
+        f"{text_id(shapes.PAYER_BASE, 'n_nationkey')} AS payer_id", "n_name AS name", "'bill-b' AS bucket",
+        "'exports' AS path", "'LOCAL' AS access_type",
+    )
+    return nation.selectExpr(f"{text_id(shapes.PAYER_BASE, 'n_nationkey')} AS payer_id"), config, fallback
+
+
+def remove_files(spark, folder: str) -> None:
+    """Leave the folder empty."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(hadoop_path, True)
+    system.mkdirs(hadoop_path)
+
+
+def refreshed(spark, sf_dir):
+    """Three runs. Before the second, bucket a gets late lines and b loses its file; before the
+    third, b gets another file. Facts path and outcomes of each run."""
+    root = new_folder(spark)
+    places = Places(f"{root}/staged", f"{root}/facts", f"{root}/ledger", payers(spark, sf_dir), accounts(spark, sf_dir))
+    lines_ = billing(spark, sf_dir)
+    resolved = resolve_configs(*requested_payers(spark, sf_dir), "prod")
+    folder = {b: billing_period_path(f"{root}/bill-{b}/exports", YEAR, MONTH) for b in "abcd"}
+
+    def export(payer_ids, late: bool, bucket: str) -> None:
+        chosen = lines_.where(F.col("bill_payer_account_id").isin(payer_ids)).where(LATE if late else f"NOT ({LATE})")
+        chosen.coalesce(1).write.mode("append").parquet(folder[bucket])
+
+    def run():
+        return refresh_run(spark, resolved, f"concat('{root}/', bucket, '/', path)", places, YEAR, MONTH)
+
+    export(IN_A, False, "a")
+    export(IN_B, False, "b")
+    remove_files(spark, folder["d"])
+    outcomes = [run()]
+    export(IN_A, True, "a")
+    remove_files(spark, folder["b"])
+    outcomes.append(run())
+    export(IN_B, True, "b")
+    outcomes.append(run())
+    return places.fact_path, outcomes
+
+
+def q_refresh_run(spark, sf_dir):
+    return presented(read_facts(spark, refreshed(spark, sf_dir)[0]))
+
+
+def only_lines(condition: str) -> tuple[str]:
+    """The twins' source with fewer billing lines."""
+    return (oracle.BILL.replace("bill AS (", "all_bill AS (", 1) + f", bill AS (SELECT * FROM all_bill WHERE {condition})",)
+
+
+REFRESHED = f"payer IN {oracle.in_list(IN_A)} OR (payer IN {oracle.in_list(IN_B)} AND s >= {MIDDLE})"
+
+
+def q_refresh_outcomes(spark, sf_dir):
+    """Every payer and the summary (payer 'all') of each run."""
+    rows = None
+    for number, outcomes in enumerate(refreshed(spark, sf_dir)[1], 1):
+        payers_ = outcomes.select("payer_id", "source", "status", "success", "failed", "reason")
+        total = summary_of(outcomes).selectExpr(
+            "'all' AS payer_id", "concat(failed_payers, ' failed') AS source", "status", "success", "failed",
+            "concat(changed_payers, ' changed') AS reason",
+        )
+        both = payers_.unionByName(total).selectExpr(f"{number}L AS run", "*")
+        rows = both if rows is None else rows.unionByName(both)
+    return rows
+
+
+def o_refresh_outcomes() -> str:
+    def state(bucket: str, run: int) -> str:
+        known = {
+            ("a", 1): (1, 0), ("b", 1): (1, 0), ("a", 2): (1, 0), ("b", 2): (0, 1), ("a", 3): (1, 0), ("b", 3): (2, 0),
+        }
+        success, failed = known.get((bucket, run), (0, 0))
+        source = {"b": "fallback", "e": "missing"}.get(bucket, "primary")
+        status = "FAILED" if bucket == "e" else "HAS_NEW_FILES" if success + failed else "UP_TO_DATE"
+        reason = "'no configuration'" if bucket == "e" else "'no file of the month is left'" if failed else "NULL"
+        keys = BUCKETS[bucket]
+        return f"""SELECT {run} AS run, CAST({shapes.PAYER_BASE} + n_nationkey AS VARCHAR) AS payer_id, '{source}' AS source,
+          '{status}' AS status, {success} AS success, {failed} AS failed, {reason} AS reason
+          FROM nation WHERE n_nationkey BETWEEN {keys.start} AND {keys.stop - 1}"""
+
+    rows = " UNION ALL ".join(state(b, run) for run in (1, 2, 3) for b in BUCKETS)
+    return f"""WITH p AS ({rows}),
+      t AS (SELECT run, count(*) FILTER (WHERE status = 'FAILED') AS f, sum(success) AS s, sum(failed) AS x,
+        count(*) FILTER (WHERE status = 'HAS_NEW_FILES') AS c FROM p GROUP BY run)
+      SELECT CAST(run AS BIGINT) AS run, payer_id, source, status, CAST(success AS BIGINT) AS success,
+        CAST(failed AS BIGINT) AS failed, reason FROM p
+      UNION ALL
+      SELECT run, 'all', f || ' failed', CASE WHEN f + x > 0 THEN 'FAILED' WHEN c > 0 THEN 'SUCCESS' ELSE 'UP_TO_DATE' END,
+        CAST(s AS BIGINT), CAST(x AS BIGINT), c || ' changed' FROM t"""
+
+
+def q_file_diff(spark, sf_dir):
+    """Two listings out of orders: files overwritten within the clock's resolution, later, unchanged, gone and new."""
+    files = table(spark, sf_dir, "orders").selectExpr(
+        f"{text_id(shapes.ACCOUNT_BASE, 'o_custkey')} AS payer_id",
+        "concat('data/', o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '/' ELSE '.parquet' END) AS key",
+        "o_orderkey AS size", "o_orderdate AS last_modified", "o_orderkey % 7 AS kind",
+    )
+    after = files.where("kind <> 1").selectExpr(
+        "payer_id", "key", "CASE WHEN kind = 2 THEN size + 1 ELSE size END AS size",
+        "CASE WHEN kind = 3 THEN last_modified + INTERVAL 1 SECOND ELSE last_modified END AS last_modified",
+    )
+    return file_diff(files.where("kind <> 4").drop("kind"), after)
+
+
+O_FILE_DIFF = f"""SELECT CAST({shapes.ACCOUNT_BASE} + o_custkey AS VARCHAR) AS payer_id,
+    'data/' || o_orderkey || '.parquet' AS key,
+    ['removed', 'changed', 'changed', 'added'][CAST(o_orderkey % 7 AS INTEGER)] AS change
+    FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 7 BETWEEN 1 AND 4"""
+
+
+def q_late_files(spark, sf_dir):
+    """Two months run for the first time; then a late January file of bucket a reopens January alone.
+
+    February's export holds January's lines moved by a month.
+    """
+    root = new_folder(spark)
+    places = Places(f"{root}/staged", f"{root}/facts", f"{root}/ledger", payers(spark, sf_dir), accounts(spark, sf_dir))
+    resolved = resolve_configs(*requested_payers(spark, sf_dir, "ab"), "prod")
+    location = f"concat('{root}/', bucket, '/', path)"
+    lines_ = billing(spark, sf_dir)
+    moved = lines_.withColumns({
+        c: F.expr(f"{c} + INTERVAL '31' DAY") for c in ("line_item_usage_start_date", "line_item_usage_end_date")
+    })
+    early = lines_.where(f"NOT ({LATE})")
+    for bucket, ids in (("a", IN_A), ("b", IN_B)):
+        mine = F.col("bill_payer_account_id").isin(ids)
+        early.where(mine).coalesce(1).write.parquet(billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH))
+        moved.where(mine).coalesce(1).write.parquet(billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH + 1))
+    for month in (MONTH, MONTH + 1):
+        refresh_run(spark, resolved, location, places, YEAR, month)
+    february = F.col("mycloud_startmonth") == MONTH + 1
+    before = read_facts(spark, places.fact_path, february).inputFiles()
+    late = lines_.where(F.col("bill_payer_account_id").isin(IN_A)).where(LATE)
+    late.coalesce(1).write.mode("append").parquet(billing_period_path(f"{root}/bill-a/exports", YEAR, MONTH))
+    runs = refresh_reopened(spark, resolved, location, places)
+    after = read_facts(spark, places.fact_path, february).inputFiles()
+    stays = "true" if [r[:2] for r in runs] == [(YEAR, MONTH)] and sorted(before) == sorted(after) else "false"
+    january = presented(read_facts(spark, places.fact_path, F.col("mycloud_startmonth") == MONTH))
+    return january.selectExpr("*", f"{stays} AS february_stays")
+
+
+LATE_FILES = f"payer IN {oracle.in_list(IN_A)} OR (payer IN {oracle.in_list(IN_B)} AND s < {MIDDLE})"
+
+
+def q_unreadable_primary(spark, sf_dir):
+    """Active configurations whose bucket gives no access."""
+    requested, config, fallback = exports(spark, sf_dir)
+    shut = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").selectExpr("concat('bill-', c_custkey) AS bucket")
+    return resolve_configs(requested, config, fallback, "prod", shut)
+
+
+O_UNREADABLE_PRIMARY = "WITH " + CONFIG_SQL.replace("FROM customer)", "FROM (SELECT * REPLACE (CASE WHEN c_custkey % 3 = 0 THEN -1 ELSE c_acctbal END AS c_acctbal) FROM customer))", 1) + " SELECT * FROM resolved"
+
+
 def q_streaming_intake(spark, sf_dir):
     """Two waves of export files, each followed once; touched slices are restaged whole."""
     base, root, checkpoint = new_folder(spark), new_folder(spark), new_folder(spark)
@@ -838,6 +1010,13 @@ def registry() -> dict[str, tuple]:
         "incremental_files": (q_incremental_files, O_INCREMENTAL_FILES),
         "staged_slice": (q_staged_slice, O_STAGED_SLICE),
         "monthly_job": (q_monthly_job, oracle.select("facts", FACTS | UNITS)),
+        "refresh_run": (q_refresh_run, oracle.select("facts", FACTS | UNITS, source=only_lines(REFRESHED))),
+        "refresh_outcomes": (q_refresh_outcomes, o_refresh_outcomes()),
+        "file_diff": (q_file_diff, O_FILE_DIFF),
+        "late_files": (
+            q_late_files, oracle.select("facts", FACTS | UNITS | {"february_stays": "true"}, source=only_lines(LATE_FILES)),
+        ),
+        "unreadable_primary": (q_unreadable_primary, O_UNREADABLE_PRIMARY),
         "emptied_slice": (q_emptied_slice, o_emptied_slice()),
         "stored_units": (q_stored_units, oracle.select("facts", FACTS | UNITS)),
         "streaming_intake": (q_streaming_intake, O_STREAMING_INTAKE),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from idlewatch.functions.sql import text
 from idlewatch.functions.text import bucket_of, environment_bucket, path_of
@@ -30,16 +31,27 @@ def active_configs(refresh_config: DataFrame) -> DataFrame:
 
 
 def resolve_configs(
-    requested: DataFrame, refresh_config: DataFrame, fallback: DataFrame, environment: str
+    requested: DataFrame,
+    refresh_config: DataFrame,
+    fallback: DataFrame,
+    environment: str,
+    unreadable: DataFrame | None = None,
 ) -> DataFrame:
     """Configuration of each requested payer.
 
     The whole active row wins over the whole fallback row; ``source`` says which one was
     taken and is ``missing`` if there is none. Several rows of one payer are refused: they
     would double its files and amounts.
+
+    ``unreadable`` lists buckets (as the environment names them) that gave no access: an active
+    row that points there gives way to the fallback, and to nothing if there is none.
     """
     active = active_configs(refresh_config)
     require_unique(active, "payer_id", "active configurations")
+    if unreadable is not None:
+        shut = unreadable.selectExpr("bucket AS shut").where("shut IS NOT NULL").distinct()
+        active = active.withColumn("shut", F.expr(environment_bucket("bucket", environment)))
+        active = active.join(shut, "shut", "left_anti").drop("shut")
     require_unique(fallback, "payer_id", "fallback configurations")
 
     def packed(df: DataFrame, name: str) -> DataFrame:

@@ -15,8 +15,9 @@ from idlewatch.operators.services import SERVICES
 from idlewatch.operators.wastage import with_units
 from idlewatch.plans.monthly import wastage_plan
 from idlewatch.session import through_shared_table
-from idlewatch.sinks.facts import replace_slices
-from idlewatch.sources.billing import month_table
+from idlewatch.sinks.facts import FACT_SCHEMA, replace_slices
+from idlewatch.sinks.versions import snapshots
+from idlewatch.sources.billing import month_path, month_table, staged_folders
 
 
 def checked_payers(payer_ids: Sequence[str]) -> list[str]:
@@ -48,6 +49,13 @@ def run_month(
     wanted = checked_payers(payer_ids)
     require_unique(payers, "payer_account_id", "payers")
     require_unique(accounts, "account_id", "accounts")
+    products = [s.report_name for s in SERVICES]
+    if snapshots(spark, month_path(staged_root, year, month)) and not staged_folders(
+        spark, staged_root, year, month, wanted
+    ):
+        # Staged, but without any line: the slices end up empty.
+        replace_slices(spark.createDataFrame([], FACT_SCHEMA), fact_path, year, month, wanted, products)
+        return
     billing = month_table(spark, staged_root, year, month, wanted, schema)
     run = hashlib.sha256("|".join([fact_path, *wanted]).encode()).hexdigest()[:16]
     lines = through_shared_table(
@@ -55,4 +63,4 @@ def run_month(
         f"lines/year={year}/month={month}/run={run}",
     )
     facts = with_units(wastage_plan(lines, payers, accounts, year, month))
-    replace_slices(facts, fact_path, year, month, wanted, [s.report_name for s in SERVICES])
+    replace_slices(facts, fact_path, year, month, wanted, products)

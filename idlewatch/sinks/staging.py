@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -95,6 +97,38 @@ def stage_exports(
     return staged
 
 
+def stage_each(
+    spark: SparkSession,
+    exports: Sequence[tuple[str, str]],
+    root: str,
+    year: int,
+    month: int,
+    schema: StructType | None = None,
+) -> dict[str, str]:
+    """Stage the exports; the payers that could not be staged, with the reason.
+
+    All are tried in one scan. If that fails, each payer is staged on its own, so that one broken
+    file costs its own payer only.
+    """
+    payer_ids = sorted({p for p, _ in exports})
+    absent = "no file of the month"
+    try:
+        staged = set(stage_exports(spark, exports, root, year, month, schema))
+        return {p: absent for p in payer_ids if p not in staged}
+    except FileNotFoundError:
+        return dict.fromkeys(payer_ids, absent)
+    except (PySparkException, Py4JJavaError):
+        failed = {}
+    for payer_id in payer_ids:
+        try:
+            stage_exports(spark, [e for e in exports if e[0] == payer_id], root, year, month, schema)
+        except FileNotFoundError:
+            failed[payer_id] = absent
+        except (PySparkException, Py4JJavaError) as error:
+            failed[payer_id] = str(error).splitlines()[0][:500]
+    return failed
+
+
 def withdraw_files(
     spark: SparkSession, root: str, year: int, month: int, files: DataFrame
 ) -> list[str]:

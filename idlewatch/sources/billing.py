@@ -17,6 +17,8 @@ from idlewatch.sinks.versions import folders, paths_of
 PAYER_PREFIX = "payer-"
 # Name of the export file a staged line came from.
 SOURCE_FILE = "source_file"
+# Billing period in the path of an export file.
+PERIOD = r"/BILLING_PERIOD=(20[0-9]{2}-(?:0[1-9]|1[0-2]))/"
 STAGED_SLICES = StructType([StructField("payer", StringType())])
 
 
@@ -51,6 +53,16 @@ def month_path(root: str, year: int, month: int) -> str:
     return f"{root.rstrip('/')}/year={year}/month={month}"
 
 
+def staged_folders(
+    spark: SparkSession, root: str, year: int, month: int, payer_ids: Sequence[str] | None = None
+) -> list[str]:
+    """Folders of the month's staged slices that hold lines."""
+    where = None
+    if payer_ids is not None:
+        where = F.col("payer").isin([f"{PAYER_PREFIX}{p}" for p in sorted(set(payer_ids))])
+    return folders(spark, month_path(root, year, month), STAGED_SLICES, where)
+
+
 def month_table(
     spark: SparkSession,
     root: str,
@@ -64,10 +76,8 @@ def month_table(
     Only the folders of that month's slices, and of the payers asked for, are listed and merged:
     other payers' files and replaced versions are never opened.
     """
-    path, where = month_path(root, year, month), None
-    if payer_ids is not None:
-        where = F.col("payer").isin([f"{PAYER_PREFIX}{p}" for p in sorted(set(payer_ids))])
-    names = folders(spark, path, STAGED_SLICES, where)
+    path = month_path(root, year, month)
+    names = staged_folders(spark, root, year, month, payer_ids)
     if not names:
         raise FileNotFoundError(f"nothing is staged for these payers in {path}")
     table = merged_scan(spark, *paths_of(path, names), schema=schema, basePath=f"{path}/data")

@@ -25,12 +25,16 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def file_listing(
-    spark: SparkSession, *paths: str, since: datetime | None = None, pattern: str | None = None
+    spark: SparkSession,
+    *paths: str,
+    since: datetime | None = None,
+    pattern: str | None = None,
+    checksum: bool = False,
 ) -> DataFrame:
     """Files below the paths: key, size, last_modified; whatever a scan of the paths reads.
 
     ``since`` keeps files modified strictly later, ``pattern`` those whose names fit. File contents
-    are never read: only the metadata columns of the source are selected.
+    are never read, only the metadata columns of the source, unless a ``checksum`` is asked for.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern is not None:
@@ -41,6 +45,7 @@ def file_listing(
         F.col("path").alias("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
+        *([F.md5("content").alias("checksum")] if checksum else []),
     )
 
 
@@ -58,6 +63,27 @@ def changed_files(listing: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
+def file_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(payer_id, key, change): how one listing became another.
+
+    `added` and `removed` files, and `changed` ones: another size, modification time or, where both
+    listings have the column, checksum. A file overwritten within the clock's resolution still shows
+    by its size or checksum. Folder placeholders (keys ending in ``/``) are no files.
+    """
+    marks = ["size", "last_modified"]
+    if "checksum" in before.columns and "checksum" in after.columns:
+        marks.append("checksum")
+
+    def side(listing: DataFrame, name: str) -> DataFrame:
+        packed = F.struct(*marks).alias(name)
+        return listing.where(~F.col("key").endswith("/")).select("payer_id", "key", packed)
+
+    both = side(before, "old").join(side(after, "new"), ["payer_id", "key"], "full")
+    change = """CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'removed'
+        WHEN NOT (old <=> new) THEN 'changed' END"""
+    return both.withColumn("change", F.expr(change)).where("change IS NOT NULL").select("payer_id", "key", "change")
+
+
 def high_water_marks(facts: DataFrame, requested: DataFrame) -> DataFrame:
     """Last reported hour of each requested payer, NULL for a payer never reported."""
     last = facts.groupBy(F.col("bill_payeraccountid").alias("payer_id")).agg(

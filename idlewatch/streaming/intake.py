@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-PERIOD = r"/BILLING_PERIOD=(20[0-9]{2}-(?:0[1-9]|1[0-2]))/"
+from idlewatch.sources.billing import PERIOD
+
 OnSlices = Callable[[int, int, Sequence[str]], None]
 
 
