@@ -34,7 +34,7 @@ from idlewatch.sources.billing import billing_period_path, merged_scan, month_ta
 from idlewatch.sources.discovery import (
     changed_files, file_diff, file_listing, file_marks, high_water_marks, modified_after,
 )
-from idlewatch.streaming.intake import export_stream, follow_exports
+from idlewatch.streaming.intake import export_stream, follow_exports, follow_to_facts
 
 YEAR, MONTH = shapes.YEAR, shapes.MONTH
 DIGITS = 6
@@ -968,6 +968,21 @@ def q_streaming_intake(spark, sf_dir):
     return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))
 
 
+def q_streaming_facts(spark, sf_dir):
+    """The same waves followed to the stored facts; files outside any billing period change nothing."""
+    root = new_folder(spark)
+    places = Places(f"{root}/staged", f"{root}/facts", f"{root}/ledger", payers(spark, sf_dir), accounts(spark, sf_dir))
+    lines_ = billing(spark, sf_dir)
+    lines_.limit(100).write.parquet(f"{root}/export/data/elsewhere")
+    for wave in (lines_.where(f"NOT ({LATE})"), lines_.where(LATE)):
+        write_export(wave, f"{root}/export")
+        stream = export_stream(spark, f"{root}/export", lines_.schema)
+        follow_to_facts(
+            stream, f"{root}/checkpoint", f"{root}/batches", lambda ids: [(p, f"{root}/export") for p in ids], places,
+        ).awaitTermination()
+    return presented(read_facts(spark, places.fact_path))
+
+
 O_STREAMING_INTAKE = f"""WITH {oracle.BILL}
     SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill GROUP BY payer"""
 
@@ -1010,6 +1025,7 @@ def registry() -> dict[str, tuple]:
         "incremental_files": (q_incremental_files, O_INCREMENTAL_FILES),
         "staged_slice": (q_staged_slice, O_STAGED_SLICE),
         "monthly_job": (q_monthly_job, oracle.select("facts", FACTS | UNITS)),
+        "streaming_facts": (q_streaming_facts, oracle.select("facts", FACTS | UNITS)),
         "refresh_run": (q_refresh_run, oracle.select("facts", FACTS | UNITS, source=only_lines(REFRESHED))),
         "refresh_outcomes": (q_refresh_outcomes, o_refresh_outcomes()),
         "file_diff": (q_file_diff, O_FILE_DIFF),
