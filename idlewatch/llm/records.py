@@ -1,8 +1,8 @@
 """Token ids in length-delimited binary records, with a separate offset index.
 
-Record: length (u64), masked CRC-32 of the length (u32), payload of u32 ids, masked CRC-32
-of the payload (u32), all little-endian. The payload begins with the doc_id (i64, and a
-flag byte for null). `part-*.rec` holds records in ascending doc_id order, `part-*.idx` the
+Record: length (u64), masked CRC-32 of the length (u32), payload, masked CRC-32 of the payload
+(u32), all little-endian. The payload is a flag byte (doc_id is there), the bytes per id (2 where
+the vocabulary allows, else 4), the doc_id (i64) and the ids. `part-*.rec` holds records in ascending doc_id order, `part-*.idx` the
 u64 offset of every record, so a reader can fetch them in any order. Files go to the shared
 folder through Arrow's file systems under a name of the attempt; only files named by the
 finished attempts (the manifest, a table) are read, so lost executors leave no doubt.
@@ -24,10 +24,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from idlewatch.llm.common import run_folder
+from idlewatch.llm.common import CHUNK, run_folder
 
 END = 2
-CACHE = 200_000
+#: Pieces of a generation of the cache; a worker holds two at most.
+CACHE = 400_000
+HEAD = "<?Bq"
 MANIFEST = "part int, path string, n_records long, n_tokens long"
 READ = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 _loaded: dict = {}
@@ -60,26 +62,61 @@ def unframed(data: memoryview, at: int) -> tuple[memoryview, int]:
     return payload, at + 16 + n
 
 
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system of a path as Spark names it; it has one name for S3 only."""
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
+def slices(text: str, size: int = CHUNK):
+    """The text in slices of about so many characters that end at ASCII spaces."""
+    at = 0
+    while len(text) - at > size:
+        end = text.rfind(" ", at + 1, at + size)
+        end = text.find(" ", at + 1) if end < 0 else end
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
 class Encoder:
-    """Ids of a text, by pieces between ASCII spaces: the tokenizer never joins across them."""
+    """Ids of a text, by pieces between ASCII spaces: the tokenizer never joins across them.
+
+    Pieces met before are looked up. The cache has two generations: a full young one becomes the
+    old one, and pieces found there move to the young, so frequent pieces are never lost.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, pieces: list[str]) -> None:
+        for first in range(0, len(pieces), 20_000):
+            some = pieces[first : first + 20_000]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            raw = np.array(found.ids, f"<u{self.width}").tobytes()
+            owner = np.array(found.word_ids, np.int64)
+            cuts = (np.searchsorted(owner, np.arange(len(some) + 1)) * self.width).tolist()
+            self.young.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
 
     def __call__(self, text: str) -> bytes:
+        return b"".join([self.encoded(part) for part in slices(text)])
+
+    def encoded(self, text: str) -> bytes:
         pieces = re.split("[ \t\n\r]+", text)
-        known = self.known
-        new = list({p for p in pieces if p not in known})
+        new = set(pieces) - self.young.keys()
         if new:
-            if len(known) > CACHE:
-                known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+            if len(self.young) > CACHE:
+                self.old, self.young = self.young, {"": b""}
+                new = set(pieces) - self.young.keys()
+            kept = new & self.old.keys()
+            self.young.update((p, self.old[p]) for p in kept)
+            self.learn(list(new - kept))
+        return b"".join(map(self.young.__getitem__, pieces))
 
 
 def encoder(path: str) -> Encoder:
@@ -97,7 +134,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, shards: int) ->
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        fs, root = pafs.FileSystem.from_uri(folder)
+        fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         encode, at, n, tokens = encoder(tokenizer), 0, 0, 0
@@ -108,11 +145,11 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, shards: int) ->
                     out = fs.open_output_stream(f"{root}/{name}.rec")
                     index = fs.open_output_stream(f"{root}/{name}.idx")
                 key = doc_id.as_py()
-                ids = encode(text.as_py() or "") + struct.pack("<I", END)
-                record = frame(struct.pack("<?q", key is not None, key or 0) + ids)
+                ids = encode(text.as_py() or "") + END.to_bytes(encode.width, "little")
+                record = frame(struct.pack(HEAD, key is not None, encode.width, key or 0) + ids)
                 out.write(record)
                 index.write(struct.pack("<Q", at))
-                at, n, tokens = at + len(record), n + 1, tokens + len(ids) // 4
+                at, n, tokens = at + len(record), n + 1, tokens + len(ids) // encode.width
         if out is not None:
             out.close()
             index.close()
@@ -125,12 +162,31 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, shards: int) ->
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
+def content(payload: memoryview) -> tuple[int | None, np.ndarray]:
+    """doc_id and ids of a record."""
+    there, width, key = struct.unpack(HEAD, payload[: struct.calcsize(HEAD)])
+    return key if there else None, np.frombuffer(payload[struct.calcsize(HEAD) :], f"<u{width}")
+
+
+def fetched(path: str, places: list[int]) -> list[tuple[int | None, np.ndarray]]:
+    """doc_id and ids of the records at these places of a file's index, in the order asked for."""
+    fs, root = file_system(path)
+    offsets = np.frombuffer(fs.open_input_stream(f"{root}.idx").read(), "<u8")
+    out = []
+    with fs.open_input_file(f"{root}.rec") as source:
+        for place in places:
+            at = int(offsets[place])
+            end = int(offsets[place + 1]) if place + 1 < len(offsets) else source.size()
+            out.append(content(unframed(memoryview(source.read_at(end - at, at)), 0)[0]))
+    return out
+
+
 def read_records(manifest: DataFrame) -> DataFrame:
     """Per record, from the files: part, doc_id, at (ids before it in the part), n_tokens, ids_crc32."""
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                fs, path = pafs.FileSystem.from_uri(row["path"])
+                fs, path = file_system(row["path"])
                 rows, before, total = [], 0, 0
                 offsets = np.frombuffer(fs.open_input_stream(f"{path}.idx").read(), "<u8")
                 with fs.open_input_stream(f"{path}.rec") as source:
@@ -141,11 +197,10 @@ def read_records(manifest: DataFrame) -> DataFrame:
                         if at != total:
                             raise ValueError(f"index and records differ at {at}")
                         total += used
-                        there, key = struct.unpack("<?q", payload[:9])
-                        ids = payload[9:]
-                        rows.append({"part": row["part"], "doc_id": key if there else None, "at": before,
-                                     "n_tokens": len(ids) // 4, "ids_crc32": zlib.crc32(ids)})
-                        before += len(ids) // 4
+                        key, ids = content(payload)
+                        rows.append({"part": row["part"], "doc_id": key, "at": before,
+                                     "n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())})
+                        before += len(ids)
                         if len(rows) == 5000:
                             yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
                             rows = []

@@ -325,6 +325,34 @@ def test_token_records_round_trip(spark, odd, none, sf_dir):
     assert records.token_records(spark, none, records.vocabulary()).count() == 0
 
 
+def test_records_by_index_in_any_order(spark, odd, tmp_path):
+    manifest = records.write_records(odd, f"file:{tmp_path}/r", records.vocabulary(), 3).collect()
+    encode = records.Encoder(records.vocabulary())
+    rng, found = np.random.default_rng(3), []
+    for r in manifest:
+        order = rng.permutation(r.n_records).tolist()
+        found += records.fetched(r.path, order)
+        assert [k for k, _ in records.fetched(r.path, order[:1])] == [found[-r.n_records][0]]
+    want = sorted((str(r.doc_id), encode(r.text or "") + b"\x02\x00") for r in odd.collect())
+    assert sorted((str(k), ids.astype("<u2").tobytes()) for k, ids in found) == want
+
+
+def test_encoder_equals_the_tokenizer(monkeypatch):
+    """Also with a cache of three pieces and texts in slices of ten characters; ids of four bytes."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(records.vocabulary())
+    texts = ["", " ", "  a  b ", "it's we'll\tdon't\r\nI'M", "e\u0301 \u0301x y\u00a0z\u2003q", "x" * 50 + " y" * 20, "\x0bv\x0c \x1f\x00 1234", "Ünï \U0001f600\U0001f600 ﬁ"]
+    for cache, width in ((400_000, 2), (3, 2), (3, 4)):
+        monkeypatch.setattr(records, "CACHE", cache)
+        encode = records.Encoder(records.vocabulary())
+        encode.width = width
+        for text in texts + texts:
+            want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, f"<u{width}").tobytes()
+            assert encode(text) == want and b"".join(encode.encoded(s) for s in records.slices(text, 10)) == want, text
+    assert records.file_system("file:///tmp/x")[1] == "/tmp/x"
+
+
 def test_damaged_records_are_refused():
     good = bytearray(records.frame(b"payload"))
     assert bytes(records.unframed(memoryview(good), 0)[0]) == b"payload"
