@@ -739,6 +739,38 @@ def q_monthly_job(spark, sf_dir):
     return presented(read_facts(spark, path))
 
 
+def q_run_counts(spark, sf_dir):
+    """What a run counts while it writes, of payers with staged lines."""
+    root = new_folder(spark)
+    stage_lines(billing(spark, sf_dir), f"{root}/staged", YEAR, MONTH, shapes.PAYER_IDS)
+    counts = run_month(
+        spark, f"{root}/staged", f"{root}/facts", payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH,
+        shapes.PAYER_IDS,
+    )
+    return spark.createDataFrame([tuple(counts.values())], [*counts])
+
+
+def o_run_counts() -> str:
+    parts = [oracle.BILL, oracle.GRID] + [text for key in oracle.SERVICES for text in oracle.steps(key, "facts")]
+
+    def union(body: str) -> str:
+        return " UNION ALL ".join(body.format(key=key) for key in oracle.SERVICES)
+
+    scope = f"item IN ('RIFee', 'DiscountedUsage', 'VDiscountedUsage') AND {oracle.IN_MONTH} AND arn <> ''"
+    fees = f"(SELECT payer, arn, offering, s, e + INTERVAL 1 SECOND AS e FROM bill WHERE {scope} AND item = 'RIFee')"
+    known = union("SELECT d.payer, d.arn FROM {key}_dim d JOIN {key}_cutoff c ON c.payer = d.payer")
+    return f"""WITH {','.join(parts)},
+      known AS (SELECT DISTINCT payer, arn FROM ({known}) JOIN account_list ON account_id = split_part(arn, ':', 5)),
+      sums AS (SELECT DISTINCT payer, arn, offering, h FROM {oracle.billed(fees)}
+        UNION SELECT DISTINCT payer, arn, offering, date_trunc('hour', s) FROM bill WHERE {scope} AND item <> 'RIFee'),
+      late AS ({union("SELECT h.h > c.max_date AS late FROM {key}_hours h JOIN {key}_cutoff c ON c.payer = h.payer")}),
+      facts AS ({union("SELECT 1 AS one FROM {key}_facts")})
+      SELECT (SELECT count(*) FROM bill WHERE item IN ('RIFee', 'DiscountedUsage', 'VDiscountedUsage')) AS lines_read,
+        (SELECT count(*) FROM bill WHERE item = 'RIFee' AND rate IS NOT NULL AND try_cast(rate AS DOUBLE) IS NULL) AS unparsable_rates,
+        (SELECT count(*) FROM sums s WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.payer = s.payer AND k.arn = s.arn)) AS unknown_hours,
+        (SELECT count(*) FROM late WHERE late) AS hours_after_cutoff, (SELECT count(*) FROM facts) AS fact_rows"""
+
+
 def stored_facts(spark, sf_dir, path: str, payer_ids) -> None:
     """Facts without units, stored for the payers."""
     rows = facts(spark, sf_dir)
@@ -1026,6 +1058,7 @@ def registry() -> dict[str, tuple]:
         "staged_slice": (q_staged_slice, O_STAGED_SLICE),
         "monthly_job": (q_monthly_job, oracle.select("facts", FACTS | UNITS)),
         "streaming_facts": (q_streaming_facts, oracle.select("facts", FACTS | UNITS)),
+        "run_counts": (q_run_counts, o_run_counts()),
         "refresh_run": (q_refresh_run, oracle.select("facts", FACTS | UNITS, source=only_lines(REFRESHED))),
         "refresh_outcomes": (q_refresh_outcomes, o_refresh_outcomes()),
         "file_diff": (q_file_diff, O_FILE_DIFF),

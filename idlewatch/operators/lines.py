@@ -115,6 +115,8 @@ def billing_lines(billing: DataFrame, payer_ids: Sequence[str] | None = None) ->
         "effective_cost": "CAST(reservation_effective_cost AS DOUBLE)",
         "on_demand_cost": f"CAST(pricing_public_on_demand_cost AS {MONEY})",
         "hourly_cost": f"CASE WHEN {FEE} THEN {hourly_effective_cost()} ELSE 0D END",
+        "unparsable_rate": f"""{FEE} AND line_item_unblended_rate IS NOT NULL
+            AND try_cast(line_item_unblended_rate AS DOUBLE) IS NULL""",
     }
     reported = f"line_item_line_item_type IN {text_list(fixed.REPORTED_TYPES)}"
     return billing.where(reported).selectExpr("*", *aliased(typed)).selectExpr(*aliased(line))

@@ -14,7 +14,8 @@ Measures that depend on the description are linear in its two weights (``copies`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from idlewatch.functions.sql import aggregates, aliased
 from idlewatch.functions.timeops import (
@@ -85,9 +86,16 @@ def hourly_sums(lines: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def hourly_utilization(
-    sums: DataFrame, reservation_rows: DataFrame, year: int, month: int
+    sums: DataFrame,
+    reservation_rows: DataFrame,
+    year: int,
+    month: int,
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """Hourly sums of the reported reservations with their description and owner."""
+    """Hourly sums of the reported reservations with their description and owner.
+
+    ``counts`` observes, in the same pass, the hourly sums that have no such reservation.
+    """
     by_instance = is_service("service", lambda s: s.counts_instances)
 
     def weighted(own: str, borrowing: str) -> str:
@@ -134,8 +142,14 @@ def hourly_utilization(
     }
     if "max_date" in reservation_rows.columns:
         columns["max_date"] = "max_date"
+    keys = ["payer_id", "arn"]
+    if counts is None:
+        described = sums.join(reservation_rows, keys)
+    else:
+        described = sums.join(reservation_rows, keys, "left").observe(
+            counts, F.expr("count_if(service IS NULL)").alias("unknown_hours")
+        ).where("service IS NOT NULL")
     return (
-        sums.join(reservation_rows, ["payer_id", "arn"])
-        .selectExpr("*", *aliased(measures))
+        described.selectExpr("*", *aliased(measures))
         .selectExpr(*aliased(columns))
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from idlewatch.functions.rules import is_accelerator, shares_family
 from idlewatch.functions.sql import aliased, first_match, text, text_list
@@ -16,12 +17,18 @@ def _is_product(test) -> str:
     return f"product_name IN {text_list(s.report_name for s in SERVICES if test(s))}"
 
 
-def wastage_metrics(hourly: DataFrame) -> DataFrame:
+def wastage_metrics(hourly: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Fact rows out of hourly utilisation that carries ``max_date`` (the payer's cutoff).
 
     Hours without reserved capacity and hours after the cutoff are left out. Ratios with
-    a zero divisor are NULL.
+    a zero divisor are NULL. ``counts`` observes, in the same pass, what is left out and kept.
     """
+    if counts is not None:
+        hourly = hourly.observe(
+            counts,
+            F.expr("count_if(startdate > max_date)").alias("hours_after_cutoff"),
+            F.expr("count_if(startdate <= max_date AND reservedhours <> 0)").alias("fact_rows"),
+        )
     used_hours = first_match(
         [(_is_product(lambda s: s.counts_instances), "usedhours")],
         "try_divide(usedhours, nfapplied)",

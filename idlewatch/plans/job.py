@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from idlewatch.functions.timeops import check_month
@@ -20,6 +21,9 @@ from idlewatch.sinks.versions import snapshots
 from idlewatch.sources.billing import month_path, month_table, staged_folders
 
 
+COUNTS = ("lines_read", "unparsable_rates", "unknown_hours", "hours_after_cutoff", "fact_rows")
+
+
 def checked_payers(payer_ids: Sequence[str]) -> list[str]:
     wanted = sorted({str(p) for p in payer_ids})
     if not wanted:
@@ -37,13 +41,17 @@ def run_month(
     month: int,
     payer_ids: Sequence[str],
     schema: StructType | None = None,
-) -> None:
+) -> dict[str, int]:
     """Recompute the month for the given payers and replace their slices.
 
     The billing lines are read once: their condensed form goes to the shared folder, and
     cutoff, dimension, fees and usage are all computed from there. Units are set while
     writing. Any error is raised; the stored slices are then unchanged. ``schema`` (of the
     staged lines) spares the pass over all file footers that merging schemas takes.
+
+    Returns row counts that were observed while the lines and the facts were written, without a
+    pass of their own: reported lines read, fee rates that are no number, hourly sums without a
+    reported reservation, hours after their payer's cutoff, and fact rows.
     """
     check_month(year, month)
     wanted = checked_payers(payer_ids)
@@ -55,12 +63,18 @@ def run_month(
     ):
         # Staged, but without any line: the slices end up empty.
         replace_slices(spark.createDataFrame([], FACT_SCHEMA), fact_path, year, month, wanted, products)
-        return
+        return dict.fromkeys(COUNTS, 0)
     billing = month_table(spark, staged_root, year, month, wanted, schema)
+    read, hours, stored = Observation(), Observation(), Observation()
+    seen = billing_lines(billing, wanted).observe(
+        read, F.count("*").alias("lines_read"), F.count_if("unparsable_rate").alias("unparsable_rates")
+    )
     run = hashlib.sha256("|".join([fact_path, *wanted]).encode()).hexdigest()[:16]
     lines = through_shared_table(
-        condense(billing_lines(billing, wanted)).sortWithinPartitions("line_type"),
+        condense(seen).sortWithinPartitions("line_type"),
         f"lines/year={year}/month={month}/run={run}",
     )
-    facts = with_units(wastage_plan(lines, payers, accounts, year, month))
+    facts = with_units(wastage_plan(lines, payers, accounts, year, month, (hours, stored)))
     replace_slices(facts, fact_path, year, month, wanted, products)
+    found = read.get | hours.get | stored.get
+    return {name: int(found.get(name) or 0) for name in COUNTS}

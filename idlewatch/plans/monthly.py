@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from idlewatch.operators.dimensions import (
     payer_max_date, reservation_dimension, reservations, with_cutoff,
@@ -20,14 +20,20 @@ def utilization_plan(
 
 
 def wastage_plan(
-    lines: DataFrame, payers: DataFrame, accounts: DataFrame, year: int, month: int
+    lines: DataFrame,
+    payers: DataFrame,
+    accounts: DataFrame,
+    year: int,
+    month: int,
+    counts: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
-    """Fact rows of the month.
+    """Fact rows of the month; ``counts`` observe the hours and the facts as they pass.
 
     The cutoff joins the reservations, not the hours: a payer key on the hourly side
     would gather a large payer's rows in one task.
     """
     dimension = reservation_dimension(lines, year, month)
     owned = with_cutoff(reservations(dimension, payers, accounts), payer_max_date(lines))
-    hourly = hourly_utilization(hourly_sums(lines, year, month), owned, year, month)
-    return wastage_metrics(hourly)
+    of_hours, of_facts = counts or (None, None)
+    hourly = hourly_utilization(hourly_sums(lines, year, month), owned, year, month, of_hours)
+    return wastage_metrics(hourly, of_facts)
