@@ -108,14 +108,15 @@ class Encoder:
 
     def encoded(self, text: str) -> bytes:
         pieces = re.split("[ \t\n\r]+", text)
-        new = set(pieces) - self.young.keys()
+        # Of a dictionary, not its keys: a difference of keys would visit the whole cache.
+        new = set(pieces).difference(self.young)
         if new:
             if len(self.young) > CACHE:
                 self.old, self.young = self.young, {"": b""}
-                new = set(pieces) - self.young.keys()
-            kept = new & self.old.keys()
-            self.young.update((p, self.old[p]) for p in kept)
-            self.learn(list(new - kept))
+                new = set(pieces).difference(self.young)
+            fresh = new.difference(self.old)
+            self.young.update((p, self.old[p]) for p in new - fresh)
+            self.learn(list(fresh))
         return b"".join(map(self.young.__getitem__, pieces))
 
 
