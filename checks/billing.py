@@ -27,7 +27,8 @@ def text_id(base: int, key: str) -> str:
 
 
 def payers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").selectExpr(
+    named = table(spark, sf_dir, "nation").where(f"n_nationkey <> {shapes.UNNAMED_NATION}")
+    return named.selectExpr(
         f"{text_id(shapes.PAYER_BASE, 'n_nationkey')} AS payer_account_id", "n_name AS payer_name"
     )
 
@@ -68,7 +69,7 @@ PRODUCT = "map('region', region, 'product_name', product_name)"
 
 
 def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One fee per active user; some with a second usage type, some billed twice."""
+    """One fee per active user; some with a second usage type, some billed twice, some a month early."""
     active = table(spark, sf_dir, "events").selectExpr("user_id AS k").distinct()
     customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_nationkey")
     rows = (
@@ -79,7 +80,8 @@ def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = {
         "line_item_line_item_type": "'RIFee'",
         "line_item_usage_start_date":
-            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(k % 3 AS INT))",
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(k % 3 AS INT)) + "
+            + f"make_dt_interval({shapes.FEE_SHIFT})",
         "line_item_usage_end_date":
             "CASE WHEN k % 7 = 0 THEN TIMESTAMP_NTZ '2024-01-20 23:59:59'"
             " ELSE TIMESTAMP_NTZ '2024-01-31 23:59:59' END",
@@ -97,16 +99,17 @@ def fees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pricing_offering_class": "class",
         "product": PRODUCT,
     }
-    keyed = rows.selectExpr("k", *aliased(_keyed("CASE WHEN variant = 1 THEN 1 ELSE 0 END")))
+    keyed = rows.selectExpr("k", "variant", *aliased(_keyed("CASE WHEN variant = 1 THEN 1 ELSE 0 END")))
     return keyed.selectExpr(*SHARED, *aliased(line))
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per event."""
+    """One line per event, some of them a month early or late."""
     customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_nationkey")
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id AS e", "user_id AS k", "event_type",
-        "ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts)) AS hour",
+        "ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts)) + "
+        f"make_dt_interval({shapes.USAGE_SHIFT}) AS hour",
         "CAST(round(value * 100) AS BIGINT) / 1024D AS amount",
     )
     line = {

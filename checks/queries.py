@@ -22,7 +22,7 @@ from idlewatch.operators.services import SERVICES, report_name, service_of
 from idlewatch.operators.wastage import update_units
 from idlewatch.plans.job import run_month
 from idlewatch.plans.refresh import Places, refresh_reopened, refresh_run, summary_of
-from idlewatch.plans.monthly import utilization_plan, wastage_plan
+from idlewatch.plans.monthly import service_plan, utilization_plan, wastage_plan
 from idlewatch.session import shared_folder
 from idlewatch.sinks.facts import (
     SLICES, read_facts, replace_slices, replaced, slice_predicate, update_stored_units,
@@ -96,7 +96,7 @@ def q_payer_max_date(spark, sf_dir):
 
 
 def o_payer_max_date() -> str:
-    ctes = [oracle.BILL] + [oracle.cutoff(k) for k in oracle.SERVICES]
+    ctes = [oracle.LISTED] + [oracle.cutoff(k) for k in oracle.SERVICES]
     body = " UNION ALL ".join(
         f"SELECT payer AS payer_id, {oracle.quote(s[0])} AS product, max_date FROM {k}_cutoff"
         for k, s in oracle.SERVICES.items()
@@ -234,7 +234,9 @@ def q_wastage_all(spark, sf_dir):
 
 def q_wastage(service):
     return lambda spark, sf_dir: presented(
-        facts(spark, sf_dir).where(F.col("product_name") == service.report_name)
+        service_plan(
+            lines(spark, sf_dir), payers(spark, sf_dir), accounts(spark, sf_dir), YEAR, MONTH, service.key
+        )
     )
 
 
@@ -533,7 +535,8 @@ def o_high_water_mark() -> str:
         "facts", {"payer": "bill_payeraccountid", "hour": "lineitem_usagestartdate"}
     )
     return f"""SELECT p.payer_id, max(hour) AS mark
-      FROM (SELECT CAST({shapes.PAYER_BASE} + n_nationkey AS VARCHAR) AS payer_id FROM nation) p
+      FROM (SELECT CAST({shapes.PAYER_BASE} + n_nationkey AS VARCHAR) AS payer_id FROM nation
+        WHERE n_nationkey <> {shapes.UNNAMED_NATION}) p
       LEFT JOIN ({inner}) f ON f.payer = p.payer_id GROUP BY p.payer_id"""
 
 
@@ -723,7 +726,7 @@ def q_staged_slice(spark, sf_dir):
     return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))
 
 
-O_STAGED_SLICE = f"""WITH {oracle.BILL}
+O_STAGED_SLICE = f"""WITH {oracle.LISTED}
     SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill
     WHERE s < {MIDDLE} OR payer IN {oracle.in_list(OWNED_PAYERS)} GROUP BY payer"""
 
@@ -751,7 +754,7 @@ def q_run_counts(spark, sf_dir):
 
 
 def o_run_counts() -> str:
-    parts = [oracle.BILL, oracle.GRID] + [text for key in oracle.SERVICES for text in oracle.steps(key, "facts")]
+    parts = [oracle.LISTED, oracle.GRID] + [text for key in oracle.SERVICES for text in oracle.steps(key, "facts")]
 
     def union(body: str) -> str:
         return " UNION ALL ".join(body.format(key=key) for key in oracle.SERVICES)
@@ -873,11 +876,6 @@ def q_refresh_run(spark, sf_dir):
     return presented(read_facts(spark, refreshed(spark, sf_dir)[0]))
 
 
-def only_lines(condition: str) -> tuple[str]:
-    """The twins' source with fewer billing lines."""
-    return (oracle.BILL.replace("bill AS (", "all_bill AS (", 1) + f", bill AS (SELECT * FROM all_bill WHERE {condition})",)
-
-
 REFRESHED = f"payer IN {oracle.in_list(IN_A)} OR (payer IN {oracle.in_list(IN_B)} AND s >= {MIDDLE})"
 
 
@@ -1015,7 +1013,7 @@ def q_streaming_facts(spark, sf_dir):
     return presented(read_facts(spark, places.fact_path))
 
 
-O_STREAMING_INTAKE = f"""WITH {oracle.BILL}
+O_STREAMING_INTAKE = f"""WITH {oracle.LISTED}
     SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill GROUP BY payer"""
 
 
@@ -1057,13 +1055,13 @@ def registry() -> dict[str, tuple]:
         "incremental_files": (q_incremental_files, O_INCREMENTAL_FILES),
         "staged_slice": (q_staged_slice, O_STAGED_SLICE),
         "monthly_job": (q_monthly_job, oracle.select("facts", FACTS | UNITS)),
-        "streaming_facts": (q_streaming_facts, oracle.select("facts", FACTS | UNITS)),
+        "streaming_facts": (q_streaming_facts, oracle.select("facts", FACTS | UNITS, source=(oracle.BILL,))),
         "run_counts": (q_run_counts, o_run_counts()),
-        "refresh_run": (q_refresh_run, oracle.select("facts", FACTS | UNITS, source=only_lines(REFRESHED))),
+        "refresh_run": (q_refresh_run, oracle.select("facts", FACTS | UNITS, source=(oracle.only_lines(REFRESHED),))),
         "refresh_outcomes": (q_refresh_outcomes, o_refresh_outcomes()),
         "file_diff": (q_file_diff, O_FILE_DIFF),
         "late_files": (
-            q_late_files, oracle.select("facts", FACTS | UNITS | {"february_stays": "true"}, source=only_lines(LATE_FILES)),
+            q_late_files, oracle.select("facts", FACTS | UNITS | {"february_stays": "true"}, source=(oracle.only_lines(LATE_FILES),)),
         ),
         "unreadable_primary": (q_unreadable_primary, O_UNREADABLE_PRIMARY),
         "emptied_slice": (q_emptied_slice, o_emptied_slice()),

@@ -7,7 +7,12 @@ The given tables hold no billing lines, so both sides derive them from ``events`
 
 YEAR, MONTH = 2024, 1
 PAYER_BASE, ACCOUNT_BASE = 100_000_000_000, 200_000_000_000
-PAYER_IDS = [str(PAYER_BASE + n) for n in range(25)]
+# The payers asked for: all but one that has lines. Another one has no name.
+PAYER_IDS = [str(PAYER_BASE + n) for n in range(24)]
+UNNAMED_NATION = 5
+# Days by which the start of fees (of user k) and usage lines (of event_id) move out of the month.
+FEE_SHIFT = "CASE WHEN k % 19 = 0 OR (variant = 1 AND k % 3 <> 0) THEN -31 ELSE 0 END"
+USAGE_SHIFT = "CASE event_id % 13 WHEN 0 THEN -31 WHEN 1 THEN 31 ELSE 0 END"
 UNREGISTERED_SEGMENT = "FURNITURE"
 
 # Indexed by k % 5: compute, database, cache, search, warehouse.
