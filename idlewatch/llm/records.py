@@ -28,7 +28,7 @@ from idlewatch.llm.common import CHUNK, run_folder
 
 END = 2
 #: Pieces of a generation of the cache; a worker holds two at most.
-CACHE = 400_000
+CACHE = 800_000
 HEAD = "<?Bq"
 MANIFEST = "part int, path string, n_records long, n_tokens long"
 READ = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
@@ -107,17 +107,21 @@ class Encoder:
         return b"".join([self.encoded(part) for part in slices(text)])
 
     def encoded(self, text: str) -> bytes:
-        pieces = re.split("[ \t\n\r]+", text)
-        # Of a dictionary, not its keys: a difference of keys would visit the whole cache.
-        new = set(pieces).difference(self.young)
-        if new:
+        for blank in "\t\n\r":
+            text = text.replace(blank, " ")
+        pieces = text.split(" ")
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            new = {p for p, ids in zip(pieces, found, strict=True) if ids is None}
             if len(self.young) > CACHE:
                 self.old, self.young = self.young, {"": b""}
                 new = set(pieces).difference(self.young)
+            # Of a dictionary, not its keys: a difference of keys would visit the whole cache.
             fresh = new.difference(self.old)
             self.young.update((p, self.old[p]) for p in new - fresh)
             self.learn(list(fresh))
-        return b"".join(map(self.young.__getitem__, pieces))
+            found = map(self.young.__getitem__, pieces)
+        return b"".join(found)
 
 
 def encoder(path: str) -> Encoder:

@@ -343,7 +343,7 @@ def test_encoder_equals_the_tokenizer(monkeypatch):
 
     tokenizer = Tokenizer.from_file(records.vocabulary())
     texts = ["", " ", "  a  b ", "it's we'll\tdon't\r\nI'M", "e\u0301 \u0301x y\u00a0z\u2003q", "x" * 50 + " y" * 20, "\x0bv\x0c \x1f\x00 1234", "Ünï \U0001f600\U0001f600 ﬁ"]
-    for cache, width in ((400_000, 2), (3, 2), (3, 4)):
+    for cache, width in ((800_000, 2), (3, 2), (3, 4)):
         monkeypatch.setattr(records, "CACHE", cache)
         encode = records.Encoder(records.vocabulary())
         encode.width = width
