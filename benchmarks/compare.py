@@ -19,7 +19,7 @@ from checks.shapes import PAYER_IDS
 from idlewatch.functions import timeops
 from idlewatch.operators.lines import billing_lines, condense
 from idlewatch.operators.services import SERVICES
-from idlewatch.plans.monthly import wastage_plan
+from idlewatch.plans.monthly import service_plan, wastage_plan
 from idlewatch.session import local_session, shared_folder, through_shared_table
 from idlewatch.sinks.staging import stage_lines
 from idlewatch.sources.billing import month_table
@@ -61,8 +61,7 @@ def main(sf_dir: str) -> None:
 
     def one_by_one():
         for service in SERVICES:
-            facts = wastage_plan(lines, *dims, YEAR, MONTH)
-            run(facts.where(f"product_name = '{service.report_name}'"))
+            run(service_plan(lines, *dims, YEAR, MONTH, service.key))
 
     def condensed():
         table = through_shared_table(condense(lines).sortWithinPartitions("line_type"), "compare-lines")
