@@ -29,9 +29,10 @@ def found(docs):
     return sorted(map(tuple, exact_copies.exact_groups(docs).collect()), key=str)
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
-@pytest.mark.parametrize("digits", [32, 2, 0])
-@pytest.mark.parametrize("which", ["odd", "none", "sf"])
+@pytest.mark.parametrize(
+    "which, digits, hot",
+    [("odd", 32, 2000), ("odd", 2, 2), ("odd", 0, 2), ("none", 32, 2), ("none", 0, 2000), ("sf", 32, 2), ("sf", 2, 2000)],
+)
 def test_groups(spark, sf_dir, odd, none, which, digits, hot, monkeypatch):  # noqa: F811
     """Also with hashes of eight bits and of none, where different texts share a hash, and with hot groups."""
     monkeypatch.setattr(common, "HOT", hot)
