@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +25,16 @@ from idlewatch.sources.billing import month_path, month_table, staged_folders
 COUNTS = ("lines_read", "unparsable_rates", "unknown_hours", "hours_after_cutoff", "fact_rows")
 
 
+def observed(counts: Observation) -> dict[str, int]:
+    """What was observed. Nothing, if Spark left the observed step out because one of its inputs
+    turned out empty; the row it hands back then has no columns and cannot be read.
+    """
+    try:
+        return counts.get
+    except Py4JJavaError:
+        return {}
+
+
 def checked_payers(payer_ids: Sequence[str]) -> list[str]:
     wanted = sorted({str(p) for p in payer_ids})
     if not wanted:
@@ -41,7 +52,7 @@ def run_month(
     month: int,
     payer_ids: Sequence[str],
     schema: StructType | None = None,
-) -> dict[str, int]:
+) -> dict[str, int | None]:
     """Recompute the month for the given payers and replace their slices.
 
     The billing lines are read once: their condensed form goes to the shared folder, and
@@ -51,7 +62,8 @@ def run_month(
 
     Returns row counts that were observed while the lines and the facts were written, without a
     pass of their own: reported lines read, fee rates that are no number, hourly sums without a
-    reported reservation, hours after their payer's cutoff, and fact rows.
+    reported reservation, hours after their payer's cutoff, and fact rows. Without any reported
+    reservation there is no hour to compare: ``unknown_hours`` is then None, the last two are 0.
     """
     check_month(year, month)
     wanted = checked_payers(payer_ids)
@@ -76,5 +88,6 @@ def run_month(
     )
     facts = with_units(wastage_plan(lines, payers, accounts, year, month, (hours, stored)))
     replace_slices(facts, fact_path, year, month, wanted, products)
-    found = read.get | hours.get | stored.get
-    return {name: int(found.get(name) or 0) for name in COUNTS}
+    found = observed(read) | observed(hours) | observed(stored)
+    unseen = dict.fromkeys(COUNTS, 0) | {"unknown_hours": None}
+    return {name: found.get(name, unseen[name]) for name in COUNTS}

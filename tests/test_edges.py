@@ -125,7 +125,7 @@ def test_dimension(case, lines):
 
 def test_max_date(case, lines):
     got = payer_max_date(lines).selectExpr("payer_id", f"{queries.report_name('service')} AS product", "max_date")
-    sql = queries.o_payer_max_date().replace(oracle.BILL + ",", "")
+    sql = queries.o_payer_max_date().replace(oracle.LISTED + ",", "")
     compare(got, case[3], sql)
 
 
