@@ -14,10 +14,18 @@ elements, so in any common order the first n - t + s elements of both share s.
 The order puts rare elements first: frequencies are counted for half of the hash space over all
 texts, and kept as logarithms in a table of 2^22 bytes, the only thing broadcast.
 
-Links are wanted for components, so a list of m sets is not turned into m^2 pairs: first each
-set is compared with the list's smallest, verified pairs form components, and then only sets of
-one list that are still in different components are compared, unless their sizes or the parities
-of their elements on 256 bits rule a link out. No link between components is lost.
+Links are wanted for components, so a list of m sets is not turned into m^2 pairs. In a few rounds
+each set is compared with one set: of the heads of its lists, always of another component, the one
+it meets most often. Verified pairs form components, refused ones are remembered, and lists within
+one component drop out. What is left is completed exactly: sets of one list in different components
+are compared, unless one of these rules a link out:
+
+* their sizes, or the parities of their elements on 256 bits;
+* their places: up to its first common key a pair shares nothing, so what follows the key in the
+  shorter rest bounds the overlap;
+* an earlier key they share: the pair is already made there.
+
+Rounds change the cost, never the result. No link between components is lost.
 
 The links themselves are counted afterwards: all links lie within components, so all distinct sets
 of a component are compared with each other, in blocks of bounded size dealt by component and pair
@@ -42,6 +50,8 @@ CELLS = 22
 LIGHT = 64
 #: Shingles and sets of a block, on average.
 ELEMENTS, MEMBERS = 1 << 19, 2048
+#: Rounds with one partner a set, earlier keys a list's row carries, sets a task remembers.
+ROUNDS, EARLIER, SEEN = 3, 16, 200_000
 PARITY = ("p0", "p1", "p2", "p3")
 SETS = "doc_id long, tkey long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
 
@@ -75,9 +85,12 @@ def may_link(percent: int) -> F.Column:
     )
 
 
-def side(rows: DataFrame, name: str, *keep) -> DataFrame:
-    """The columns of a set under the name of one side of a pair."""
-    return rows.select(*keep, F.col("sid").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", *PARITY)))
+def may_start(percent: int) -> F.Column:
+    """False only where a key is not the first that a linked pair shares, by sizes and what follows it."""
+    shared = f"(({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent})"
+    return F.expr(
+        f"least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {percent} AND if(light, 2, 1) + least(rest_a, rest_b) >= {shared}"
+    )
 
 
 def with_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -175,31 +188,35 @@ def boundary_of(docs: DataFrame, table, k: int, percent: int) -> int:
 
 
 def keys(docs: DataFrame, table, boundary: int, k: int, percent: int) -> DataFrame:
-    """(key, sid, n, light) of every set."""
+    """(key, sid, n, light, rest) of every set; `rest` counts its elements after the key."""
     def run(batches):
+        seen = set()
         for batch in batches:
             for _, texts in chunks(batch):
                 out = []
                 for x in shingle_sets(texts, k):
-                    n = len(x)
-                    if n < 2:
+                    n, sid = len(x), identity(x)
+                    if n < 2 or sid in seen:
                         continue
-                    t, sid = overlap(n, percent), identity(x)
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(sid)
+                    t = overlap(n, percent)
                     x = in_order(x, table.value)[0]
                     if n <= boundary:
                         i, j = np.triu_indices(min(n, n - t + 2), 1)
-                        pairs = mixed(x[i] * BASE + x[j])
-                        out.append((pairs, sid, n, True))
+                        out.append((mixed(x[i] * BASE + x[j]), n - 1 - j, sid, n, True))
                     if n > boundary or n * 100 >= (boundary + 1) * percent:
-                        out.append((x[: n - t + 1], sid, n, False))
+                        out.append((x[: n - t + 1], n - 1 - np.arange(n - t + 1), sid, n, False))
                 if out:
                     lens = [len(o[0]) for o in out]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([o[0] for o in out]).view(np.int64)), pa.array(np.repeat([o[1] for o in out], lens)),
-                         pa.array(np.repeat([o[2] for o in out], lens).astype(np.int32)), pa.array(np.repeat([o[3] for o in out], lens))],
-                        names=["key", "sid", "n", "light"])
+                        [pa.array(np.concatenate([o[0] for o in out]).view(np.int64)), pa.array(np.repeat([o[2] for o in out], lens)),
+                         pa.array(np.repeat([o[3] for o in out], lens).astype(np.int32)), pa.array(np.repeat([o[4] for o in out], lens)),
+                         pa.array(np.concatenate([o[1] for o in out]).astype(np.int32))],
+                        names=["key", "sid", "n", "light", "rest"])
 
-    return docs.select("text").mapInArrow(run, "key long, sid long, n int, light boolean")
+    return docs.select("text").mapInArrow(run, "key long, sid long, n int, light boolean, rest int")
 
 
 def texts_of(wanted: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -212,8 +229,8 @@ def texts_of(wanted: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that reach the threshold, by their whole texts."""
-    pairs = stored(pairs, "pairs")
-    texts = stored(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), sets, docs), "pair-texts")
+    wanted = pairs.selectExpr("a AS sid").unionByName(pairs.selectExpr("b AS sid")).distinct()
+    texts = stored(texts_of(wanted, sets, docs), "pair-texts")
     both = pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text")), "a").join(texts.select(F.col("sid").alias("b"), F.col("text").alias("other")), "b")
 
     def run(batches):
@@ -335,42 +352,77 @@ def partners(comps: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFr
     return found.groupBy("sid").agg(F.sum("partners").alias("partners"))
 
 
-def near_components(docs: DataFrame, percent: int = 75, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (other rows that reach the threshold) of every row."""
+def apart(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """The entries of lists that span components, with their own and a head of another component."""
+    told = entries.withColumn("comp", F.col("sid"))
+    if comps is not None:
+        told = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    member = F.struct("comp", "sid", "n", "rest")
+    lists = told.groupBy("key", "light").agg(F.min(member).alias("low"), F.max(member).alias("high")).where("low.comp != high.comp")
+    head = F.when(F.col("comp") == F.col("low.comp"), F.col("high")).otherwise(F.col("low"))
+    return told.join(lists, ["key", "light"]).withColumn("head", head).drop("low", "high")
+
+
+def one_each(told: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
+    """(a, b), at most one for each set: the head that its lists name most often, unless tried before."""
+    named = told.selectExpr("sid", "head.sid AS other", "light", "n AS n_a", "head.n AS n_b", "rest AS rest_a", "head.rest AS rest_b")
+    named = named.where(may_start(percent)).groupBy("sid", "other").count()
+    named = named.select("sid", "other", "count", F.least("sid", "other").alias("b"), F.greatest("sid", "other").alias("a"))
+    if tried is not None:
+        named = named.join(tried, ["a", "b"], "left_anti")
+    best = named.groupBy("sid").agg(F.max(F.struct("count", "a", "b")).alias("x"))
+    return best.select("x.a", "x.b").distinct()
+
+
+def remaining(told: DataFrame, known: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs in one list but in different components that may link, made at their first key."""
+    place = F.sort_array(F.collect_list(F.struct((-F.col("rest")).alias("place"), "key", "rest")))
+    held = told.groupBy("sid", "n", "comp", "light").agg(place.alias("held")).join(known, "sid")
+    before = f"transform(held, (x, i) -> struct(x.key AS key, x.rest AS rest, transform(slice(held, greatest(1, i - {EARLIER - 1}), least(i, {EARLIER})), y -> y.key) AS before))"
+    held = held.select("sid", "n", "comp", "light", *PARITY, F.expr(f"inline({before})"))
+    left, right = (
+        held.select("key", "light", F.col("sid").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "comp", "rest", "before", *PARITY)))
+        for s in ("a", "b")
+    )
+    first = may_start(percent) & may_link(percent) & ~F.arrays_overlap("before_a", "before_b")
+    pairs = left.join(right, ["key", "light"]).where((F.col("comp_a") != F.col("comp_b")) & (F.col("a") > F.col("b")) & first)
+    return pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def near_components(docs: DataFrame, percent: int = 75, k: int = 5, degrees: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row, and n_links (other rows that reach the threshold)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tkey"))
     context = docs.sparkSession.sparkContext
     sets = stored(with_sets(docs, k), "sets")
     table = context.broadcast(frequency_levels(docs, k, sets.count()))
     boundary = boundary_of(docs, table, k, percent)
-    entries = keys(docs, table, boundary, k, percent).distinct()
-    lists = entries.groupBy("key", "light").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).where("first != last")
-    entries = stored(entries.join(lists, ["key", "light"]), "lists")
-    fits = F.col("a") != F.col("b")
-    heads = entries.select(F.col("sid").alias("a"), F.col("first").alias("b")).where(fits).distinct()
-    known = stored(sets.groupBy("sid").agg(*(F.max(c).alias(c) for c in ("n", *PARITY))), "distinct-sets")
-    heads = heads.join(side(known, "a"), "a").join(side(known, "b"), "b").where(may_link(percent)).select("a", "b")
-    links = verified(heads, sets, docs, k, percent)
-    comps = components(links)
-    told = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    told = stored(told, "told")
-    apart = told.groupBy("key", "light").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("key", "light")
-    told = told.join(apart, ["key", "light"]).select("key", "light", "sid", "comp").join(known, "sid")
-    left = side(told, "a", "key", "light", F.col("comp").alias("c_a"))
-    right = side(told, "b", "key", "light", F.col("comp").alias("c_b"))
-    # In the join's condition, so that pairs that cannot link are never made rows.
-    more = left.join(right, ["key", "light"]).where(may_link(percent) & (F.col("c_a") > F.col("c_b")))
-    more = more.select("a", "b").distinct().join(heads, ["a", "b"], "left_anti")
-    links = stored(links.unionByName(verified(more, sets, docs, k, percent)).distinct(), "all-links")
-    comps = components(links)
+    # Dealt once by list: copies go and lists are joined without another exchange.
+    entries = keys(docs, table, boundary, k, percent).repartition("key", "light").distinct()
+    known = sets.where("n > 1").groupBy("sid").agg(*(F.max(c).alias(c) for c in PARITY))
+    links = tried = comps = None
+    rounds = ROUNDS
+    while True:
+        told = stored(apart(entries, comps), "told")
+        pairs = stored(one_each(told, tried, percent) if rounds else remaining(told, known, tried, percent), "pairs")
+        found = verified(pairs, sets, docs, k, percent)
+        links = found if links is None else stored(links.unionByName(found), "all-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        entries = told.select("key", "sid", "n", "light", "rest")
+        comps = components(links)
+        if not rounds:
+            break
+        rounds = 0 if found.isEmpty() else rounds - 1
     classes = sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    degree = stored(partners(comps, classes, sets, docs, k, percent), "partners")
+    degree = stored(partners(comps, classes, sets, docs, k, percent), "partners") if degrees else None
     classes = classes.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     ids = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    classes = classes.join(ids, "comp").join(degree, "sid", "left")
-    classes = classes.select("sid", "n", "component_id", (F.coalesce("partners", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = sets.join(classes, ["sid", "n"], "left")
+    classes = classes.join(ids, "comp")
+    if degrees:
+        classes = classes.join(degree, "sid", "left").withColumn("n_links", F.coalesce("partners", F.lit(0)) + F.col("copies") - 1)
+    counted_links = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if degrees else []
+    out = sets.join(classes.drop("comp", "least", "copies", "partners"), ["sid", "n"], "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        *counted_links,
     )
