@@ -25,7 +25,7 @@ def drop_toxic(spark, docs, sf_dir):
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """The smallest id of each component stays, and the rows without an id."""
-    groups = similar_sets.near_components(docs)
+    groups = similar_sets.near_components(docs, degrees=False)
     kept = without(docs, groups.where("doc_id != component_id"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     return kept.withColumn("_place", place).where("_place = 1 OR doc_id IS NULL").select(*docs.columns)
