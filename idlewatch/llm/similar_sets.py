@@ -51,7 +51,7 @@ LIGHT = 64
 #: Shingles and sets of a block, on average.
 ELEMENTS, MEMBERS = 1 << 19, 2048
 #: Rounds with one partner a set, earlier keys a list's row carries, sets a task remembers.
-ROUNDS, EARLIER, SEEN = 3, 16, 200_000
+ROUNDS, EARLIER, SEEN = 4, 16, 200_000
 PARITY = ("p0", "p1", "p2", "p3")
 SETS = "doc_id long, tkey long, n long, sid long, p0 long, p1 long, p2 long, p3 long"
 
@@ -352,12 +352,15 @@ def partners(comps: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFr
     return found.groupBy("sid").agg(F.sum("partners").alias("partners"))
 
 
-def apart(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """The entries of lists that span components, with their own and a head of another component."""
+def apart(entries: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
+    """The entries of lists that span components, with their own and a head of another component.
+
+    Each turn shuffles the order of components, so that a head that was refused does not stay one.
+    """
     told = entries.withColumn("comp", F.col("sid"))
     if comps is not None:
         told = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    member = F.struct("comp", "sid", "n", "rest")
+    member = F.struct(F.xxhash64(F.lit(turn), "comp").alias("c"), "comp", F.xxhash64(F.lit(turn), "sid").alias("s"), "sid", "n", "rest")
     lists = told.groupBy("key", "light").agg(F.min(member).alias("low"), F.max(member).alias("high")).where("low.comp != high.comp")
     head = F.when(F.col("comp") == F.col("low.comp"), F.col("high")).otherwise(F.col("low"))
     return told.join(lists, ["key", "light"]).withColumn("head", head).drop("low", "high")
@@ -402,7 +405,7 @@ def near_components(docs: DataFrame, percent: int = 75, k: int = 5, degrees: boo
     links = tried = comps = None
     rounds = ROUNDS
     while True:
-        told = stored(apart(entries, comps), "told")
+        told = stored(apart(entries, comps, rounds), "told")
         pairs = stored(one_each(told, tried, percent) if rounds else remaining(told, known, tried, percent), "pairs")
         found = verified(pairs, sets, docs, k, percent)
         links = found if links is None else stored(links.unionByName(found), "all-links")
