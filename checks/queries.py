@@ -995,7 +995,7 @@ def q_streaming_intake(spark, sf_dir):
             stage_exports(spark, [(p, base) for p in payer_ids], root, year, month)
 
         follow_exports(stream, checkpoint, restage).awaitTermination()
-    return per_payer(month_table(spark, root, YEAR, MONTH, shapes.PAYER_IDS))
+    return per_payer(month_table(spark, root, YEAR, MONTH))
 
 
 def q_streaming_facts(spark, sf_dir):
@@ -1013,7 +1013,7 @@ def q_streaming_facts(spark, sf_dir):
     return presented(read_facts(spark, places.fact_path))
 
 
-O_STREAMING_INTAKE = f"""WITH {oracle.LISTED}
+O_STREAMING_INTAKE = f"""WITH {oracle.BILL}
     SELECT payer AS payer_id, {PER_PAYER_SQL} FROM bill GROUP BY payer"""
 
 
