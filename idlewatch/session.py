@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
@@ -53,3 +56,20 @@ def through_shared_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/idlewatch/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def open_writers(spark: SparkSession, number: int = 256) -> Iterator[None]:
+    """Partitioned writes inside keep up to this many files open in a task, instead of sorting its rows.
+
+    Beyond the number a task sorts the rest, as Spark does without the setting.
+    """
+    before = spark.conf.get(OPEN_WRITERS, None)
+    spark.conf.set(OPEN_WRITERS, str(number))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(OPEN_WRITERS)
+        else:
+            spark.conf.set(OPEN_WRITERS, before)

@@ -40,8 +40,8 @@ def stage_lines(
         "*", f"{payer_partition('bill_payer_account_id')} AS payer"
     )
     commit(
-        # Led by the partition column, so that the writer needs no sort of its own.
-        lines.sortWithinPartitions("payer", "line_item_line_item_type"),
+        # The writer keeps its payers' files open, so that lines are sorted by their short type alone.
+        lines.sortWithinPartitions("line_item_line_item_type"),
         month_path(root, year, month),
         STAGED_SLICES.names,
         spark.createDataFrame([(f"{PAYER_PREFIX}{p}",) for p in payer_ids], STAGED_SLICES),

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from idlewatch.session import open_writers
 from idlewatch.sources.discovery import file_listing
 
 
@@ -93,7 +94,8 @@ def commit(
     base = max(snapshots(spark, path), default=0)
     version = uuid.uuid4().hex
     spread = rows.hint("rebalance", *columns) if rebalance else rows
-    spread.write.partitionBy(*columns).parquet(f"{path}/data/version={version}")
+    with open_writers(spark):
+        spread.write.partitionBy(*columns).parquet(f"{path}/data/version={version}")
     slices = slice_schema_of(rows, columns)
     publish(spark, path, columns, owned, written_slices(spark, path, version, slices), base, slices)
     return base + 1
