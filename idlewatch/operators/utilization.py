@@ -25,7 +25,11 @@ from idlewatch.operators.lines import FEE, USAGE, sum_of_known
 from idlewatch.operators.report import line_sums, repeated_money
 from idlewatch.operators.services import is_service, report_name
 
-HOUR_KEYS = ("payer_id", "arn", "offering", "hour")
+RESERVATION = ("payer_id", "arn")
+SPAN_KEYS = (*RESERVATION, "offering")
+HOUR_KEYS = (*SPAN_KEYS, "hour")
+# Tasks over reservations for each shuffle partition: a reservation grows to hundreds of rows.
+TASKS_PER_PARTITION = 4
 
 # What a line adds to its hours: measure -> (fee lines, usage lines). A zero counts a
 # line of the other kind as nothing, a NULL leaves the sum to the lines that have it.
@@ -43,46 +47,66 @@ CONTRIBUTIONS = {
     "all_cost": ("on_demand_cost", "on_demand_cost"),
     "hourly_cost": ("hourly_cost", "0D"),
 }
+USAGE_MEASURES = ("known_amount", "unfactored_amount", "usage_amount", "on_demand_cost")
 
 
-def _contributions(lines: DataFrame, kind: int) -> DataFrame:
-    return lines.selectExpr(*HOUR_KEYS, *aliased({m: c[kind] for m, c in CONTRIBUTIONS.items()}))
+def _contributions(lines: DataFrame, kind: int, hours: str) -> DataFrame:
+    measures = {m: c[kind] for m, c in CONTRIBUTIONS.items()}
+    return lines.selectExpr(*SPAN_KEYS, f"{hours} AS hours", *aliased(measures))
 
 
-def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
-    """Fee lines, one row per covered hour.
+def fee_spans(lines: DataFrame, year: int, month: int) -> DataFrame:
+    """Fee lines with the array of the hours each covers, not yet one row per hour.
 
     Fees equal in every report key count their reservations once, so they are grouped
-    first (few rows: a reservation has a handful of fees per month). Each row then grows
-    to as many as 744, which adaptive execution cannot foresee: it would gather the small
-    grouped rows in a few tasks. A repartition by number keeps them apart (on other keys
-    than the grouping, or it would be optimised away as redundant).
+    first (few rows: a reservation has a handful of fees per month).
     """
-    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fees = (
-        line_sums(lines.where(FEE))
-        .repartition(tasks, "arn", "started", "ended", "offering", "payer_id")
-        .selectExpr("*", f"ended + {SECOND} AS until")
+    fees = line_sums(lines.where(FEE)).selectExpr("*", f"ended + {SECOND} AS until")
+    return _contributions(
+        fees.selectExpr("*", f"{hours_per_match('started', 'until')} AS matches"),
+        0, covered_hours("started", "until", year, month),
     )
-    hours = covered_hours("started", "until", year, month)
-    exploded = fees.selectExpr(
-        "*",
-        f"{hours_per_match('started', 'until')} AS matches",
-        f"explode({hours}) AS hour",
-    )
-    return _contributions(exploded, 0)
 
 
-def usage_hours(lines: DataFrame) -> DataFrame:
-    """Usage lines with the hour they start in, not yet aggregated."""
+def usage_spans(lines: DataFrame) -> DataFrame:
+    """Usage lines summed per hour, which is the only one of its array.
+
+    Only what usage lines have is summed: the constants come after, and keep the scan's code small.
+    """
     placed = lines.where(USAGE).selectExpr("*", "window(started, '1 hour').start AS hour")
-    return _contributions(placed.where(f"started <= {hour_end('hour')}"), 1)
+    rows = placed.where(f"started <= {hour_end('hour')}")
+    summed = rows.groupBy(*HOUR_KEYS).agg(*aggregates({m: f"sum({m})" for m in USAGE_MEASURES}))
+    return _contributions(summed, 1, "array(hour)")
+
+
+def by_reservation(spans: DataFrame, tasks: int) -> DataFrame:
+    """Spans exchanged by reservation, then one row per hour.
+
+    The exchange is by number, because adaptive execution sees the small rows only and would gather
+    them in a few tasks. A task holds at most all hours of its reservations, so many small
+    tasks bound its memory.
+    """
+    spread = spans.repartition(tasks, *RESERVATION)
+    return spread.selectExpr(*SPAN_KEYS, "explode(hours) AS hour", *CONTRIBUTIONS)
+
+
+def fee_hours(lines: DataFrame, year: int, month: int) -> DataFrame:
+    """Fee lines, one row per covered hour, apart from the usage."""
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return by_reservation(fee_spans(lines, year, month), tasks)
 
 
 def hourly_sums(lines: DataFrame, year: int, month: int) -> DataFrame:
+    """Sums per payer, ARN, offering and hour.
+
+    Fees and usage hours are exchanged by reservation while a fee is still one row. A fee grows to
+    as many as 744 rows inside its task, and neither the sums nor the join to the
+    reservations (`hourly_utilization`) exchange those: both keys contain the reservation.
+    """
     in_scope = lines.where(f"{in_month('started', year, month)} AND arn <> ''")
-    both = fee_hours(in_scope, year, month).unionByName(usage_hours(in_scope))
-    return both.groupBy(*HOUR_KEYS).agg(*aggregates({m: f"sum({m})" for m in CONTRIBUTIONS}))
+    tasks = TASKS_PER_PARTITION * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hours = by_reservation(fee_spans(in_scope, year, month).unionByName(usage_spans(in_scope)), tasks)
+    return hours.groupBy(*HOUR_KEYS).agg(*aggregates({m: f"sum({m})" for m in CONTRIBUTIONS}))
 
 
 def hourly_utilization(
@@ -142,7 +166,9 @@ def hourly_utilization(
     }
     if "max_date" in reservation_rows.columns:
         columns["max_date"] = "max_date"
-    keys = ["payer_id", "arn"]
+    keys = [*RESERVATION]
+    # The hours lie by reservation already; a hashed side of a few reservations needs no sort of them.
+    reservation_rows = reservation_rows.hint("shuffle_hash")
     if counts is None:
         described = sums.join(reservation_rows, keys)
     else:
