@@ -71,25 +71,30 @@ def wastage_metrics(hourly: DataFrame, counts: Observation | None = None) -> Dat
     )
 
 
-def _unit(value: str) -> str:
-    """Normalised units where a reservation floats over sizes, instances where it does not."""
-    instances = f"try_divide({value}, nfapplied)"
+def _floats() -> str:
+    """Whether a reservation floats over sizes, so that its units are normalised ones."""
     shared = [
         (
             f"product_name = {text(s.report_name)}"
             f" AND {shares_family('operatingsystem_engine', s.open_names)}",
-            value,
+            "TRUE",
         )
         for s in SERVICES
         if s.open_names
     ]
-    plain = (_is_product(lambda s: not s.open_names), value)
-    return first_match([(is_accelerator("instancetype_family"), instances), *shared, plain], instances)
+    plain = (_is_product(lambda s: not s.open_names), "TRUE")
+    return first_match([(is_accelerator("instancetype_family"), "FALSE"), *shared, plain], "FALSE")
+
+
+def _unit(value: str) -> str:
+    """Normalised units where a reservation floats over sizes, instances where it does not."""
+    return f"CASE WHEN floats THEN {value} ELSE try_divide({value}, nfapplied) END"
 
 
 def with_units(facts: DataFrame) -> DataFrame:
-    """Unit columns of every row."""
-    return facts.selectExpr("*", *aliased({unit: _unit(nu) for unit, nu in UNITS.items()}))
+    """Unit columns of every row. The rule is looked up once a row and serves all units."""
+    ruled = facts.selectExpr("*", f"{_floats()} AS floats")
+    return ruled.selectExpr(*facts.columns, *aliased({unit: _unit(nu) for unit, nu in UNITS.items()}))
 
 
 def update_units(facts: DataFrame, year: int, month: int) -> DataFrame:
@@ -102,4 +107,5 @@ def update_units(facts: DataFrame, year: int, month: int) -> DataFrame:
         for unit, nu in UNITS.items()
     }
     kept = [c for c in facts.columns if c not in UNITS]
-    return facts.selectExpr(*kept, *aliased(updated))
+    ruled = facts.selectExpr("*", f"{_floats()} AS floats")
+    return ruled.selectExpr(*kept, *aliased(updated))

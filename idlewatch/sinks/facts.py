@@ -101,9 +101,9 @@ def update_stored_units(spark: SparkSession, path: str, year: int, month: int) -
     """Set the unit columns of a stored month, all payers and products.
 
     Copy on write: the month's slices are read from their present folders and written into a new
-    version, all other slices stay where they are.
+    version, all other slices stay where they are. No exchange: each file holds one slice.
     """
     check_month(year, month)
     touched = manifest(spark, path, SLICES).where(of_month(year, month)).where("folder IS NOT NULL")
     updated = update_units(read_facts(spark, path, of_month(year, month)), year, month)
-    commit(updated.select(*FACT_SCHEMA.names), path, SLICE_COLUMNS, touched)
+    commit(updated.select(*FACT_SCHEMA.names), path, SLICE_COLUMNS, touched, rebalance=False)
