@@ -13,13 +13,16 @@ of their own. An empty table gives an empty manifest. Extra columns are not read
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,14 @@ END = 2
 #: Pieces of a generation of the cache; a worker holds two at most.
 CACHE = 800_000
 HEAD = "<?Bq"
+#: Under these rules of a tokenizer, letters and the marks behind them are encoded apart, letters as small ones.
+FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORDS_APART = {
+    "type": "Split", "behavior": "Removed", "invert": True,
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+}
+#: Letters of ASCII and Latin-1, then ASCII marks but no apostrophe, which begins an ending.
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 MANIFEST = "part int, path string, n_records long, n_tokens long"
 READ = "part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 _loaded: dict = {}
@@ -79,6 +90,25 @@ def slices(text: str, size: int = CHUNK):
     yield text[at:]
 
 
+def spaced(text: str) -> str:
+    for blank in "\t\n\r":
+        text = text.replace(blank, " ")
+    return text
+
+
+def groups(values: Iterable[pa.StringScalar], size: int = CHUNK):
+    """The texts of an Arrow column, by neighbours of about so many characters; a null is an empty text."""
+    texts, held = [], 0
+    for value in values:
+        texts.append(value.as_py() or "")
+        held += len(texts[-1])
+        if held >= size:
+            yield texts
+            texts, held = [], 0
+    if texts:
+        yield texts
+
+
 class Encoder:
     """Ids of a text, by pieces between ASCII spaces: the tokenizer never joins across them.
 
@@ -93,8 +123,11 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        rules = json.loads(self.tokenizer.to_str())
+        known = (rules["normalizer"] or {}).get("normalizers") == FOLDS and (rules["pre_tokenizer"] or {}).get("pretokenizers", [None])[0] == WORDS_APART
+        self.plain = PLAIN.fullmatch if known else lambda piece: None
 
-    def learn(self, pieces: list[str]) -> None:
+    def encode(self, pieces: list[str]) -> None:
         for first in range(0, len(pieces), 20_000):
             some = pieces[first : first + 20_000]
             found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
@@ -103,25 +136,43 @@ class Encoder:
             cuts = (np.searchsorted(owner, np.arange(len(some) + 1)) * self.width).tolist()
             self.young.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
 
+    def missing(self, pieces: Iterable[str]) -> list[str]:
+        """Those in neither generation. Those of the old one move to the young."""
+        new = [p for p in pieces if p not in self.young]
+        self.young.update((p, self.old[p]) for p in new if p in self.old)
+        return [p for p in new if p not in self.old]
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Have all these pieces in the young generation; plain words by their small letters and marks."""
+        new = self.missing(pieces)
+        split = [(m[1].lower(), m[2]) if (m := self.plain(p)) else (p, "") for p in new]
+        self.encode(self.missing({part for both in split for part in both}))
+        self.young.update((p, self.young[word] + self.young[marks]) for p, (word, marks) in zip(new, split, strict=True))
+
+    def together(self, parts: list[str]) -> list[bytes]:
+        """Ids of several short texts. Each distinct piece is looked up once, all new ones are learned at once."""
+        if len(self.young) > CACHE:
+            self.old, self.young = self.young, {"": b""}
+        split = pc.split_pattern(pa.array([spaced(part) for part in parts], pa.large_string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        pieces = numbered.dictionary.to_pylist()
+        found = list(map(self.young.get, pieces))
+        self.learn([p for p, ids in zip(pieces, found, strict=True) if ids is None])
+        found = [self.young[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+        joined = pa.array(found, pa.large_binary()).take(numbered.indices)
+        _, ends, ids = joined.buffers()
+        ids = ids.to_pybytes() if ids else b""
+        cuts = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def encoded(self, text: str) -> bytes:
+        return self.together([text])[0]
+
     def __call__(self, text: str) -> bytes:
         return b"".join([self.encoded(part) for part in slices(text)])
 
-    def encoded(self, text: str) -> bytes:
-        for blank in "\t\n\r":
-            text = text.replace(blank, " ")
-        pieces = text.split(" ")
-        found = list(map(self.young.get, pieces))
-        if None in found:
-            new = {p for p, ids in zip(pieces, found, strict=True) if ids is None}
-            if len(self.young) > CACHE:
-                self.old, self.young = self.young, {"": b""}
-                new = set(pieces).difference(self.young)
-            # Of a dictionary, not its keys: a difference of keys would visit the whole cache.
-            fresh = new.difference(self.old)
-            self.young.update((p, self.old[p]) for p in new - fresh)
-            self.learn(list(fresh))
-            found = map(self.young.__getitem__, pieces)
-        return b"".join(found)
+    def many(self, texts: list[str]) -> list[bytes]:
+        return self.together(texts) if max(map(len, texts), default=0) <= CHUNK else [self(text) for text in texts]
 
 
 def encoder(path: str) -> Encoder:
@@ -145,16 +196,18 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, shards: int) ->
         encode, at, n, tokens = encoder(tokenizer), 0, 0, 0
         out = index = None
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            keys = iter(batch["doc_id"])
+            for texts in groups(batch["text"]):
                 if out is None:
                     out = fs.open_output_stream(f"{root}/{name}.rec")
                     index = fs.open_output_stream(f"{root}/{name}.idx")
-                key = doc_id.as_py()
-                ids = encode(text.as_py() or "") + END.to_bytes(encode.width, "little")
-                record = frame(struct.pack(HEAD, key is not None, encode.width, key or 0) + ids)
-                out.write(record)
-                index.write(struct.pack("<Q", at))
-                at, n, tokens = at + len(record), n + 1, tokens + len(ids) // encode.width
+                for ids, doc_id in zip(encode.many(texts), keys):  # noqa: B905
+                    key = doc_id.as_py()
+                    ids += END.to_bytes(encode.width, "little")
+                    record = frame(struct.pack(HEAD, key is not None, encode.width, key or 0) + ids)
+                    out.write(record)
+                    index.write(struct.pack("<Q", at))
+                    at, n, tokens = at + len(record), n + 1, tokens + len(ids) // encode.width
         if out is not None:
             out.close()
             index.close()

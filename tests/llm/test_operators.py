@@ -7,6 +7,7 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from idlewatch.llm import (
@@ -353,6 +354,27 @@ def test_encoder_equals_the_tokenizer(monkeypatch):
     assert records.file_system("file:///tmp/x")[1] == "/tmp/x"
 
 
+def test_new_pieces_of_texts_are_encoded_together(monkeypatch):
+    """One call of the tokenizer for a group of texts; letters with marks behind them share their word's ids."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(records.vocabulary())
+    texts = [f"new{i} Wordy{'é' * i}, both\tw\n{i}" for i in range(50)]
+    texts += ["abc abc. ABC!! Ünïß) éß´ it's it' a_b x<|endoftext|> x<| µm, Ö\u0301. ÀÿÞ;- e\u0301, a\x7f naïve's"]
+    for cache in (800_000, 3):
+        monkeypatch.setattr(records, "CACHE", cache)
+        encode, calls = records.Encoder(records.vocabulary()), []
+        plain = encode.encode
+        monkeypatch.setattr(encode, "encode", lambda pieces: (calls.append(pieces), plain(pieces)))  # noqa: B023
+        found = list(records.groups([pa.scalar(t, pa.string()) for t in [*texts, None]], 200))
+        assert [t for some in found for t in some] == [*texts, ""] and 1 < len(found) < 20
+        for some in found:
+            want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in some]
+            assert encode.many(some) == want
+        assert len(calls) == len(found)
+        assert not {"abc.", "ABC!!", "Ünïß)"} & {p for pieces in calls for p in pieces}
+
+
 def test_damaged_records_are_refused():
     good = bytearray(records.frame(b"payload"))
     assert bytes(records.unframed(memoryview(good), 0)[0]) == b"payload"
