@@ -23,7 +23,7 @@ from idlewatch.operators.wastage import update_units
 from idlewatch.plans.job import run_month
 from idlewatch.plans.refresh import Places, refresh_reopened, refresh_run, summary_of
 from idlewatch.plans.monthly import service_plan, utilization_plan, wastage_plan
-from idlewatch.session import shared_folder
+from idlewatch.session import shared_folder, through_shared_table
 from idlewatch.sinks.facts import (
     SLICES, read_facts, replace_slices, replaced, slice_predicate, update_stored_units,
 )
@@ -844,18 +844,33 @@ def remove_files(spark, folder: str) -> None:
     system.mkdirs(hadoop_path)
 
 
-def refreshed(spark, sf_dir):
-    """Three runs. Before the second, bucket a gets late lines and b loses its file; before the
-    third, b gets another file. Facts path and outcomes of each run."""
+#: Bytes of a row group in export files: one file of many lines is still read and staged by many tasks.
+EXPORT_BLOCK = 8 << 20
+
+
+def exported_lines(spark, sf_dir):
+    """The billing lines, computed once for all exports that a query writes."""
+    return through_shared_table(billing(spark, sf_dir), f"checks/{uuid.uuid4().hex}/lines")
+
+
+def export_lines(lines_: DataFrame, folder: str, one_file: bool = False) -> None:
+    """Add the lines to a folder. A single file is written by one task, which computes nothing else."""
+    spread = lines_.repartition(1) if one_file else lines_
+    spread.write.mode("append").option("parquet.block.size", EXPORT_BLOCK).parquet(folder)
+
+
+def refreshed(spark, sf_dir, one_file: bool):
+    """Three runs. Before the second, bucket a gets late lines and b loses its files; before the
+    third, b gets others. Facts path and outcomes of each run. An export is one file, if asked for."""
     root = new_folder(spark)
     places = Places(f"{root}/staged", f"{root}/facts", f"{root}/ledger", payers(spark, sf_dir), accounts(spark, sf_dir))
-    lines_ = billing(spark, sf_dir)
+    lines_ = exported_lines(spark, sf_dir)
     resolved = resolve_configs(*requested_payers(spark, sf_dir), "prod")
     folder = {b: billing_period_path(f"{root}/bill-{b}/exports", YEAR, MONTH) for b in "abcd"}
 
     def export(payer_ids, late: bool, bucket: str) -> None:
         chosen = lines_.where(F.col("bill_payer_account_id").isin(payer_ids)).where(LATE if late else f"NOT ({LATE})")
-        chosen.coalesce(1).write.mode("append").parquet(folder[bucket])
+        export_lines(chosen, folder[bucket], one_file)
 
     def run():
         return refresh_run(spark, resolved, f"concat('{root}/', bucket, '/', path)", places, YEAR, MONTH)
@@ -873,7 +888,7 @@ def refreshed(spark, sf_dir):
 
 
 def q_refresh_run(spark, sf_dir):
-    return presented(read_facts(spark, refreshed(spark, sf_dir)[0]))
+    return presented(read_facts(spark, refreshed(spark, sf_dir, False)[0]))
 
 
 REFRESHED = f"payer IN {oracle.in_list(IN_A)} OR (payer IN {oracle.in_list(IN_B)} AND s >= {MIDDLE})"
@@ -882,7 +897,7 @@ REFRESHED = f"payer IN {oracle.in_list(IN_A)} OR (payer IN {oracle.in_list(IN_B)
 def q_refresh_outcomes(spark, sf_dir):
     """Every payer and the summary (payer 'all') of each run."""
     rows = None
-    for number, outcomes in enumerate(refreshed(spark, sf_dir)[1], 1):
+    for number, outcomes in enumerate(refreshed(spark, sf_dir, True)[1], 1):
         payers_ = outcomes.select("payer_id", "source", "status", "success", "failed", "reason")
         total = summary_of(outcomes).selectExpr(
             "'all' AS payer_id", "concat(failed_payers, ' failed') AS source", "status", "success", "failed",
@@ -939,7 +954,7 @@ O_FILE_DIFF = f"""SELECT CAST({shapes.ACCOUNT_BASE} + o_custkey AS VARCHAR) AS p
 
 
 def q_late_files(spark, sf_dir):
-    """Two months run for the first time; then a late January file of bucket a reopens January alone.
+    """Two months run for the first time; then late January files of bucket a reopen January alone.
 
     February's export holds January's lines moved by a month.
     """
@@ -947,21 +962,21 @@ def q_late_files(spark, sf_dir):
     places = Places(f"{root}/staged", f"{root}/facts", f"{root}/ledger", payers(spark, sf_dir), accounts(spark, sf_dir))
     resolved = resolve_configs(*requested_payers(spark, sf_dir, "ab"), "prod")
     location = f"concat('{root}/', bucket, '/', path)"
-    lines_ = billing(spark, sf_dir)
+    lines_ = exported_lines(spark, sf_dir)
     moved = lines_.withColumns({
         c: F.expr(f"{c} + INTERVAL '31' DAY") for c in ("line_item_usage_start_date", "line_item_usage_end_date")
     })
     early = lines_.where(f"NOT ({LATE})")
     for bucket, ids in (("a", IN_A), ("b", IN_B)):
         mine = F.col("bill_payer_account_id").isin(ids)
-        early.where(mine).coalesce(1).write.parquet(billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH))
-        moved.where(mine).coalesce(1).write.parquet(billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH + 1))
+        export_lines(early.where(mine), billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH))
+        export_lines(moved.where(mine), billing_period_path(f"{root}/bill-{bucket}/exports", YEAR, MONTH + 1))
     for month in (MONTH, MONTH + 1):
         refresh_run(spark, resolved, location, places, YEAR, month)
     february = F.col("mycloud_startmonth") == MONTH + 1
     before = read_facts(spark, places.fact_path, february).inputFiles()
     late = lines_.where(F.col("bill_payer_account_id").isin(IN_A)).where(LATE)
-    late.coalesce(1).write.mode("append").parquet(billing_period_path(f"{root}/bill-a/exports", YEAR, MONTH))
+    export_lines(late, billing_period_path(f"{root}/bill-a/exports", YEAR, MONTH))
     runs = refresh_reopened(spark, resolved, location, places)
     after = read_facts(spark, places.fact_path, february).inputFiles()
     stays = "true" if [r[:2] for r in runs] == [(YEAR, MONTH)] and sorted(before) == sorted(after) else "false"
