@@ -179,7 +179,8 @@ def repeated_hot_windows(rows: DataFrame) -> DataFrame:
 
     windows = stored(rows.select("key", "run", "windows").mapInArrow(unpacked, "key long, run long, at int, window long"), "hot-windows")
     twice = stored(windows.groupBy("window").agg(F.count("*").alias("times")).where("times > 1").select("window"), "hot-repeated")
-    found = windows.join(twice, "window").groupBy("key", "run").agg(F.collect_list("at").alias("at"))
+    # A filter by a list without repeats: each row of a window stays or goes, none is multiplied.
+    found = windows.join(twice, "window", "left_semi").groupBy("key", "run").agg(F.collect_list("at").alias("at"))
     return found.mapInArrow(spans, "key long, run long, low int, high int")
 
 

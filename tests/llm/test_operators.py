@@ -222,6 +222,18 @@ def test_repeats_of_a_frequent_line(spark, monkeypatch):
     assert max(held, default=0) <= 4
 
 
+def test_windows_of_frequent_lines_are_filtered_not_multiplied(spark):
+    """The windows meet the repeated ones in a semi join, which gives no row more than it takes."""
+    rng = np.random.default_rng(5)
+    blobs = [rng.integers(0, 9, 40, dtype=np.uint64).tobytes() for _ in range(6)]
+    rows = spark.createDataFrame([(7, i, bytearray(b)) for i, b in enumerate(blobs)], "key long, run long, windows binary")
+    found = repeats.repeated_hot_windows(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "Join Inner" not in plan
+    spans = lambda df: sorted(tuple(r) for r in df.collect())
+    assert spans(found) == spans(repeats.repeated_windows(rows)) and found.count() > 0
+
+
 def test_neighbours_recall_and_scores(spark, sf_dir):
     df = table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = df.select("vec_id", "embedding").toPandas()
