@@ -136,8 +136,10 @@ def shingle_sets(texts: list[bytes], k: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; empty without words."""
     words, owner = word_hashes(texts)
     hashes, owners = shingle_hashes(words, owner, k, len(texts))
-    order = np.lexsort((hashes, owners))
+    order = np.argsort(owners, kind="stable")  # only short texts are out of place
     hashes, owners = hashes[order], owners[order]
+    for some in np.split(hashes, np.searchsorted(owners, np.arange(1, len(texts)))):
+        some.sort()
     keep = np.ones(len(hashes), bool)
     keep[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
     hashes, owners = hashes[keep], owners[keep]

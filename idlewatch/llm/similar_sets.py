@@ -41,7 +41,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from idlewatch.llm.common import BASE, chunks, mixed, shingle_sets, stored
@@ -60,17 +60,25 @@ def overlap(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def identity(x: np.ndarray) -> int:
-    if not len(x):
-        return 0
-    total = mixed(x).sum(dtype=np.uint64, keepdims=True) * BASE + np.uint64(len(x))
-    return int(total.view(np.int64)[0])
+def sizes_and_ends(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(x) for x in sets], np.int64)
+    return sizes, np.cumsum(sizes)
 
 
-def parity(x: np.ndarray) -> np.ndarray:
-    """256 bits: whether an odd number of elements falls on the bit."""
-    odd = np.bincount((mixed(x) & np.uint64(255)).astype(np.int64), minlength=256) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def identities(sets: list[np.ndarray]) -> np.ndarray:
+    """A number for each set that depends on its elements only; 0 for an empty set."""
+    sizes, ends = sizes_and_ends(sets)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(np.concatenate(sets)))])
+    total = (sums[ends] - sums[ends - sizes]) * BASE + sizes.astype(np.uint64)
+    return np.where(sizes > 0, total, np.uint64(0)).view(np.int64)
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """256 bits a set: whether an odd number of its elements falls on the bit."""
+    owner = np.repeat(np.arange(len(sets)), sizes_and_ends(sets)[0])
+    bit = (mixed(np.concatenate(sets)) & np.uint64(255)).astype(np.int64)
+    odd = np.bincount(owner * 256 + bit, minlength=256 * len(sets)) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, 256), axis=1).view(np.int64)
 
 
 def may_link(percent: int) -> F.Column:
@@ -98,9 +106,9 @@ def with_sets(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for first, texts in chunks(batch):
                 sets = shingle_sets(texts, k)
-                bits = np.array([parity(x) for x in sets], np.int64).reshape(-1, len(PARITY))
+                bits = parities(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.slice(first, len(texts))[c] for c in ("doc_id", "tkey")), pa.array([len(x) for x in sets], pa.int64()), pa.array([identity(x) for x in sets], pa.int64()),
+                    [*(batch.slice(first, len(texts))[c] for c in ("doc_id", "tkey")), pa.array([len(x) for x in sets], pa.int64()), pa.array(identities(sets)),
                      *(pa.array(bits[:, i]) for i in range(len(PARITY)))],
                     names=["doc_id", "tkey", "n", "sid", *PARITY])
 
@@ -159,8 +167,9 @@ def frequency_levels(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
 
 
 def in_order(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    level = np.where(counted(x), table[(x >> np.uint64(64 - CELLS)).astype(np.int64)], 60)
-    order = np.lexsort((x, level))
+    """The elements of a sorted set and their levels, rare ones first, equal levels as they were."""
+    level = np.where(counted(x), table[(x >> np.uint64(64 - CELLS)).astype(np.int64)], np.uint8(60))
+    order = np.argsort(level, kind="stable")
     return x[order], level[order]
 
 
@@ -194,8 +203,9 @@ def keys(docs: DataFrame, table, boundary: int, k: int, percent: int) -> DataFra
         for batch in batches:
             for _, texts in chunks(batch):
                 out = []
-                for x in shingle_sets(texts, k):
-                    n, sid = len(x), identity(x)
+                sets = shingle_sets(texts, k)
+                for x, sid in zip(sets, identities(sets).tolist(), strict=True):
+                    n = len(x)
                     if n < 2 or sid in seen:
                         continue
                     if len(seen) >= SEEN:
@@ -352,6 +362,15 @@ def partners(comps: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFr
     return found.groupBy("sid").agg(F.sum("partners").alias("partners"))
 
 
+def lists_of_many(entries: DataFrame) -> DataFrame:
+    """The distinct entries of lists with more than one set; most keys belong to one set.
+
+    They are told by two numbers a list, kept in hashes, so that the entries are neither sorted nor compared.
+    """
+    many = entries.groupBy("key", "light").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low != high")
+    return entries.join(many.select("key", "light").hint("shuffle_hash"), ["key", "light"], "left_semi").distinct()
+
+
 def apart(entries: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
     """The entries of lists that span components, with their own and a head of another component.
 
@@ -361,9 +380,10 @@ def apart(entries: DataFrame, comps: DataFrame | None, turn: int) -> DataFrame:
     if comps is not None:
         told = entries.join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     member = F.struct(F.xxhash64(F.lit(turn), "comp").alias("c"), "comp", F.xxhash64(F.lit(turn), "sid").alias("s"), "sid", "n", "rest")
-    lists = told.groupBy("key", "light").agg(F.min(member).alias("low"), F.max(member).alias("high")).where("low.comp != high.comp")
+    same = Window.partitionBy("key", "light")
+    heads = told.withColumn("low", F.min(member).over(same)).withColumn("high", F.max(member).over(same))
     head = F.when(F.col("comp") == F.col("low.comp"), F.col("high")).otherwise(F.col("low"))
-    return told.join(lists, ["key", "light"]).withColumn("head", head).drop("low", "high")
+    return heads.where("low.comp != high.comp").withColumn("head", head).drop("low", "high")
 
 
 def one_each(told: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
@@ -399,8 +419,8 @@ def near_components(docs: DataFrame, percent: int = 75, k: int = 5, degrees: boo
     sets = stored(with_sets(docs, k), "sets")
     table = context.broadcast(frequency_levels(docs, k, sets.count()))
     boundary = boundary_of(docs, table, k, percent)
-    # Dealt once by list: copies go and lists are joined without another exchange.
-    entries = keys(docs, table, boundary, k, percent).repartition("key", "light").distinct()
+    # Dealt once by list: lists of one set and copies go, and heads are found without another exchange.
+    entries = lists_of_many(keys(docs, table, boundary, k, percent).repartition("key", "light"))
     known = sets.where("n > 1").groupBy("sid").agg(*(F.max(c).alias(c) for c in PARITY))
     links = tried = comps = None
     rounds = ROUNDS

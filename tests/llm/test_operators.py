@@ -125,6 +125,26 @@ def test_jaccard_join_counts_all_links(spark, monkeypatch, members):
     assert [got[i] for i in range(len(texts))] == plain_links(texts)
 
 
+def test_lists_of_one_set_are_dropped_by_hash(spark):
+    """Most keys belong to one set: their entries are neither sorted nor merged before they go."""
+    rows = [(1, 10, 5, True, 0), (1, 10, 5, True, 0), (2, 10, 5, False, 1), (2, 11, 6, False, 2), (2, 11, 6, False, 2), (3, 12, 6, False, 1), (1, 12, 6, False, 0)]
+    entries = spark.createDataFrame(rows, "key long, sid long, n int, light boolean, rest int").repartition("key", "light")
+    many = similar_sets.lists_of_many(entries)
+    assert sorted(tuple(r) for r in many.select("key", "light", "sid").collect()) == [(2, False, 10), (2, False, 11)]
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    told = similar_sets.apart(entries, None, 1)
+    assert "Join" not in told._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.sid, r.head.sid) for r in told.collect()} == {(10, 11), (11, 10)}
+
+
+def test_set_numbers_of_a_chunk_depend_on_each_set_alone():
+    sets = similar_sets.shingle_sets([b"", b"one two", b"a b c d e f g h " * 3, b" ", b"a b c d e f g h " * 2, b"x " * 40])
+    alone = [similar_sets.identities([x])[0] for x in sets]
+    assert similar_sets.identities(sets).tolist() == alone and alone[0] == alone[3] == 0 and alone[2] == alone[4] != 0
+    assert [p.tolist() for p in similar_sets.parities(sets)] == [similar_sets.parities([x])[0].tolist() for x in sets]
+
+
 def test_token_counts_match_greedy_pieces(spark, odd, none):
     import json
 
